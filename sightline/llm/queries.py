@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 from sightline.functions.columns import cve_id, lower_trimmed
 from sightline.llm.cooccur import cooccurrence
+from sightline.llm.encode import TOKENIZER, encoded, sizes
+from sightline.llm.foldhash import collapsed, copies
+from sightline.llm.mixing import mixed, rates, report
 from sightline.llm.survivor import Field, says_something, survivors
+from sightline.session import settled
 
 
 def _tags() -> F.Column:
@@ -49,8 +53,49 @@ def p4_survivors(spark: SparkSession, d: str) -> DataFrame:
     return _cves(spark, d).select("cve_key", "n_rows", "summary", F.col("cvss").alias("cvss_score"), F.col("epss").alias("epss_score"), F.coalesce(F.col("exploited") == 1, F.lit(False)).alias("known_exploited"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """record_id_a, record_id_b: the first record of each observable, with each of its other ones."""
+    rows = spark.read.parquet(f"{d}/indicator_records.parquet")
+    found = copies(rows, "record_id", F.col("indicator.type"), F.col("indicator.raw_value"))
+    return found.select(F.col("keep_id").alias("record_id_a"), F.col("record_id").alias("record_id_b"))
+
+
+def p5_observables(spark: SparkSession, d: str) -> DataFrame:
+    """Each observable once: the first record that has it, how that record writes it, and the number of its records."""
+    rows = spark.read.parquet(f"{d}/indicator_records.parquet").select("record_id", "indicator.type", "indicator.raw_value")
+    return collapsed(rows, "record_id", F.col("type"), F.col("raw_value"))
+
+
+def _documents(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/documents.parquet")
+
+
+def p6_ids(spark: SparkSession, d: str, tokenizer: str = TOKENIZER) -> DataFrame:
+    """doc_id, ids: the token ids of each document; none ([]) of empty and null texts."""
+    return encoded(_documents(spark, d), "doc_id", "text", tokenizer)
+
+
+def _mix_plan(spark: SparkSession, d: str, tokenizer: str) -> tuple[DataFrame, DataFrame, list]:
+    docs, targets = _documents(spark, d), spark.read.parquet(f"{d}/mix_targets.parquet")
+    sized = sizes(docs.select("doc_id", "text"), "doc_id", "text", tokenizer)
+    sized = settled(sized.join(docs.select("doc_id", "source"), "doc_id").select(F.col("doc_id").alias("id"), "source", "n_ids"))
+    return sized, targets, rates(sized, targets)
+
+
+def p7_mix(spark: SparkSession, d: str, tokenizer: str = TOKENIZER) -> DataFrame:
+    """The mixed corpus: whole documents, each as often as it is used, in an order by hash."""
+    _, _, plan = _mix_plan(spark, d, tokenizer)
+    return mixed(_documents(spark, d).select("doc_id", "source", "lang", "text"), "doc_id", "source", plan)
+
+
+def p7_shares(spark: SparkSession, d: str, tokenizer: str = TOKENIZER) -> DataFrame:
+    """Of each target source, the share of all tokens that it was to have and has, and how its documents are used."""
+    sized, targets, plan = _mix_plan(spark, d, tokenizer)
+    return report(sized, targets, plan)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p3_found, p3_pairs, p4_found, p4_survivors)}
+    return {f.__name__: f for f in (p3_found, p3_pairs, p4_found, p4_survivors, p5_found, p5_observables, p6_ids, p7_mix, p7_shares)}
 
 
 TAGS = """
