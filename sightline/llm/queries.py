@@ -10,6 +10,7 @@ from sightline.llm.cooccur import cooccurrence
 from sightline.llm.encode import TOKENIZER, encoded, sizes
 from sightline.llm.foldhash import collapsed, copies
 from sightline.llm.mixing import mixed, rates, report
+from sightline.llm.subjects import subject_areas
 from sightline.llm.survivor import Field, says_something, survivors
 from sightline.session import settled
 
@@ -94,8 +95,24 @@ def p7_shares(spark: SparkSession, d: str, tokenizer: str = TOKENIZER) -> DataFr
     return report(sized, targets, plan)
 
 
+def _areas(spark: SparkSession, d: str) -> DataFrame:
+    areas, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("subject_areas", "subject_labels"))
+    return subject_areas(_documents(spark, d), "doc_id", "text", areas, labels)
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    """doc_id, subject: each subject that a document treats in a substantial part."""
+    return _areas(spark, d).select("doc_id", "subject")
+
+
+def p8_composition(spark: SparkSession, d: str) -> DataFrame:
+    """The corpus by subject: documents that treat it, and their words, divided by each document's shares."""
+    found = _areas(spark, d)
+    return found.groupBy("subject").agg(F.count("*").alias("n_docs"), F.round(F.sum(F.col("share") * F.col("n_words"))).cast("long").alias("n_words"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p3_found, p3_pairs, p4_found, p4_survivors, p5_found, p5_observables, p6_ids, p7_mix, p7_shares)}
+    return {f.__name__: f for f in (p3_found, p3_pairs, p4_found, p4_survivors, p5_found, p5_observables, p6_ids, p7_mix, p7_shares, p8_found, p8_composition)}
 
 
 TAGS = """
