@@ -8,7 +8,7 @@ Arrow batches; rows that need no such help are sent as null and cost next to not
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,11 +62,21 @@ def _rest(kind: pd.Series, raw: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["type", "value"])
 
 
-def observable(kind: Column, raw: Column) -> Column:
-    """struct(type, value) in canonical form; both null where there is none."""
-    declared = F.coalesce(F.nullif(kind, F.lit("")), F.lit("auto"))
-    v = defang(raw)
-    low = F.lower(v)
+def with_observable(df: DataFrame, name: str, kind: Column, raw: Column) -> DataFrame:
+    """df with `name`: struct(type, value) in canonical form, both null where there is none.
+
+    It is built in steps, each a projection of its own, so that no expression is written out twice.
+    """
+    k, v, low, fast, ask = (f"{name}_{x}_" for x in ("kind", "v", "low", "fast", "ask"))
+    df = df.withColumns({k: F.coalesce(F.nullif(kind, F.lit("")), F.lit("auto")), f"{name}_raw_": raw, v: defang(raw)}).withColumn(low, F.lower(v))
+    df = df.withColumn(fast, _fast(F.col(k), F.col(v), F.col(low)))
+    df = df.withColumn(ask, F.coalesce(F.col(fast)["value"].isNull() & (F.col(v) != ""), F.lit(False)))
+    df = df.withColumn(name, _rest(F.when(F.col(ask), F.col(k)), F.when(F.col(ask), F.col(f"{name}_raw_"))))
+    return df.withColumn(name, F.when(F.col(ask), F.col(name)).otherwise(F.col(fast))).drop(k, v, low, fast, ask, f"{name}_raw_")
+
+
+def _fast(declared: Column, v: Column, low: Column) -> Column:
+    """struct(type, value) of ordinary spellings, null for all others."""
     auto = declared == "auto"
     size = F.length(v)
     is_hex = low.rlike(r"^[0-9a-f]+\z")
@@ -106,10 +116,7 @@ def observable(kind: Column, raw: Column) -> Column:
         .when(declared.isin("auto", "domain") & short & labels & low.rlike(name), made("domain", F.regexp_extract(low, name, 1)))
         .when(declared.isin("auto", "email") & short & labels & low.rlike(mail), made("email", F.concat_ws("@", F.regexp_extract(low, mail, 1), F.regexp_extract(low, mail, 2))))
     )
-    hopeless = F.coalesce(v, F.lit("")) == ""
-    ask = F.coalesce(fast["value"].isNull() & ~hopeless, F.lit(False))
-    rest = _rest(F.when(ask, declared), F.when(ask, raw))
-    return F.coalesce(F.when(fast["value"].isNotNull(), fast), rest)
+    return fast
 
 
 def cve_id(c: Column) -> Column:
@@ -136,11 +143,13 @@ def breach_slug(slug: Column, name: Column, breach_year: Column, disclosed_year:
     return F.when(slugify(slug) != "", slugify(slug)).when(base != "", made)
 
 
-def endpoint_key(kind: Column, kind_of_value: Column, value: Column) -> Column:
-    """struct(key, type) by which an edge names its end: null key where it has none."""
-    seen = observable(kind_of_value, F.when(kind == "indicator", value))
-    key = F.when(kind == "indicator", seen["value"]).when(kind == "cve", cve_id(value)).when(kind == "breach", F.nullif(slugify(value), F.lit("")))
-    return F.struct(key.alias("key"), F.when(kind == "indicator", seen["type"]).alias("type"))
+def with_endpoint_key(df: DataFrame, name: str, end: str) -> DataFrame:
+    """df with <name>_kind, <name>_key and <name>_type: how an edge names its end (struct kind, type, value); null key where
+    it has no canonical form."""
+    kind, value, seen = F.col(f"{end}.kind"), F.col(f"{end}.value"), f"{name}_seen"
+    df = with_observable(df, seen, F.col(f"{end}.type"), F.when(kind == "indicator", value))
+    key = F.when(kind == "indicator", F.col(f"{seen}.value")).when(kind == "cve", cve_id(value)).when(kind == "breach", F.nullif(slugify(value), F.lit("")))
+    return df.withColumns({f"{name}_kind": kind, f"{name}_key": key, f"{name}_type": F.col(f"{seen}.type")}).drop(seen)
 
 
 def rfc3339_micros(c: Column) -> Column:

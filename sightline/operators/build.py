@@ -38,9 +38,9 @@ def built(records: DataFrame) -> DataFrame:
     """
     rows = records.withColumn("observed", timestamp(F.coalesce(X.set_(F.col("observed_at")), F.col("collected_at")))).withColumn("ctx", X.effective(F.col("default_context"), F.col("context")))
     first, last = X.seen_window(F.col("ctx"), F.col("observed"))
-    seen = C.observable(F.col("indicator.type"), F.when(F.col("kind") == "indicator", F.col("indicator.raw_value")))
     slug = C.breach_slug(F.col("breach.slug"), F.col("breach.name"), year_of(F.col("breach.breach_date")), year_of(F.col("breach.disclosed_at")))
-    rows = rows.withColumn("first_seen", first).withColumn("last_seen", last).withColumn("seen", seen)
+    rows = rows.withColumn("first_seen", first).withColumn("last_seen", last)
+    rows = C.with_observable(rows, "seen", F.col("indicator.type"), F.when(F.col("kind") == "indicator", F.col("indicator.raw_value")))
     key = F.when(F.col("kind") == "indicator", F.col("seen.value")).when(F.col("kind") == "cve", C.cve_id(F.col("cve.cve_id"))).when(F.col("kind") == "breach", slug)
     known = F.coalesce(F.col("kind").isin("indicator", "cve", "breach"), F.lit(False))
     absent = F.when(F.col("kind") == "indicator", F.col("indicator").isNull()).when(F.col("kind") == "cve", F.col("cve").isNull()).otherwise(F.col("breach").isNull())
@@ -53,12 +53,12 @@ def built_edges(edges: DataFrame) -> DataFrame:
     as timestamps, and reason; an end without a canonical form drops the edge."""
     collected = timestamp(F.col("collected_at"))
     first, last = X.edge_window(timestamp(F.col("first_seen")), timestamp(F.col("last_seen")), collected)
-    ends = {x: C.endpoint_key(F.col(f"{x}.kind"), F.col(f"{x}.type"), F.col(f"{x}.value")) for x in ("source", "target")}
-    rows = edges.withColumn("first_", first).withColumn("last_", last).withColumns({f"{x}_end": c for x, c in ends.items()})
-    rows = rows.withColumns({f"{x}_{y}": F.col(f"{x}_end.{y}") for x in ends for y in ("key", "type")}).withColumns({f"{x}_kind": F.col(f"{x}.kind") for x in ends})
+    rows = edges.withColumns({"first_": first, "last_": last})
+    for x in ("source", "target"):
+        rows = C.with_endpoint_key(rows, x, x)
     reason = F.when(F.col("source_key").isNull() | F.col("target_key").isNull(), "canonicalise")
     metadata = F.when(F.size(X.members(F.col("metadata"))) > 0, F.col("metadata"))
-    return rows.withColumn("reason", reason).withColumn("metadata", metadata).drop("first_seen", "last_seen", "source_end", "target_end").withColumnsRenamed({"first_": "first_seen", "last_": "last_seen"})
+    return rows.withColumn("reason", reason).withColumn("metadata", metadata).drop("first_seen", "last_seen").withColumnsRenamed({"first_": "first_seen", "last_": "last_seen"})
 
 
 def drop_report(rows: DataFrame, group: list[str], limit: float = MAX_DROP_RATIO) -> DataFrame:
@@ -103,16 +103,17 @@ def cve_rows(rows: DataFrame) -> DataFrame:
     )
 
 
-def breach_domain(c: Column) -> Column:
-    """The canonical domain, so that it meets indicators; what has none is kept as it is; null if empty."""
-    return F.coalesce(C.observable(F.lit("domain"), X.set_(c))["value"], X.set_(c))
+def with_domain(df: DataFrame, name: str, c: Column) -> DataFrame:
+    """df with the canonical domain, so that it meets indicators; what has none is kept as it is; null if empty."""
+    df = C.with_observable(df, "seen_", F.lit("domain"), X.set_(c))
+    return df.withColumn(name, F.coalesce("seen_.value", X.set_(c))).drop("seen_")
 
 
 def breach_rows(rows: DataFrame) -> DataFrame:
     c = F.col("breach")
-    return rows.where("kind = 'breach'").select(
-        "seq", "idx", entity_id(F.col("kind"), F.col("key")).alias("entity_id"), F.col("key").alias("slug"), c["name"].alias("name"), breach_domain(c["domain"]).alias("domain"),
-        X.set_(c["description"]).alias("description"), F.try_to_date(X.set_(c["breach_date"]), F.lit("yyyy-MM-dd")).alias("breach_date"), timestamp(c["disclosed_at"]).alias("disclosed_at"),
+    return with_domain(rows.where("kind = 'breach'"), "domain", c["domain"]).select(
+        "seq", "idx", entity_id(F.col("kind"), F.col("key")).alias("entity_id"), F.col("key").alias("slug"), c["name"].alias("name"), "domain",
+        X.set_(c["description"]).alias("description"), F.try_to_date(X.set_(c["breach_date"]), "yyyy-MM-dd").alias("breach_date"), timestamp(c["disclosed_at"]).alias("disclosed_at"),
         c["record_count"].alias("record_count"), c["data_classes"].alias("data_classes"), F.coalesce(c["verified"], F.lit(False)).alias("verified"),
     )
 

@@ -1,0 +1,98 @@
+"""The course of a batch of envelope files: decode, validate, build, judge, claim, write."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from sightline.operators import build, validate
+from sightline.plans.schemas import MAX_DROP_RATIO
+from sightline.plans.store import Store
+from sightline.session import settled
+from sightline.sources import archive, dead_letters, envelopes
+from sightline.sources.registry import resolved
+
+#: Attempts after which a file that fails again and again is parked.
+MAX_ATTEMPTS = 5
+
+
+def checked(files: DataFrame, now: Column) -> DataFrame:
+    """files with digest, e, and problems: what decoding or validation found (empty if nothing)."""
+    rows = envelopes.decoded(files)
+    found = F.when(F.col("problem").isNotNull(), F.array(F.struct(F.lit("").alias("path"), F.col("problem").alias("message")))).otherwise(validate.envelope_problems(F.col("e"), now))
+    return rows.withColumn("problems", found)
+
+
+def report(files: DataFrame, now: Column) -> DataFrame:
+    """path, ok, source, records, relationships, problems of each file: nothing is written."""
+    rows = checked(files, now)
+    size = lambda c: F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0))
+    lines = F.transform("problems", lambda p: F.concat_ws(": ", F.nullif(p["path"], F.lit("")), p["message"]))
+    return rows.select("path", (F.size("problems") == 0).alias("ok"), F.coalesce(F.col("e.source"), envelopes.source_of(F.col("body"))).alias("source"), size(F.col("e.records")).alias("records"), size(F.col("e.relationships")).alias("relationships"), lines.alias("problems"))
+
+
+def ordered(rows: DataFrame, first: int) -> DataFrame:
+    """rows with seq: their order of arrival, by time and path, from `first` on. One row a file, without its body."""
+    keys = rows.select("digest", "path", "modified").withColumn("seq", (F.row_number().over(Window.orderBy("modified", "path")) + F.lit(first - 1)).cast("long"))
+    return rows.join(keys.select("path", "seq"), "path")
+
+
+def process(files: DataFrame, store: Store, batch: str, now: Column, sources: DataFrame | None = None, max_drop_ratio: float = MAX_DROP_RATIO, attempts: DataFrame | None = None) -> dict[str, int]:
+    """Take in a batch of files (path, modified, body); returns how many envelopes were written, duplicates or parked.
+
+    Parked, with the stage at which: what can't be decoded or validated, comes from a source that is unknown or
+    disabled (if `sources` is given), loses more than `max_drop_ratio` of its records, or has failed more than
+    5 times (`attempts`: digest, n). An envelope whose digest was written before, or that is in the batch twice, has
+    no effect. Processing a batch again has none either.
+    """
+    if batch in store.batches:
+        return {"written": 0, "duplicate": 0, "parked": 0}
+    before = store.delta("ingest_envelope")
+    top = before.agg(F.max("seq")).first()[0]
+    rows = settled(ordered(checked(files, now), 0 if top is None else top + 1))
+
+    stage = F.when(F.size("problems") > 0, "validate")
+    reason = F.when(F.size("problems") > 0, validate.summary(F.col("problems")))
+    if attempts is not None:
+        rows = rows.join(attempts.select("digest", F.col("n").alias("attempts_")), "digest", "left")
+        stage = F.when(F.col("attempts_") > MAX_ATTEMPTS, "poison").otherwise(stage)
+        reason = F.when(F.col("attempts_") > MAX_ATTEMPTS, "failed again and again").otherwise(reason)
+    rows = rows.withColumn("source", F.col("e.source"))
+    if sources is not None:
+        rows = resolved(rows, sources, "source")
+        refused = F.col("source_status") != "known"
+        stage = F.coalesce(stage, F.when(refused, "source"))
+        reason = F.coalesce(reason, F.when(refused, F.concat(F.lit("source is "), F.col("source_status"))))
+    rows = rows.withColumn("stage", stage).withColumn("reason", reason)
+    inline = F.when(F.col("stage").isNull() & F.col("e.raw").isNotNull(), archive.payload(F.col("e.raw")))
+    content = F.coalesce(F.nullif(F.col("e.content_hash"), F.lit("")), F.when(inline.isNotNull(), archive.content_hash(inline)))
+    ref = F.coalesce(F.when(inline.isNotNull(), archive.key(archive.content_hash(inline))), F.nullif(F.col("e.raw_ref"), F.lit("")))
+    rows = rows.withColumn("inline", inline).withColumn("e", F.when(F.col("e").isNotNull(), F.col("e").withField("content_hash", content).withField("raw_ref", ref)))
+
+    fit = rows.where("stage is null")
+    made = settled(build.built(envelopes.records(fit)))
+    bad = build.drop_report(made, ["seq"], max_drop_ratio).where("rejected").select("seq", F.concat(F.col("n_dropped"), F.lit(" of "), F.col("n_records"), F.lit(" records dropped")).alias("why"))
+    rows = settled(rows.join(bad, "seq", "left").withColumn("stage", F.coalesce("stage", F.when(F.col("why").isNotNull(), "canonicalise"))).withColumn("reason", F.coalesce("reason", "why")).drop("why"))
+
+    # the claim: the first delivery of each digest of a source, unless it was written before
+    good = rows.where("stage is null")
+    claimed = good.groupBy("source", "digest").agg(F.min("seq").alias("seq")).join(before.select("source", F.col("envelope_digest").alias("digest")), ["source", "digest"], "left_anti").select("seq")
+    claimed = settled(claimed)
+    taken = made.join(claimed, "seq", "left_semi").where("reason is null")
+    edges = settled(build.built_edges(envelopes.relationships(good)).join(claimed, "seq", "left_semi")).where("reason is null")
+    extra = build.stubs(taken, edges)
+    identity = build.entity_id(F.col("kind"), F.col("key"))
+    stub = extra.select("seq", F.lit(2_000_000_000).alias("idx"), identity.alias("entity_id"), "kind", "key", "type")
+    deltas = {
+        "entity": build.entities(taken, edges).groupBy("kind", "key").agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen")).select(identity.alias("entity_id"), "kind", F.col("key").alias("canonical_key"), "first_seen", "last_seen"),
+        "indicator": build.indicator_rows(taken).unionByName(stub.where("kind = 'indicator'").select("seq", "idx", "entity_id", "type", F.col("key").alias("value")), allowMissingColumns=True),
+        "cve": build.cve_rows(taken).unionByName(stub.where("kind = 'cve'").select("seq", "idx", "entity_id", F.col("key").alias("cve_id"), F.lit(False).alias("known_exploited")), allowMissingColumns=True),
+        "breach": build.breach_rows(taken), "relationship": build.edge_rows(edges), "sighting": build.sighting_rows(taken), "lookup": build.verdict_rows(taken),
+        "ingest_envelope": good.join(claimed, "seq", "left_semi").join(taken.groupBy("seq").agg(F.count("*").alias("record_count")), "seq", "left").select("seq", "source", F.col("digest").alias("envelope_digest"), F.col("e.content_hash").alias("content_hash"), F.col("e.source_run_id").alias("source_run_id"), F.col("e.schema_version").alias("schema_version"), F.coalesce("record_count", F.lit(0)).alias("record_count"), F.col("e.raw_ref").alias("raw_ref"), now.alias("received_at")),
+        "dead_letter": dead_letters.rows(rows.where("stage is not null").select(F.coalesce("source", envelopes.source_of(F.col("body"))).alias("source"), F.col("path").alias("message_id"), "stage", "reason", F.col("body").cast("string").alias("body"), now.alias("failed_at"))),
+    }
+    archive.put(store.spark, f"{store.root}/raw", rows.where("inline is not null").select(archive.content_hash(F.col("inline")).alias("content_hash"), archive.media_type(F.col("e.raw")).alias("media_type"), F.col("inline").alias("body")))
+    store.commit(batch, deltas)
+    n = rows.agg(F.count("*").alias("all"), F.count("stage").alias("parked")).first()
+    written = claimed.count()
+    return {"written": written, "duplicate": n["all"] - n["parked"] - written, "parked": n["parked"]}

@@ -1,0 +1,44 @@
+"""Structured Streaming over a landing folder of envelope files."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from sightline.plans.ingest import process
+from sightline.plans.store import Store
+
+
+def start(spark: SparkSession, landing: str, store: Store, checkpoint: str, sources: Callable[[], DataFrame] | None = None, files_a_batch: int = 1000, available_now: bool = False) -> StreamingQuery:
+    """Take in every file that arrives in `landing`.
+
+    A micro-batch is named by its number; the checkpoint moves on when it is committed to the store. After a
+    failure the same files come again under the same name, so the effect is once. If a micro-batch fails as a
+    whole, its files are taken in one by one, and those that fail alone are parked, so that one bad file holds
+    nothing up. The registry is read anew for each batch. Times of observation are not bounded by a watermark:
+    a late sighting goes to its own month.
+    """
+    files = spark.readStream.format("binaryFile").option("maxFilesPerTrigger", files_a_batch).schema("path string, modificationTime timestamp, length long, content binary").load(landing)
+
+    def take(df: DataFrame, number: int) -> None:
+        rows = df.select("path", F.col("modificationTime").alias("modified"), F.col("content").alias("body"))
+        known = sources() if sources else None
+        try:
+            process(rows, store, f"stream-{number}", F.current_timestamp(), known)
+        except Exception:
+            if rows.count() <= 1:
+                raise
+            for i, r in enumerate(sorted(x[0] for x in rows.select("path").collect())):  # the paths of one micro-batch
+                process(rows.where(F.col("path") == r), store, f"stream-{number}-{i}", F.current_timestamp(), known)
+
+    writer = files.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 seconds")).start()
+
+
+def windowed_counts(stream: DataFrame, at: str, label: str, window: str = "5 minutes", late: str = "10 minutes") -> DataFrame:
+    """label, start, n: rows by window of time, given out once the watermark has passed the window's end."""
+    rows = stream.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, late)
+    return rows.groupBy(F.window(at, window), label).agg(F.count("*").alias("n")).select(label, F.col("window.start").alias("start"), "n")
