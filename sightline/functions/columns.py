@@ -62,6 +62,10 @@ def _rest(kind: pd.Series, raw: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["type", "value"])
 
 
+# It is deterministic; saying otherwise keeps filters on its result from being rewritten into filters on the rules.
+_rest = _rest.asNondeterministic()
+
+
 def with_observable(df: DataFrame, name: str, kind: Column, raw: Column) -> DataFrame:
     """df with `name`: struct(type, value) in canonical form, both null where there is none.
 
