@@ -277,10 +277,10 @@ def stub_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def breach_domains(spark: SparkSession, d: str) -> DataFrame:
-    """Domains of breaches that are indicators too."""
+    """The domain of each breach, and how many indicator records are of it."""
     breaches = build.with_domain(table(spark, d, "breach_records").select("record_id", "breach.domain"), "d", F.col("domain")).select("record_id", F.col("d").alias("value"))
     known = C.with_observable(table(spark, d, "indicator_records").select("indicator"), "seen", F.col("indicator.type"), F.col("indicator.raw_value")).where("seen.type = 'domain'")
-    return breaches.join(known.groupBy(F.col("seen.value").alias("value")).agg(F.count("*").alias("n_records")), "value").select("record_id", F.col("value").alias("domain"), "n_records")
+    return breaches.join(known.groupBy(F.col("seen.value").alias("value")).agg(F.count("*").alias("n")), "value", "left").select("record_id", F.col("value").alias("domain"), F.coalesce("n", F.lit(0)).alias("n_records"))
 
 
 def self_edges(spark: SparkSession, d: str) -> DataFrame:
