@@ -6,6 +6,7 @@ import os
 import re
 import uuid
 from dataclasses import dataclass, field
+from datetime import date
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,8 +41,16 @@ def submit(spark: SparkSession, path: str, landing: str, now: Column | None = No
     return found
 
 
-def maintain(store: Store, retain_from: str | None = None, dry_run: bool = False) -> dict[str, list[str]]:
-    """Apply retention; months need not be provided for ahead, as folders come with the first row."""
+def months_ahead(today: date, ahead: int) -> list[str]:
+    """This month and the next ones, stepped from the first of the month, so that none is skipped at a long month's end."""
+    first = today.year * 12 + today.month - 1
+    return [f"{m // 12:04d}_{m % 12 + 1:02d}" for m in range(first, first + ahead + 1)]
+
+
+def maintain(store: Store, retain_from: str | None = None, dry_run: bool = False, compact: bool = False) -> dict[str, list[str]]:
+    """Apply retention and fold what has come in. Months need not be provided for ahead, as folders come with the first row."""
+    if compact and not dry_run:
+        store.compact()
     return {"dropped": store.drop_months_before(retain_from, dry_run) if retain_from else []}
 
 

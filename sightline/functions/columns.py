@@ -161,6 +161,5 @@ def rfc3339_micros(c: Column) -> Column:
 
     Spark's own cast also takes dates, region names and times without an offset, so the form is checked first.
     """
-    form = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt][0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]+)?(?:[Zz]|[+-][0-9]{2}:[0-9]{2})\z"
-    v = F.upper(trim_blanks(c))
-    return F.when(v.rlike(form), F.unix_micros(v.try_cast(T.TimestampType())))
+    form = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]+)?(?:Z|[+-][0-9]{2}:[0-9]{2})\z"
+    return F.when(c.rlike(form), F.unix_micros(c.try_cast(T.TimestampType())))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,10 +69,16 @@ def drop_report(rows: DataFrame, group: list[str], limit: float = MAX_DROP_RATIO
     return seen.withColumn("ratio", ratio).withColumn("rejected", (ratio > limit) | (F.col("n_dropped") == F.col("n_records")))
 
 
+def drop_examples(rows: DataFrame, group: list[str], order: list[str], most: int = 3) -> DataFrame:
+    """The first few dropped rows of each group: enough to see what is wrong, however many there are."""
+    first = Window.partitionBy(*group).orderBy(*order)
+    return rows.where(F.col("reason").isNotNull()).withColumn("n", F.row_number().over(first)).where(F.col("n") <= most)
+
+
 def ends(edges: DataFrame) -> DataFrame:
     """Both ends of each edge as rows, the source before the target: seq, place, kind, key, type, first_seen, last_seen."""
-    sides = [edges.select("seq", (F.col("idx") * 2 + i).alias("place"), F.col(f"{x}_kind").alias("kind"), F.col(f"{x}_key").alias("key"), F.col(f"{x}_type").alias("type"), "first_seen", "last_seen") for i, x in enumerate(("source", "target"))]
-    return sides[0].unionByName(sides[1])
+    sides = F.array(*[F.struct((F.col("idx") * 2 + i).alias("place"), F.col(f"{x}_kind").alias("kind"), F.col(f"{x}_key").alias("key"), F.col(f"{x}_type").alias("type")) for i, x in enumerate(("source", "target"))])
+    return edges.select("seq", F.explode(sides).alias("end"), "first_seen", "last_seen").select("seq", "end.*", "first_seen", "last_seen")
 
 
 def stubs(rows: DataFrame, edges: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sightline.operators.context import members, object_text
+from sightline.session import settled
 
 # Within an envelope, then across envelopes, by table. "last" and "first": of the rows in order, whole rows within an
 # envelope; "keep": the last that isn't null.
@@ -68,7 +69,7 @@ def fold_edges(df: DataFrame, keys: list[str]) -> DataFrame:
 
     Members are merged as rows, so an edge that is reported any number of times is no burden.
     """
-    within = fold(df, [*keys, "seq"], {"first_seen": "min", "last_seen": "max", "confidence": "first_set", "metadata": "first"}, "idx")
+    within = settled(fold(df, [*keys, "seq"], {"first_seen": "min", "last_seen": "max", "confidence": "first_set", "metadata": "first"}, "idx"))
     rows = within.groupBy(*keys).agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), law("keep", "confidence", "seq"), F.count("*").alias("n_envelopes"), F.max("metadata").alias("only_"))
     single = within.select(*keys, "seq", F.explode(members(F.col("metadata"))).alias("m")).select(*keys, "seq", "m.k", "m.v")
     latest = single.groupBy(*keys, "k").agg(F.max(F.struct("seq", "v"))["v"].alias("v"))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sightline.operators.build import entity_id
 from sightline.operators.folds import first_row
 from sightline.plans.schemas import LOOKUP_SOURCES, LOOKUP_TAGS, LOOKUP_TTL_DAYS
+from sightline.session import settled
 
 
 def last_distinct(rows: DataFrame, keys: list[str], value: str, most: int, *order: str) -> DataFrame:
@@ -16,8 +17,6 @@ def last_distinct(rows: DataFrame, keys: list[str], value: str, most: int, *orde
 
     Values are counted as rows and ranked in each key; no key's rows are gathered, only at most `most` values.
     """
-    from pyspark.sql import Window
-
     first = rows.where(F.col(value).isNotNull() & (F.col(value) != "")).groupBy(*keys, value).agg(F.min(F.struct(*order)).alias("p"))
     late = first.withColumn("n", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("p").desc()))).where(F.col("n") <= most)
     return late.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), F.col(value).alias("v")))), lambda x: x["v"]).alias("values"))
@@ -30,7 +29,7 @@ def fold_lookup(verdicts: DataFrame) -> DataFrame:
     that is set, and the sources and tags, the last 32 and 64 of them once there is more than one envelope.
     """
     keys = ["type", "value"]
-    rows = first_row(verdicts, [*keys, "seq"])
+    rows = settled(first_row(verdicts, [*keys, "seq"]))  # read three times below
     out = rows.groupBy(*keys).agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.max("confidence").alias("confidence"), F.count("*").alias("n_envelopes"), F.max("tags").alias("only_"))
     sources = last_distinct(rows, keys, "source", LOOKUP_SOURCES, "seq").withColumnRenamed("values", "sources")
     tags = rows.select(*keys, "seq", F.posexplode("tags").alias("i", "tag"))

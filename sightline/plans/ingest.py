@@ -37,6 +37,19 @@ def ordered(rows: DataFrame, first: int) -> DataFrame:
     return rows.join(keys.select("path", "seq"), "path")
 
 
+def counters(rows: DataFrame, made: DataFrame, claimed: DataFrame, now: Column) -> DataFrame:
+    """What a batch did, as increments: envelopes by outcome, records by kind, and drops by reason, of each source."""
+    done = rows.join(claimed.withColumn("new", F.lit(True)), "seq", "left")
+    outcome = F.when(F.col("stage").isNotNull(), "dead_letter").when(F.col("new"), "written").otherwise("duplicate")
+    taken = made.join(claimed, "seq", "left_semi")
+    parts = [
+        done.select("source", F.lit("envelopes").alias("metric"), outcome.alias("label")),
+        taken.where("reason is null").select("source", F.lit("records").alias("metric"), F.col("kind").alias("label")),
+        taken.where("reason is not null").select("source", F.lit("dropped").alias("metric"), F.col("reason").alias("label")),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("source", "metric", "label").agg(F.count("*").alias("n")).withColumn("at", now)
+
+
 def process(files: DataFrame, store: Store, batch: str, now: Column, sources: DataFrame | None = None, max_drop_ratio: float = MAX_DROP_RATIO, attempts: DataFrame | None = None) -> dict[str, int]:
     """Take in a batch of files (path, modified, body); returns how many envelopes were written, duplicates or parked.
 
@@ -91,6 +104,7 @@ def process(files: DataFrame, store: Store, batch: str, now: Column, sources: Da
         "ingest_envelope": good.join(claimed, "seq", "left_semi").join(taken.groupBy("seq").agg(F.count("*").alias("record_count")), "seq", "left").select("seq", "source", F.col("digest").alias("envelope_digest"), F.col("e.content_hash").alias("content_hash"), F.col("e.source_run_id").alias("source_run_id"), F.col("e.schema_version").alias("schema_version"), F.coalesce("record_count", F.lit(0)).alias("record_count"), F.col("e.raw_ref").alias("raw_ref"), now.alias("received_at")),
         "dead_letter": dead_letters.rows(rows.where("stage is not null").select(F.coalesce("source", envelopes.source_of(F.col("body"))).alias("source"), F.col("path").alias("message_id"), "stage", "reason", F.col("body").cast("string").alias("body"), now.alias("failed_at"))),
     }
+    deltas["metrics_log"] = counters(rows, made, claimed, now)
     archive.put(store.spark, f"{store.root}/raw", rows.where("inline is not null").select(archive.content_hash(F.col("inline")).alias("content_hash"), archive.media_type(F.col("e.raw")).alias("media_type"), F.col("inline").alias("body")))
     store.commit(batch, deltas)
     n = rows.agg(F.count("*").alias("all"), F.count("stage").alias("parked")).first()

@@ -17,6 +17,9 @@ from sightline.operators import folds, lookup
 from sightline.plans.schemas import TABLES, VERSION
 
 
+FOLDED = ("entity", "indicator", "cve", "breach", "relationship")
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -35,7 +38,7 @@ class Store:
     def _manifest(self) -> dict:
         names = sorted(self._names("manifest"))
         if not names:
-            return {"version": VERSION, "batches": [], "snapshot": None, "folded": 0}
+            return {"version": VERSION, "batches": []}
         text = self.spark.read.text(f"{self.root}/manifest/{names[-1]}", wholetext=True).first()[0]
         return json.loads(text)
 
@@ -75,7 +78,9 @@ class Store:
 
     def delta(self, table: str, since: int = 0) -> DataFrame:
         """The rows of the named batches as they were written, with seq (arrival of the envelope) and idx."""
-        names = self._manifest()["batches"][since:]
+        manifest = self._manifest()
+        whole, count = manifest.get("compacted", {}).get(table, (None, 0)) if not since else (None, 0)
+        names = [whole] * (whole is not None) + manifest["batches"][max(since, count) :]
         there = [n for n in names if self._fs().exists(self._path(f"{table}/batch={n}"))]
         place = {"ingest_envelope": ", seq long"} | dict.fromkeys(("indicator", "cve", "breach", "relationship"), ", seq long, idx int")
         schema = TABLES[table][0] + place.get(table, "")
@@ -103,6 +108,23 @@ class Store:
             return lookup.fold_lookup(rows)
         return rows
 
+    def compact(self, *tables: str) -> None:
+        """Write tables in their folded form, which stands for all batches so far: later reads fold it with what came
+        since. Of entity, indicator, cve, breach and relationship; the lookup's order of tags needs its batches."""
+        manifest = self._manifest()
+        count, done = len(manifest["batches"]), dict(manifest.get("compacted", {}))
+        for table in tables or FOLDED:
+            if table not in FOLDED:
+                raise ValueError(f"{table} is not folded")
+            name = f"compact-{count}"
+            rows = self.read(table)
+            if table != "entity":  # stands before all that comes later, behind all that came
+                top = self.delta(table).agg(F.max("seq")).first()[0]
+                rows = rows.withColumn("seq", F.lit(top).cast("long")).withColumn("idx", F.lit(0))
+            rows.write.mode("overwrite").parquet(f"{self.root}/{table}/batch={name}")
+            done[table] = (name, count)
+        self._publish(manifest | {"compacted": done})
+
     def sightings(self, start: str | None = None, end: str | None = None) -> DataFrame:
         """Sightings observed from `start` up to but not at `end`: only the months between are read."""
         rows = self.delta("sighting")

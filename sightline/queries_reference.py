@@ -161,6 +161,19 @@ def drop_gate(spark: SparkSession, d: str) -> DataFrame:
     return build.drop_report(rows, ["envelope_id"]).withColumn("ratio", F.round("ratio", 9))
 
 
+def first_drops(spark: SparkSession, d: str) -> DataFrame:
+    """The first three CVE records of each source with a score that no score can have."""
+    bad = ~F.coalesce(F.col("cve.cvss_score").between(0, 10), F.lit(True)) | ~F.coalesce(F.col("cve.epss_score").between(0, 1), F.lit(True))
+    rows = table(spark, d, "cve_records").select(C.lower_trimmed(F.col("source_slug")).alias("slug"), "record_id", F.when(bad, "score").alias("reason"))
+    return build.drop_examples(rows, ["slug"], ["record_id"]).select("slug", "record_id", F.col("n").cast("long").alias("place"))
+
+
+def written_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Records of each kind in each envelope."""
+    rows = [table(spark, d, f"{x}_records").select("envelope_id", "kind") for x in ("indicator", "cve", "breach")]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2]).groupBy("envelope_id", "kind").agg(F.count("*").alias("n"))
+
+
 def drops_by_reason(spark: SparkSession, d: str) -> DataFrame:
     return build.built(records(spark, d)).where("reason is not null").groupBy("source", "reason").agg(F.count("*").alias("n"))
 
@@ -394,7 +407,7 @@ def stream_windows(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = (
     defanged_values, canonical_indicators, inferred_types, hash_values, ipv4_values, cve_ids, breach_slugs, endpoint_keys, effective_contexts, seen_windows, empty_contexts, edge_windows,
-    indicator_problems, cve_problems, breach_problems, edge_problems, drop_gate, drops_by_reason, entity_registry, cve_entities, cve_fold, breach_fold, indicator_fold, edge_fold,
+    indicator_problems, cve_problems, breach_problems, edge_problems, drop_gate, first_drops, written_counts, drops_by_reason, entity_registry, cve_entities, cve_fold, breach_fold, indicator_fold, edge_fold,
     edge_fold_as_written, first_deliveries, source_runs, lookup_table, capped_tags, source_status, sources_list, stub_cves, stub_rows, breach_domains, self_edges, node_degrees, two_hops,
     reachable, orphan_sightings, similar_names, sightings_by_month, retained_months, archive_keys, dead_letter_rows, event_rates, event_increase, duplicate_ratio, delivery_quantiles,
     alert_silent_sources, alert_held, stream_windows,

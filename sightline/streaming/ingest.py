@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +39,31 @@ def start(spark: SparkSession, landing: str, store: Store, checkpoint: str, sour
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 seconds")).start()
 
 
+def progress(query: StreamingQuery) -> dict[str, float]:
+    """Gauges of a running stream: files waiting and rows taken in with the last micro-batch, and its seconds."""
+    last = query.lastProgress
+    if not last:
+        return {"pending": 0, "rows": 0, "seconds": 0.0}
+    waiting = [s.get("metrics", {}).get("numFilesOutstanding", 0) for s in last["sources"]]
+    return {"pending": float(sum(map(float, waiting))), "rows": last["numInputRows"], "seconds": last.get("durationMs", {}).get("triggerExecution", 0) / 1000}
+
+
+def supervise(begin: Callable[[], StreamingQuery], most: int | None = None, wait: Callable[[float], None] = time.sleep, longest: float = 30.0) -> int:
+    """Keep a stream running: after a failure it is begun again from its checkpoint, after 1, 2, 4, ... up to 30 seconds.
+    Returns the number of failures once it ends without one, or after `most`."""
+    failures, pause = 0, 1.0
+    while True:
+        try:
+            begin().awaitTermination()
+            return failures
+        except Exception:
+            failures += 1
+            if most is not None and failures >= most:
+                return failures
+            wait(pause)
+            pause = min(2 * pause, longest)
+
+
 def windowed_counts(stream: DataFrame, at: str, label: str, window: str = "5 minutes", late: str = "10 minutes") -> DataFrame:
     """label, start, n: rows by window of time, given out once the watermark has passed the window's end."""
     rows = stream.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, late)

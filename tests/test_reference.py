@@ -199,6 +199,46 @@ def test_store_and_stream(spark, tmp_path):
     assert process(files, store, "again", F.lit(NOW).cast("timestamp")) == {"written": 0, "duplicate": 3, "parked": 2}
 
 
+def test_compaction_changes_nothing(spark, tmp_path):
+    land, now = tmp_path / "in", F.lit(NOW).cast("timestamp")
+    edge = {"source": {"kind": "cve", "value": "CVE-2024-1234"}, "target": {"kind": "indicator", "value": "mal.example"}, "type": "exploits"}
+    for i in range(3):
+        write(land, f"{i}.json", doc(source_run_id=str(i), collected_at=f"2025-01-0{i + 1}T00:00:00Z", records=[{"kind": "cve", "cve": {"cve_id": "CVE-2024-1234", "summary": [None, "two", None][i], "cvss_score": [1, None, 3][i]}}], relationships=[edge | {"metadata": {"k": i, f"m{i}": 1}}]))
+    store = Store(spark, f"file://{tmp_path}/store")
+    tables = ("entity", "indicator", "cve", "breach", "relationship")
+    for i in range(3):
+        api.load(spark, str(land / f"{i}.json"), store, f"b{i}", now)
+        before = {t: sorted(map(str, store.read(t).collect())) for t in tables}
+        api.maintain(store, compact=i != 2)
+        assert {t: sorted(map(str, store.read(t).collect())) for t in tables} == before
+    assert store.read("cve").first()["cvss_score"] == 3 and store.read("cve").first()["summary"] == "two"
+    assert json.loads(store.read("relationship").first()["metadata"]) == {"k": 2, "m0": 1, "m1": 1, "m2": 1}
+    log = {(r["metric"], r["label"]): r["n"] for r in store.read("metrics_log").groupBy("metric", "label").agg(F.sum("n").alias("n")).collect()}
+    assert log == {("envelopes", "written"): 3, ("records", "cve"): 3}
+
+
+def test_supervision():
+    from sightline.streaming.ingest import supervise
+
+    waits, left = [], [3]
+
+    class Query:
+        def awaitTermination(self):
+            if left[0]:
+                left[0] -= 1
+                raise RuntimeError("down")
+
+    assert supervise(Query, wait=waits.append, longest=3) == 3 and waits == [1, 2, 3]
+    left[0] = 9
+    assert supervise(Query, most=2, wait=waits.append) == 2
+
+
+def test_months_ahead():
+    from datetime import date
+
+    assert api.months_ahead(date(2024, 11, 30), 3) == ["2024_11", "2024_12", "2025_01", "2025_02"]
+
+
 def test_sources_attempts_and_limits(spark, tmp_path):
     land = tmp_path / "in"
     write(land, "1.json", doc(source="off"))
