@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import os
 import re
 from array import array
 from collections.abc import Callable, Iterator
@@ -31,6 +32,10 @@ SPLITS = re.compile("|".join(f"(?<=[{a}])(?=[{b}])" for ka, a in _KINDS.items()
 def encoding(path: str):
     import tiktoken
 
+    if not os.path.exists(path):  # the package that holds the files may lie elsewhere on an executor
+        import public_tokenizers
+
+        path = public_tokenizers.path(os.path.basename(path))
     with open(path, "rb") as file:
         ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, file)}
     return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
