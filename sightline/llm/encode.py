@@ -86,16 +86,16 @@ def _lists(found: list[np.ndarray]) -> pa.ListArray:
 
 def _apart(batches: Iterator[pa.RecordBatch], cut: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for doc, text in zip(batch.column(0), batch.column(1).to_pylist()):
-            pieces = [text[i : i + cut] for i in range(0, len(text), cut)]
-            for i in range(0, len(pieces), 64):
-                some = pieces[i : i + 64]
-                yield pa.RecordBatch.from_arrays([pa.array([doc.as_py()] * len(some), batch.column(0).type), pa.array(range(i, i + len(some)), pa.int32()), pa.array(some)], names=["id", "piece", "text"])
+        for row, text in enumerate(batch.column(2).to_pylist()):
+            for i in range(0, len(text), 64 * cut):
+                some = [text[j : j + cut] for j in range(i, min(i + 64 * cut, len(text)), cut)]
+                same = pa.array([row] * len(some))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(same), batch.column(1).take(same), pa.array(range(i // cut, i // cut + len(some)), pa.int32()), pa.array(some)], names=["id", "keep", "piece", "text"])
 
 
-def _branches(df: DataFrame, row_id: str, text: str, path: str, cut: int, only_sizes: bool) -> DataFrame:
-    rows = df.select(F.col(row_id).alias("id"), F.col(text).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
+def _branches(df: DataFrame, row_id: str, text: str, path: str, cut: int, only_sizes: bool, keep: tuple[str, ...] = ()) -> DataFrame:
+    rows = df.select(F.col(row_id).alias("id"), F.struct(F.lit(0).alias("none"), *keep).alias("keep"), F.col(text).alias("text"))
+    base = f"id {rows.schema['id'].dataType.simpleString()}, keep {rows.schema['keep'].dataType.simpleString()}"
     out = "n_ids long" if only_sizes else "ids array<int>"
     result = lambda found: pa.array([len(x) for x in found], pa.int64()) if only_sizes else _lists(found)
 
@@ -104,26 +104,27 @@ def _branches(df: DataFrame, row_id: str, text: str, path: str, cut: int, only_s
         for batch in batches:
             for i in range(0, batch.num_rows, 1000):
                 some = batch.slice(i, 1000)
-                found = [encode(x or "") for x in some.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([some.column(0), result(found)], names=["id", out.split()[0]])
+                found = [encode(x or "") for x in some.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), result(found)], names=["id", "keep", out.split()[0]])
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
         for batch in batches:
             for i in range(0, batch.num_rows, 64):
                 some = batch.slice(i, 64)
-                yield pa.RecordBatch.from_arrays([*some.columns, _lists([encode(x) for x in some.column(2).to_pylist()])], names=["id", "piece", "text", "ids"])
+                yield pa.RecordBatch.from_arrays([*some.columns, _lists([encode(x) for x in some.column(3).to_pylist()])], names=["id", "keep", "piece", "text", "ids"])
 
-    def together(batches: pa.Table) -> pa.Table:
-        table = batches.sort_by("piece")
+    def together(group: pa.Table) -> pa.Table:
+        table = group.sort_by("piece")
         parts = [(t, np.array(x.values, np.uint32)) for t, x in zip(table.column("text").to_pylist(), table.column("ids"))]
-        return pa.table({"id": table.column("id").slice(0, 1), out.split()[0]: result([joined(parts, encoder(path))])})
+        return pa.table({"id": table.column("id").slice(0, 1), "keep": table.column("keep").slice(0, 1), out.split()[0]: result([joined(parts, encoder(path))])})
 
     long = F.coalesce(F.length("text") > cut, F.lit(False))
-    short = rows.where(~long).mapInArrow(whole, f"id {kind}, {out}")
-    split = rows.where(long).mapInArrow(lambda it: _apart(it, cut), f"id {kind}, piece int, text string").repartition("id", "piece")
-    parts = split.mapInArrow(pieces, f"id {kind}, piece int, text string, ids array<int>")
-    return short.unionByName(parts.groupBy("id").applyInArrow(together, f"id {kind}, {out}")).withColumnRenamed("id", row_id)
+    short = rows.where(~long).mapInArrow(whole, f"{base}, {out}")
+    split = rows.where(long).mapInArrow(lambda it: _apart(it, cut), f"{base}, piece int, text string").repartition("id", "piece")
+    parts = split.mapInArrow(pieces, f"{base}, piece int, text string, ids array<int>")
+    both = short.unionByName(parts.groupBy("id").applyInArrow(together, f"{base}, {out}"))
+    return both.select(F.col("id").alias(row_id), *[f"keep.{c}" for c in keep], out.split()[0])
 
 
 def encoded(df: DataFrame, row_id: str, text: str, path: str = TOKENIZER, cut: int = CUT) -> DataFrame:
@@ -136,6 +137,6 @@ def encoded(df: DataFrame, row_id: str, text: str, path: str = TOKENIZER, cut: i
     return _branches(df, row_id, text, path, cut, only_sizes=False)
 
 
-def sizes(df: DataFrame, row_id: str, text: str, path: str = TOKENIZER, cut: int = CUT) -> DataFrame:
-    """row_id, n_ids: how many ids `encoded` gives, without handing them over."""
-    return _branches(df, row_id, text, path, cut, only_sizes=True)
+def sizes(df: DataFrame, row_id: str, text: str, path: str = TOKENIZER, cut: int = CUT, keep: tuple[str, ...] = ()) -> DataFrame:
+    """row_id, the columns of `keep`, n_ids: how many ids `encoded` gives, without handing them over."""
+    return _branches(df, row_id, text, path, cut, only_sizes=True, keep=keep)

@@ -78,8 +78,7 @@ def p6_ids(spark: SparkSession, d: str, tokenizer: str = TOKENIZER) -> DataFrame
 
 def _mix_plan(spark: SparkSession, d: str, tokenizer: str) -> tuple[DataFrame, DataFrame, list]:
     docs, targets = _documents(spark, d), spark.read.parquet(f"{d}/mix_targets.parquet")
-    sized = sizes(docs.select("doc_id", "text"), "doc_id", "text", tokenizer)
-    sized = settled(sized.join(docs.select("doc_id", "source"), "doc_id").select(F.col("doc_id").alias("id"), "source", "n_ids"))
+    sized = settled(sizes(docs, "doc_id", "text", tokenizer, keep=("source",)).withColumnRenamed("doc_id", "id"))
     return sized, targets, rates(sized, targets)
 
 
