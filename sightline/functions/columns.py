@@ -14,16 +14,16 @@ from pyspark.sql import types as T
 
 from sightline.functions import scalar
 
-BLANK_CLASS = r"\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 NAME = r"(?:[a-z0-9_](?:[a-z0-9_]|-(?!-))*(?<!-)\.)+[a-z_](?:[a-z0-9_]|-(?!-))*(?<!-)"  # labels without hyphens at an end or in a row; the last is no number
 HOST_PORT = rf"({NAME})(?::([0-9]*))?"
 PATH = r"((?:/(?!/|\.)[a-zA-Z0-9_.~$&+,:;=@!'()*-]*)*)"
 QUERY = r"(?:\?([^#%\x00-\x1F\x7F]*))?"
+LINK = rf"^(?:([a-zA-Z][a-zA-Z0-9+.-]*)://)?(?i:{HOST_PORT}){PATH}{QUERY}(?:#[^%]*)?\z"
 RESULT = T.StructType([T.StructField("type", T.StringType()), T.StructField("value", T.StringType())])
 
 
 def trim_blanks(c: Column) -> Column:
-    return F.regexp_replace(c, f"^[{BLANK_CLASS}]+|[{BLANK_CLASS}]+\\z", "")
+    return F.btrim(c, F.lit(scalar.BLANKS))
 
 
 def lower_trimmed(c: Column) -> Column:
@@ -37,7 +37,7 @@ def ascii_lower(c: Column) -> Column:
 
 def defang(c: Column) -> Column:
     """Undo the spellings by which values are disarmed; null for null."""
-    v = F.regexp_replace(trim_blanks(c), "^[<>\"'`]+|[<>\"'`]+\\z", "")
+    v = F.btrim(trim_blanks(c), F.lit(scalar.QUOTES))
     v = F.regexp_replace(v, r"(?i)^(?:h(?:xxp|xtp|\*\*p)|htxp)s(?=[\[({]?:)", "https")
     v = F.regexp_replace(v, r"(?i)^(?:h(?:xxp|xtp|\*\*p)|htxp)(?=[\[({]?:)", "http")
     v = F.regexp_replace(v, r"(?i)^fxp(?=[\[({]?:)", "ftp")
@@ -71,56 +71,52 @@ def with_observable(df: DataFrame, name: str, kind: Column, raw: Column) -> Data
 
     It is built in steps, each a projection of its own, so that no expression is written out twice.
     """
-    k, v, low, fast, ask = (f"{name}_{x}_" for x in ("kind", "v", "low", "fast", "ask"))
+    k, v, low, parts, fast, ask = (f"{name}_{x}_" for x in ("kind", "v", "low", "parts", "fast", "ask"))
     df = df.withColumns({k: F.coalesce(F.nullif(kind, F.lit("")), F.lit("auto")), f"{name}_raw_": raw, v: defang(raw)}).withColumn(low, F.lower(v))
-    df = df.withColumn(fast, _fast(F.col(k), F.col(v), F.col(low)))
+    df = df.withColumn(parts, _link(F.col(k), F.col(v)))
+    df = df.withColumn(fast, _fast(F.col(k), F.col(v), F.col(low), F.col(parts)))
     df = df.withColumn(ask, F.coalesce(F.col(fast)["value"].isNull() & (F.col(v) != ""), F.lit(False)))
     df = df.withColumn(name, _rest(F.when(F.col(ask), F.col(k)), F.when(F.col(ask), F.col(f"{name}_raw_"))))
-    return df.withColumn(name, F.when(F.col(ask), F.col(name)).otherwise(F.col(fast))).drop(k, v, low, fast, ask, f"{name}_raw_")
+    return df.withColumn(name, F.when(F.col(ask), F.col(name)).otherwise(F.col(fast))).drop(k, v, low, parts, fast, ask, f"{name}_raw_")
 
 
-def _fast(declared: Column, v: Column, low: Column) -> Column:
+def _link(declared: Column, v: Column) -> Column:
+    """[scheme, host, port, path, query] of an ordinary URL, from one match; null of anything else. A value whose type is
+    to be inferred is one only with a scheme, or with a slash and without an at sign."""
+    maybe = (declared == "url") | ((declared == "auto") & (v.contains("://") | (v.contains("/") & ~v.contains("@"))))
+    parts = F.split(F.regexp_replace(v, LINK, "$1\x01$2\x01$3\x01$4\x01$5"), "\x01")
+    return F.when(maybe & ~v.contains("\x01"), F.when(F.size(parts) == 5, parts))
+
+
+def _fast(declared: Column, v: Column, low: Column, parts: Column) -> Column:
     """struct(type, value) of ordinary spellings, null for all others."""
     auto = declared == "auto"
     size = F.length(v)
-    is_hex = low.rlike(r"^[0-9a-f]+\z")
     by_size = F.when(size == 32, "md5").when(size == 40, "sha1").when(size == 64, "sha256").when(size == 128, "sha512")
-    dotted = v.rlike(rf"^{scalar.OCTET}(?:\.{scalar.OCTET}){{3}}\z")
-    mail = rf"^([a-z0-9._+-]+)@({NAME})\.?\z"
-    link = rf"^([a-zA-Z][a-zA-Z0-9+.-]*)://(?i:{HOST_PORT}){PATH}{QUERY}(?:#[^%]*)?\z"
-    bare = rf"^(?i:{HOST_PORT}){PATH}{QUERY}(?:#[^%]*)?\z"
-    name = rf"^({NAME})\.?\z"
-    short = F.length(low) <= 253
+    mail = rf"^[a-z0-9._+-]+@{NAME}\.?\z"
+    made = lambda t, x: F.struct((F.lit(t) if isinstance(t, str) else t).alias("type"), x.alias("value"))
+    dotless = F.regexp_replace(low, r"\.\z", "")
+    named = F.length(low) <= 253
     labels = ~low.rlike(r"[a-z0-9_-]{64}")
-    made = lambda t, x: F.struct(F.lit(t).alias("type") if isinstance(t, str) else t.alias("type"), x.alias("value"))
-
-    def url(pattern: str, scheme: Column | None) -> Column:
-        g = lambda i: F.regexp_extract(v, pattern, i)
-        k = 1 if scheme is None else 0
-        scheme = F.lower(g(1)) if scheme is None else scheme
-        port, path, query = g(2 + k), g(3 + k), g(4 + k)
-        default = F.create_map(*[F.lit(x) for kv in scalar.DEFAULT_PORT.items() for x in kv])
-        return F.concat(
-            scheme, F.lit("://"), F.lower(g(1 + k)),
-            F.when((port == "") | F.coalesce(default[scheme] == port, F.lit(False)), "").otherwise(F.concat(F.lit(":"), port)),
-            F.when(path == "", "/").otherwise(path), F.when(query == "", "").otherwise(F.concat(F.lit("?"), query)),
-        )
-
-    has_scheme = v.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*://")
-    fast = F.when(auto & is_hex & by_size.isNotNull(), made(by_size, low))
+
+    scheme = F.when(parts[0] == "", "http").otherwise(F.lower(parts[0]))
+    default = F.create_map(*[F.lit(x) for kv in scalar.DEFAULT_PORT.items() for x in kv])
+    url = F.concat(
+        scheme, F.lit("://"), F.lower(parts[1]),
+        F.when((parts[2] == "") | F.coalesce(default[scheme] == parts[2], F.lit(False)), "").otherwise(F.concat(F.lit(":"), parts[2])),
+        F.when(parts[3] == "", "/").otherwise(parts[3]), F.when(parts[4] == "", "").otherwise(F.concat(F.lit("?"), parts[4])),
+    )
+
+    fast = F.when(auto & by_size.isNotNull() & low.rlike(r"^[0-9a-f]+\z"), made(by_size, low))
     for algorithm, n in scalar.HEX_LENGTH.items():
         digits = F.regexp_replace(low, f"^{algorithm}:", "")
         fast = fast.when((declared == algorithm) & digits.rlike(rf"^[0-9a-f]{{{n}}}\z"), made(algorithm, digits))
-    fast = (
-        fast.when(declared.isin("auto", "ipv4") & dotted, made("ipv4", v))
-        .when((declared == "url") & v.rlike(link), made("url", url(link, None)))
-        .when(auto & v.rlike(link), made("url", url(link, None)))
-        .when((declared == "url") & ~has_scheme & v.rlike(bare), made("url", url(bare, F.lit("http"))))
-        .when(auto & ~v.contains("@") & v.contains("/") & v.rlike(bare), made("url", url(bare, F.lit("http"))))
-        .when(declared.isin("auto", "domain") & short & labels & low.rlike(name), made("domain", F.regexp_extract(low, name, 1)))
-        .when(declared.isin("auto", "email") & short & labels & low.rlike(mail), made("email", F.concat_ws("@", F.regexp_extract(low, mail, 1), F.regexp_extract(low, mail, 2))))
+    return (
+        fast.when(parts.isNotNull(), made("url", url))
+        .when(declared.isin("auto", "ipv4") & v.rlike(rf"^{scalar.OCTET}(?:\.{scalar.OCTET}){{3}}\z"), made("ipv4", v))
+        .when(declared.isin("auto", "domain") & named & low.rlike(rf"^{NAME}\.?\z") & labels, made("domain", dotless))
+        .when(declared.isin("auto", "email") & named & low.rlike(mail) & labels, made("email", dotless))
     )
-    return fast
 
 
 def cve_id(c: Column) -> Column:
