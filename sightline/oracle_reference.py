@@ -157,6 +157,23 @@ def oracle_sql() -> dict[str, str]:
             select f.source_key, f.target_key, f.type, first_us, last_us, confidence, case when n = 1 and nm = 0 then null else coalesce(m, '{{}}') end as metadata from f left join m on f.source_key = m.source_key and f.target_key = m.target_key and f.type is not distinct from m.type""",
         "first_deliveries": f"select {slug_of('source')} as source, envelope_digest, arg_min(envelope_id, (received_at, envelope_id)) as envelope_id, epoch_us(min(received_at)) as received_us, count(*) as n_deliveries from envelopes group by 1, 2",
         "source_runs": f"select slug, greatest(epoch_us(last_run_at), latest) as last_run_us from sources left join (select {slug_of('source')} as slug, max(epoch_us(collected_at)) as latest from envelopes group by 1) using (slug)",
+        "lookup_hashes": f"""
+            with {ONCE}, v as (select envelope_id as seq, record_index as idx, source_slug, context, indicator.type as k, lower({defang('indicator.raw_value')}) as v, epoch_us(coalesce(observed_at, collected_at)) as o
+                              from indicator_records join e using (envelope_id) where indicator.type in ('md5', 'sha1', 'sha256', 'sha512')),
+                 h as (select *, case when starts_with(v, k || ':') then substr(v, length(k) + 2) else v end as h from v),
+                 r as (select seq, idx, k as type, h as value, least(o, {first}) as first_us, greatest(o, {last}) as last_us, {slug_of('source_slug')} as source, coalesce(context.tags, []) as tags, context.confidence as confidence
+                       from h where regexp_full_match(h, '[0-9a-f]+') and length(h) = case k when 'md5' then 32 when 'sha1' then 40 when 'sha256' then 64 else 128 end),
+                 w as (select seq, type, value, unnest(arg_min({{'first_us': first_us, 'last_us': last_us, 'source': source, 'tags': tags, 'confidence': confidence}}, idx)) from r group by 1, 2, 3),
+                 s0 as (select type, value, source, min(seq) as p from w where source <> '' group by 1, 2, 3),
+                 s1 as (select *, row_number() over (partition by type, value order by p desc) as n from s0),
+                 s as (select type, value, string_agg(source, '|' order by n desc) as sources from s1 where n <= 32 group by 1, 2),
+                 t0 as (select type, value, seq, unnest(tags) as tag, generate_subscripts(tags, 1) as i from w),
+                 t1 as (select type, value, tag, min((seq, i)) as p from t0 where tag <> '' group by 1, 2, 3),
+                 t2 as (select *, row_number() over (partition by type, value order by p desc) as n from t1),
+                 t as (select type, value, string_agg(tag, '|' order by n desc) as tags from t2 where n <= 64 group by 1, 2),
+                 f as (select type, value, min(first_us) as first_us, max(last_us) as last_us, max(confidence) as confidence, count(*) as n, array_to_string(max(tags), '|') as own from w group by 1, 2)
+            select f.type, f.value, first_us, last_us, confidence, coalesce(s.sources, '') as sources, case when n = 1 then own else coalesce(t.tags, '') end as tags
+            from f left join s on s.type = f.type and s.value = f.value left join t on t.type = f.type and t.value = f.value""",
         "capped_tags": f"""
             with x as (select {slug_of('source_slug')} as slug, record_id, unnest(context.tags) as tag, generate_subscripts(context.tags, 1) as i from indicator_records),
                  f as (select slug, tag, min((record_id, i)) as p from x where slug is not null and tag <> '' group by 1, 2),

@@ -257,6 +257,16 @@ def lookup_table(spark: SparkSession, d: str) -> DataFrame:
     return out.select("entity_id", "type", "value", us("first_seen", "first_us"), us("last_seen", "last_us"), F.array_join("sources", "|").alias("sources"), F.array_join("tags", "|").alias("tags"), "confidence")
 
 
+def lookup_hashes(spark: SparkSession, d: str) -> DataFrame:
+    """The lookup table of values that are declared to be hashes."""
+    rows = table(spark, d, "indicator_records").where(F.col("indicator.type").isin("md5", "sha1", "sha256", "sha512")).join(envelopes_once(spark, d).select("envelope_id", "collected_at"), "envelope_id")
+    first, last = context.seen_window(F.col("context"), F.coalesce("observed_at", "collected_at"))
+    rows = C.with_observable(rows, "seen", F.col("indicator.type"), F.col("indicator.raw_value")).where("seen.value is not null")
+    verdicts = rows.select(F.col("envelope_id").alias("seq"), F.col("record_index").alias("idx"), "seen.type", "seen.value", first.alias("first_seen"), last.alias("last_seen"), C.lower_trimmed(F.col("source_slug")).alias("source"), F.coalesce("context.tags", F.array().cast("array<string>")).alias("tags"), F.col("context.confidence").alias("confidence"))
+    out = lookup.fold_lookup(verdicts)
+    return out.select("type", "value", us("first_seen", "first_us"), us("last_seen", "last_us"), F.array_join("sources", "|").alias("sources"), F.array_join("tags", "|").alias("tags"), "confidence")
+
+
 def capped_tags(spark: SparkSession, d: str) -> DataFrame:
     """The last 8 of the distinct tags of each source, in the order in which they first came."""
     rows = table(spark, d, "indicator_records").select(C.lower_trimmed(F.col("source_slug")).alias("slug"), "record_id", F.posexplode("context.tags").alias("i", "tag")).where("slug is not null")
@@ -408,7 +418,7 @@ def stream_windows(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = (
     defanged_values, canonical_indicators, inferred_types, hash_values, ipv4_values, cve_ids, breach_slugs, endpoint_keys, effective_contexts, seen_windows, empty_contexts, edge_windows,
     indicator_problems, cve_problems, breach_problems, edge_problems, drop_gate, first_drops, written_counts, drops_by_reason, entity_registry, cve_entities, cve_fold, breach_fold, indicator_fold, edge_fold,
-    edge_fold_as_written, first_deliveries, source_runs, lookup_table, capped_tags, source_status, sources_list, stub_cves, stub_rows, breach_domains, self_edges, node_degrees, two_hops,
+    edge_fold_as_written, first_deliveries, source_runs, lookup_table, lookup_hashes, capped_tags, source_status, sources_list, stub_cves, stub_rows, breach_domains, self_edges, node_degrees, two_hops,
     reachable, orphan_sightings, similar_names, sightings_by_month, retained_months, archive_keys, dead_letter_rows, event_rates, event_increase, duplicate_ratio, delivery_quantiles,
     alert_silent_sources, alert_held, stream_windows,
 )

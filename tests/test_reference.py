@@ -136,6 +136,27 @@ def test_metrics(spark):
     assert [r["l"] for r in held] == ["a"]
 
 
+def test_windows_of_a_hot_label(spark):
+    r = random.Random(9)
+    rows = [("hot" if r.random() < 0.8 else r.choice("ab"), r.randrange(4000) * 7, i, r.random() < 0.9) for i in range(3000)]
+    rows = list({(k, t): (k, t, i, ok) for k, t, i, ok in rows}.values()) + [("a", None, 9999, True)]
+    df = spark.createDataFrame(rows, "l string, t long, id int, ok boolean").withColumn("at", F.timestamp_seconds("t")).withColumn("n", F.lit(1)).repartition(6)
+    got = {x["id"]: x["increase"] for x in metrics.increase(df, ["l"], "at", "n", 600).collect()}
+    assert got == {i: None if t is None else sum(k == q and u is not None and t - 600 < u <= t for q, u, _, _ in rows) for k, t, i, _ in rows}
+    for seconds in (0, 50, 200):
+        want = set()
+        for key in ("hot", "a", "b"):
+            run: list = []
+            for t, ok in [*sorted((t, ok) for k, t, _, ok in rows if k == key and t is not None), (0, False)]:
+                if ok:
+                    run.append(t)
+                    continue
+                if run and run[-1] - run[0] >= seconds:
+                    want.add((key, run[0], run[-1]))
+                run = []
+        assert {(x["l"], int(x["start"].timestamp()), int(x["end"].timestamp())) for x in metrics.firing(df, ["l"], "at", F.col("ok"), seconds).collect()} == want
+
+
 def test_registry(spark):
     rows = spark.createDataFrame([("1", "a", "A", None, "clear", True), ("2", "b", "B", "u", "red", False)], "id string, slug string, name string, url string, tlp string, enabled boolean").withColumns({"config": F.lit(None).cast("string"), "last_run_at": F.lit(None).cast("timestamp"), "created_at": F.lit(NOW).cast("timestamp")})
     got = registry.resolved(spark.createDataFrame([(" A",), ("b",), ("c",), (None,)], "s string"), rows, "s")
