@@ -250,6 +250,7 @@ def test_reading():
         assert hidden not in seen
     assert [subjects.readable(x) for x in (None, "", " \n", "% only", "\\documentclass{a}\n\\begin{document}\\input{x}\\end{document}")] == [""] * 5
     assert subjects.readable('M\\"{a}nnig\\-faltig\ufb01x caf\\\'{\\i}a') == "männigfaltigfix cafía"
+    assert subjects.readable("a \\includegraphics[width=3cm]{figs/x1} b \\bibliographystyle{plain} c \\citep[p. 3]{star} d") == "a b c d"
     assert subjects.readable("50\\% of it % not this") == "50 of it"
 
 
