@@ -26,17 +26,19 @@ def fold_lookup(verdicts: DataFrame) -> DataFrame:
     """verdicts: seq, idx, type, value, first_seen, last_seen, source, tags, confidence.
 
     Of several in one envelope the first counts, whole. Across envelopes: the widest window, the highest confidence
-    that is set, and the sources and tags, the last 32 and 64 of them once there is more than one envelope.
+    that is set, and the sources and tags, the last 32 and 64 of them once there is more than one envelope. If
+    verdicts have refreshed_at, the time at which they were written, the latest is kept.
     """
     keys = ["type", "value"]
     rows = settled(first_row(verdicts, [*keys, "seq"]))  # read three times below
-    out = rows.groupBy(*keys).agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.max("confidence").alias("confidence"), F.count("*").alias("n_envelopes"), F.max("tags").alias("only_"))
+    fresh = [F.max("refreshed_at").alias("refreshed_at")] if "refreshed_at" in verdicts.columns else []
+    out = rows.groupBy(*keys).agg(*fresh, F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.max("confidence").alias("confidence"), F.count("*").alias("n_envelopes"), F.max("tags").alias("only_"))
     sources = last_distinct(rows, keys, "source", LOOKUP_SOURCES, "seq").withColumnRenamed("values", "sources")
     tags = rows.select(*keys, "seq", F.posexplode("tags").alias("i", "tag"))
     tags = last_distinct(tags, keys, "tag", LOOKUP_TAGS, "seq", "i").withColumnRenamed("values", "tags")
     none = F.array().cast("array<string>")
     merged = F.when(F.col("n_envelopes") == 1, F.col("only_")).otherwise(F.coalesce("tags", none))
-    return out.join(sources, keys, "left").join(tags, keys, "left").select(entity_id(F.lit("indicator"), F.col("value")).alias("entity_id"), *keys, "first_seen", "last_seen", F.coalesce("sources", none).alias("sources"), merged.alias("tags"), "confidence")
+    return out.join(sources, keys, "left").join(tags, keys, "left").select(entity_id(F.lit("indicator"), F.col("value")).alias("entity_id"), *keys, "first_seen", "last_seen", F.coalesce("sources", none).alias("sources"), merged.alias("tags"), "confidence", *["refreshed_at"] * len(fresh))
 
 
 def alive(lookup: DataFrame, now: Column, days: int = LOOKUP_TTL_DAYS) -> DataFrame:

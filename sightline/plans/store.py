@@ -85,7 +85,7 @@ class Store:
         place = {"ingest_envelope": ", seq long"} | dict.fromkeys(("indicator", "cve", "breach", "relationship"), ", seq long, idx int")
         schema = TABLES[table][0] + place.get(table, "")
         if table == "lookup":
-            schema = "seq long, idx int, type string, value string, first_seen timestamp, last_seen timestamp, source string, tags array<string>, confidence double"
+            schema = "seq long, idx int, type string, value string, first_seen timestamp, last_seen timestamp, source string, tags array<string>, confidence double, refreshed_at timestamp"
         if not there:
             return self.spark.createDataFrame([], schema)
         rows = None
@@ -108,6 +108,19 @@ class Store:
             return lookup.fold_lookup(rows)
         return rows
 
+    def sources(self) -> DataFrame:
+        """The registry of sources; empty if none was saved."""
+        number = self._manifest().get("sources")
+        schema = "id string, slug string, name string, url string, tlp string, enabled boolean, config string, last_run_at timestamp, created_at timestamp"
+        return self.spark.createDataFrame([], schema) if number is None else self.spark.read.schema(schema).parquet(f"{self.root}/sources/{number}")
+
+    def save_sources(self, rows: DataFrame) -> None:
+        """Replace the registry: written anew, then named in the manifest."""
+        manifest = self._manifest()
+        number = (manifest.get("sources") or 0) + 1
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/sources/{number}")
+        self._publish(manifest | {"sources": number})
+
     def compact(self, *tables: str) -> None:
         """Write tables in their folded form, which stands for all batches so far: later reads fold it with what came
         since. Of entity, indicator, cve, breach and relationship; the lookup's order of tags needs its batches."""
