@@ -96,17 +96,27 @@ def stitched(a: list, b: list) -> list:
     return [a[0], a[1] + b[1], a[2] + b[2], a[3] if a[2] else b[3], b[4] if b[2] else a[4], max(gaps, default=None)]
 
 
+def _unused(df: DataFrame, name: str) -> str:
+    """A name that no column of df has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def ranks(df: DataFrame, key: str, *order: str) -> DataFrame:
     """df with rank_in_key: 1, 2, ... in each key by `order` (nulls first), without a task per key.
 
-    `order` should end in a unique column, else ties are ranked arbitrarily.  The placed rows are written to
+    A column of that name is replaced. `order` should end in a unique column, else ties are ranked arbitrarily.  The placed rows are written to
     the shared folder once; each partition numbers its own, and adds how many rows of its first key came in
     the partitions before (one small row for each partition).
     """
     from sightline.session import settled
 
     n = "rank_in_key"
-    schema = T.StructType([*df.schema, T.StructField("part_", T.IntegerType()), T.StructField(n, T.LongType()), T.StructField("open_", T.BooleanType())])
+    df = df.drop(n)
+    at_part, at_open, at_base = (_unused(df, x) for x in ("part", "open", "base"))
+    schema = T.StructType([*df.schema, T.StructField(at_part, T.IntegerType()), T.StructField(n, T.LongType()), T.StructField(at_open, T.BooleanType())])
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen, before, leading = TaskContext.get().partitionId(), 0, None, True
@@ -122,7 +132,7 @@ def ranks(df: DataFrame, key: str, *order: str) -> DataFrame:
             opened = ~crossed if leading else np.zeros(len(new), bool)
             leading = leading and not crossed[-1]
             seen, before = int(number[-1]), (keys[len(new) - 1].as_py(),)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(new), part, np.int32)), pa.array(number), pa.array(opened)], names=[*batch.schema.names, "part_", n, "open_"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(new), part, np.int32)), pa.array(number), pa.array(opened)], names=[*batch.schema.names, at_part, n, at_open])
 
     def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edge: dict = {}
@@ -130,16 +140,16 @@ def ranks(df: DataFrame, key: str, *order: str) -> DataFrame:
             if batch.num_rows:
                 k, m, p = batch.columns
                 edge.setdefault("first", k[0].as_py())
-                edge |= {"part_": p[0].as_py(), "last": k[batch.num_rows - 1].as_py(), "n": m[batch.num_rows - 1].as_py()}
+                edge |= {at_part: p[0].as_py(), "last": k[batch.num_rows - 1].as_py(), "n": m[batch.num_rows - 1].as_py()}
         if edge:
-            yield pa.RecordBatch.from_pylist([edge], schema=pa.schema([("part_", pa.int32()), ("first", k.type), ("last", k.type), ("n", pa.int64())]))
+            yield pa.RecordBatch.from_pylist([edge], schema=pa.schema([(at_part, pa.int32()), ("first", k.type), ("last", k.type), ("n", pa.int64())]))
 
     local = settled(placed(df, key, *order).mapInArrow(number, schema))
     kind = schema[key].dataType.simpleString()
     carry, count, base = object(), 0, []
-    for r in sorted(local.select(key, n, "part_").mapInArrow(ends, f"part_ int, first {kind}, last {kind}, n long").collect(), key=lambda r: r["part_"]):  # one row a partition
-        base.append((r["part_"], count if r["first"] == carry else 0))
+    for r in sorted(local.select(key, n, at_part).mapInArrow(ends, f"{at_part} int, first {kind}, last {kind}, n long").collect(), key=lambda r: r[at_part]):  # one row a partition
+        base.append((r[at_part], count if r["first"] == carry else 0))
         count = r["n"] + (base[-1][1] if r["first"] == r["last"] else 0)
         carry = r["last"]
-    offsets = F.broadcast(df.sparkSession.createDataFrame(base, "part_ int, base_ long"))
-    return local.join(offsets, "part_").withColumn(n, F.col(n) + F.when(F.col("open_"), F.col("base_")).otherwise(0)).drop("part_", "open_", "base_")
+    offsets = F.broadcast(df.sparkSession.createDataFrame(base, f"{at_part} int, {at_base} long"))
+    return local.join(offsets, at_part).withColumn(n, F.col(n) + F.when(F.col(at_open), F.col(at_base)).otherwise(0)).drop(at_part, at_open, at_base)

@@ -48,7 +48,8 @@ def records(spark: SparkSession, d: str) -> DataFrame:
 
 
 def edges(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "relationship").join(envelopes_once(spark, d).select("envelope_id", "collected_at"), "envelope_id")
+    own = table(spark, d, "relationship").select("envelope_id", "edge_id", "source", "target", "type", "confidence", "first_seen", "last_seen", "metadata")
+    rows = own.join(envelopes_once(spark, d).select("envelope_id", "collected_at"), "envelope_id")
     return rows.withColumnsRenamed({"envelope_id": "seq", "edge_id": "idx"}).withColumns({x: text_time(x) for x in ("first_seen", "last_seen", "collected_at")})
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -33,7 +35,9 @@ def work_dir(spark: SparkSession) -> str:
     if not folder:
         if not context.master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="sightline-")
+        folder = tempfile.mkdtemp(prefix="sightline-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        folder = f"file://{folder}"
     if held.isEmpty():
         context.setCheckpointDir(folder)
     return folder

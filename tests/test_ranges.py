@@ -40,7 +40,7 @@ def test_profile_of_little(spark):
 
 def test_ranks(spark):
     data = rows_with_a_hot_key(2)
-    df = spark.createDataFrame(data, "slug string, u long, id long").repartition(3)
+    df = spark.createDataFrame(data, "slug string, u long, id long").repartition(3).withColumns({c: F.lit("clash") for c in ("rank_in_key", "part", "Open", "base", "base_")})
     got = {r["id"]: r["rank_in_key"] for r in ranks(df, "slug", "u", "id").collect()}
     for key in {k for k, _, _ in data}:
         order = sorted((x for x in data if x[0] == key), key=lambda x: (x[1] is not None, x[1] or 0, x[2]))
