@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from sightline.operators import folds, lookup
 from sightline.plans.schemas import TABLES, VERSION
+from sightline.session import ship
 
 
 FOLDED = ("entity", "indicator", "cve", "breach", "relationship")
@@ -22,6 +23,7 @@ FOLDED = ("entity", "indicator", "cve", "breach", "relationship")
 
 class Store:
     def __init__(self, spark: SparkSession, root: str):
+        ship(spark)
         self.spark, self.root = spark, root.rstrip("/")
         found = self._manifest()
         if found["version"] > VERSION:

@@ -7,6 +7,8 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,9 +24,26 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
     } | conf
     spark = SparkSession.builder.master(f"local[{cores}]").config(map=settings).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once a context: their Python workers need not find it on a path of their own."""
+    context = spark.sparkContext
+    if getattr(context, "_sightline_shipped", False):
+        return
+    folder = tempfile.mkdtemp(prefix="sightline-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    package = Path(__file__).resolve().parent
+    target = os.path.join(folder, "sightline-code.zip")
+    with zipfile.ZipFile(target, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    context.addPyFile(target)
+    context._sightline_shipped = True
+
+
 def work_dir(spark: SparkSession) -> str:
     """The folder that all executors share: the cluster's spark.checkpoint.dir; on one machine a temporary one."""
     context = spark.sparkContext
