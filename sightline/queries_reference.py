@@ -9,7 +9,7 @@ from sightline.functions import columns as C
 from sightline.operators import build, context, folds, fuzzy, graph, lookup, metrics, validate
 from sightline.operators.build import entity_id
 from sightline.plans.schemas import EARLIEST
-from sightline.session import scratch_path
+from sightline.session import scratch_path, settled
 from sightline.sources import archive, dead_letters, registry
 from sightline.streaming.ingest import windowed_counts
 
@@ -54,8 +54,12 @@ def edges(spark: SparkSession, d: str) -> DataFrame:
 
 
 def nodes(spark: SparkSession, d: str) -> DataFrame:
-    name = lambda x: F.concat_ws(":", f"{x}.kind", f"{x}.value")
-    return table(spark, d, "relationship").select(name("source").alias("source"), name("target").alias("target"))
+    """Edges by the entities at their ends, kind:key in canonical form; null where an end has none."""
+    rows = table(spark, d, "relationship").select("source", "target")
+    for x in ("source", "target"):
+        rows = C.with_endpoint_key(rows, x, x)
+    name = lambda x: F.concat(f"{x}_kind", F.lit(":"), f"{x}_key")
+    return rows.select(name("source").alias("source"), name("target").alias("target"))
 
 
 # Scalar rules
@@ -321,7 +325,7 @@ def two_hops(spark: SparkSession, d: str) -> DataFrame:
 
 def reachable(spark: SparkSession, d: str) -> DataFrame:
     """All nodes within three edges of the CVEs that edges begin at."""
-    found = nodes(spark, d)
+    found = settled(nodes(spark, d))  # read in each hop
     return graph.reach(found, found.where(F.col("source").startswith("cve:")).select(F.col("source").alias("node")), 3)
 
 
