@@ -158,12 +158,8 @@ def edge_problems(spark: SparkSession, d: str) -> DataFrame:
 
 
 def drop_gate(spark: SparkSession, d: str) -> DataFrame:
-    """CVE and breach records by envelope: how many have no canonical id, and whether that is too many."""
-    b = F.col("breach")
-    cves = table(spark, d, "cve_records").select("envelope_id", C.cve_id(F.col("cve.cve_id")).alias("key"))
-    breaches = table(spark, d, "breach_records").select("envelope_id", C.breach_slug(b["slug"], b["name"], F.year(b["breach_date"]), F.year(b["disclosed_at"])).alias("key"))
-    rows = cves.unionByName(breaches).withColumn("reason", F.when(F.col("key").isNull(), "canonicalise"))
-    return build.drop_report(rows, ["envelope_id"]).withColumn("ratio", F.round("ratio", 9))
+    """All records by envelope: how many are dropped, and whether that is too many."""
+    return build.drop_report(build.built(records(spark, d)), ["seq"]).withColumnRenamed("seq", "envelope_id").withColumn("ratio", F.round("ratio", 9))
 
 
 def first_drops(spark: SparkSession, d: str) -> DataFrame:

@@ -47,3 +47,42 @@ def test_graph_of_entities(spark, graph):
     for i in (1, 2, 3):
         hops = {b: i for a, b in pairs if hops.get(a) == i - 1} | hops
     assert "breach:foo-bar" in hops and {tuple(r) for r in Q.reachable(spark, d).collect()} == set(hops.items())
+
+
+TIME = "2025-01-02T03:04:05Z"
+CONTEXT = "struct<first_seen:string,last_seen:string,confidence:double,tags:array<string>,tlp:string,attributes:string>"
+DEFAULTS = {1: ("2024-12-01T00:00:00Z", None, 0.7, ["feed"], "green", None), 2: None, 3: (None, None, None, [], "", "{}"), 4: (None, None, 0.2, None, None, None), 5: None}
+MD5, SHA1 = "0123456789abcdef" * 2, "0123456789abcdef0123" * 2
+INDICATORS = [  # envelope, context, type, raw value
+    (1, None, "auto", "mal[.]example"), (1, (None, None, 0.9, ["own", "feed"], None, None), "md5", MD5.upper()), (1, None, "auto", MD5), (1, (None, None, None, None, None, None), "auto", "::ffff:10.1.2.3"),
+    (2, None, "auto", "no value"), (2, None, "md5", "no"), (2, (None, None, None, ["x"], None, None), "auto", MD5), (2, None, "sha1", "sha1:" + SHA1), (2, None, "ipv4", "::ffff:10[.]1[.]2[.]3"), (2, None, "auto", "2001:db8::1"),
+    (3, None, "auto", "10.1.2.3"), (3, ("", "", None, [], "", "{}"), "auto", "mal.example"), (3, None, "", SHA1), (4, None, "auto", "no value"), (4, None, "sha1", "no"), (4, ("2024-01-01T00:00:00Z", None, None, None, None, None), "auto", "a@mal.example"),
+    (4, None, "ipv4", "10.1.2.3:80"), (5, None, "auto", "http://mal.example:80"), (5, None, "auto", "mal.example."), (5, None, "auto", "x.example"), (5, None, "domain", "no value"), (5, None, None, None),
+]
+CVES = [(1, "cve-2024-1234"), (1, "bad"), (4, "CVE-2024-1"), (5, "bad")]
+BREACHES = [(2, None, "Foo"), (4, None, "!!"), (5, "foo", "x")]
+
+
+@pytest.fixture(scope="module")
+def domain(spark, tmp_path_factory):
+    d = str(tmp_path_factory.mktemp("domain"))
+    save = lambda rows, schema, name, **more: spark.createDataFrame(rows, schema).withColumns(more).write.parquet(f"{d}/{name}.parquet")
+    at = F.lit(TIME).cast("timestamp")
+    save([(k, v, None, None) for k, v in DEFAULTS.items()] * 2, f"envelope_id long, default_context {CONTEXT}, content_hash string, raw_ref string", "envelopes", collected_at=at, received_at=at)
+    base = "record_id long, envelope_id long, record_index int, source_slug string"
+    save([(i, e, i, " Feed-A", c, (t, v)) for i, (e, c, t, v) in enumerate(INDICATORS)], f"{base}, context {CONTEXT}, indicator struct<type:string,raw_value:string>", "indicator_records", observed_at=at, kind=F.lit("indicator"))
+    cve = "struct<cve_id:string,summary:string,published_at:timestamp,modified_at:timestamp>"
+    save([(i, e, 100 + i, "b", (v, None, None, None)) for i, (e, v) in enumerate(CVES)], f"{base}, cve {cve}", "cve_records", observed_at=at, kind=F.lit("cve"))
+    breach = "struct<slug:string,name:string,breach_date:date,disclosed_at:timestamp>"
+    save([(i, e, 200 + i, "b", (s, n, None, None)) for i, (e, s, n) in enumerate(BREACHES)], f"{base}, breach {breach}", "breach_records", observed_at=at, kind=F.lit("breach"))
+    return d
+
+
+def test_gate_of_all_records(spark, domain):
+    keys = [(e, scalar.observable(t, v)) for e, _, t, v in INDICATORS] + [(e, scalar.cve_id(v)) for e, v in CVES] + [(e, scalar.breach_slug(s, n, None, None)) for e, s, n in BREACHES]
+    found = defaultdict(list)
+    for e, key in keys:
+        found[e].append(key is None)
+    want = {(e, len(x), sum(x), round(sum(x) / len(x), 9), sum(x) > 0.25 * len(x)) for e, x in found.items()}
+    got = {(r["envelope_id"], r["n_records"], r["n_dropped"], r["ratio"], r["rejected"]) for r in Q.drop_gate(spark, domain).collect()}
+    assert got == want and {r[4] for r in want} == {True, False}
