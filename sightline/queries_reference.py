@@ -308,7 +308,11 @@ def breach_domains(spark: SparkSession, d: str) -> DataFrame:
 
 
 def self_edges(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "relationship").where(F.col("source.kind").eqNullSafe(F.col("target.kind")) & (F.col("source.value") == F.col("target.value"))).select("edge_id")
+    """Edges whose ends are the same entity, however each is written."""
+    rows = table(spark, d, "relationship")
+    for x in ("source", "target"):
+        rows = C.with_endpoint_key(rows, x, x)
+    return rows.where((F.col("source_kind") == F.col("target_kind")) & (F.col("source_key") == F.col("target_key"))).select("edge_id")
 
 
 def node_degrees(spark: SparkSession, d: str) -> DataFrame:

@@ -86,3 +86,8 @@ def test_gate_of_all_records(spark, domain):
     want = {(e, len(x), sum(x), round(sum(x) / len(x), 9), sum(x) > 0.25 * len(x)) for e, x in found.items()}
     got = {(r["envelope_id"], r["n_records"], r["n_dropped"], r["ratio"], r["rejected"]) for r in Q.drop_gate(spark, domain).collect()}
     assert got == want and {r[4] for r in want} == {True, False}
+
+
+def test_self_edges_of_entities(spark, graph):
+    want = {i for i, (s, t) in enumerate(EDGES) if node(s) and node(s) == node(t)}
+    assert want == {6, 7} and {r["edge_id"] for r in Q.self_edges(spark, graph[0]).collect()} == want
