@@ -91,3 +91,9 @@ def test_gate_of_all_records(spark, domain):
 def test_self_edges_of_entities(spark, graph):
     want = {i for i, (s, t) in enumerate(EDGES) if node(s) and node(s) == node(t)}
     assert want == {6, 7} and {r["edge_id"] for r in Q.self_edges(spark, graph[0]).collect()} == want
+
+
+def test_mapped_addresses_are_ipv4(spark, domain):
+    seen = [(i, scalar.observable(t, v)) for i, (_, _, t, v) in enumerate(INDICATORS)]
+    want = {(i, x[1]) for i, x in seen if x and x[0] == "ipv4"}
+    assert {3, 8, 10} <= {i for i, _ in want} and {tuple(r) for r in Q.ipv4_values(spark, domain).collect()} == want
