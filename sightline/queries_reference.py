@@ -15,6 +15,7 @@ from sightline.streaming.ingest import windowed_counts
 
 NOW = "2026-01-01T00:00:00Z"  # the clock of all queries
 CUTOFF = "2025-06-10"
+HASHES = ("md5", "sha1", "sha256", "sha512")
 BOUNDS = [60.0, 300.0, 600.0, 1800.0, 3600.0, 21600.0, 86400.0, 604800.0]
 
 
@@ -80,8 +81,10 @@ def inferred_types(spark: SparkSession, d: str) -> DataFrame:
 
 
 def hash_values(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "indicator_records").where(F.col("indicator.type").isin("md5", "sha1", "sha256", "sha512")).select("record_id", "indicator")
-    return C.with_observable(rows, "seen", F.col("indicator.type"), F.col("indicator.raw_value")).select("record_id", "seen.type", "seen.value")
+    """Values that are hashes, and those that are only declared to be, with nulls."""
+    rows = table(spark, d, "indicator_records").select("record_id", "indicator")
+    seen = C.with_observable(rows, "seen", F.col("indicator.type"), F.col("indicator.raw_value"))
+    return seen.where(F.col("seen.type").isin(*HASHES) | F.col("indicator.type").isin(*HASHES)).select("record_id", "seen.type", "seen.value")
 
 
 def ipv4_values(spark: SparkSession, d: str) -> DataFrame:
@@ -116,14 +119,16 @@ def effective_contexts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def seen_windows(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "indicator_records").select("record_id", "envelope_id", "observed_at", "context").join(envelopes_once(spark, d).select("envelope_id", "collected_at"), "envelope_id")
-    first, last = context.seen_window(F.col("context"), F.coalesce("observed_at", "collected_at"))
+    rows = table(spark, d, "indicator_records").select("record_id", "envelope_id", "observed_at", "context").join(envelopes_once(spark, d).select("envelope_id", "collected_at", "default_context"), "envelope_id")
+    rows = rows.withColumn("c", context.effective(F.col("default_context"), F.col("context")))
+    first, last = context.seen_window(F.col("c"), F.coalesce("observed_at", "collected_at"))
     return rows.select("record_id", us(first, "first_us"), us(last, "last_us"))
 
 
 def empty_contexts(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "indicator_records").select("record_id", context.encoded(F.col("context")).alias("c"))
-    return rows.where("c is null").select("record_id")
+    rows = table(spark, d, "indicator_records").select("record_id", "envelope_id", "context").join(envelopes_once(spark, d).select("envelope_id", "default_context"), "envelope_id")
+    rows = rows.withColumn("c", context.effective(F.col("default_context"), F.col("context")))
+    return rows.where(context.encoded(F.col("c")).isNull()).select("record_id")
 
 
 def edge_windows(spark: SparkSession, d: str) -> DataFrame:
@@ -259,11 +264,12 @@ def lookup_table(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lookup_hashes(spark: SparkSession, d: str) -> DataFrame:
-    """The lookup table of values that are declared to be hashes."""
-    rows = table(spark, d, "indicator_records").where(F.col("indicator.type").isin("md5", "sha1", "sha256", "sha512")).join(envelopes_once(spark, d).select("envelope_id", "collected_at"), "envelope_id")
-    first, last = context.seen_window(F.col("context"), F.coalesce("observed_at", "collected_at"))
-    rows = C.with_observable(rows, "seen", F.col("indicator.type"), F.col("indicator.raw_value")).where("seen.value is not null")
-    verdicts = rows.select(F.col("envelope_id").alias("seq"), F.col("record_index").alias("idx"), "seen.type", "seen.value", first.alias("first_seen"), last.alias("last_seen"), C.lower_trimmed(F.col("source_slug")).alias("source"), F.coalesce("context.tags", F.array().cast("array<string>")).alias("tags"), F.col("context.confidence").alias("confidence"))
+    """The lookup table of values that are hashes."""
+    rows = table(spark, d, "indicator_records").join(envelopes_once(spark, d).select("envelope_id", "collected_at", "default_context"), "envelope_id")
+    rows = rows.withColumn("c", context.effective(F.col("default_context"), F.col("context")))
+    first, last = context.seen_window(F.col("c"), F.coalesce("observed_at", "collected_at"))
+    rows = C.with_observable(rows, "seen", F.col("indicator.type"), F.col("indicator.raw_value")).where(F.col("seen.type").isin(*HASHES))
+    verdicts = rows.select(F.col("envelope_id").alias("seq"), F.col("record_index").alias("idx"), "seen.type", "seen.value", first.alias("first_seen"), last.alias("last_seen"), C.lower_trimmed(F.col("source_slug")).alias("source"), F.coalesce("c.tags", F.array().cast("array<string>")).alias("tags"), F.col("c.confidence").alias("confidence"))
     out = lookup.fold_lookup(verdicts)
     return out.select("type", "value", us("first_seen", "first_us"), us("last_seen", "last_us"), F.array_join("sources", "|").alias("sources"), F.array_join("tags", "|").alias("tags"), "confidence")
 

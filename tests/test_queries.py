@@ -97,3 +97,35 @@ def test_mapped_addresses_are_ipv4(spark, domain):
     seen = [(i, scalar.observable(t, v)) for i, (_, _, t, v) in enumerate(INDICATORS)]
     want = {(i, x[1]) for i, x in seen if x and x[0] == "ipv4"}
     assert {3, 8, 10} <= {i for i, _ in want} and {tuple(r) for r in Q.ipv4_values(spark, domain).collect()} == want
+
+
+def effective(default, own):
+    """(first_seen, last_seen, confidence, tags, whether anything is set): the record's own wins, its tags are added."""
+    blank = (None,) * 6
+    d, o = default or blank, own or blank
+    tags = list(dict.fromkeys([*(d[3] or []), *o[3]])) if o[3] else list(d[3] or [])
+    plain = [o[i] or d[i] for i in (0, 1, 4)]
+    confidence = d[2] if o[2] is None else o[2]
+    return plain[0], plain[1], confidence, tags, any(plain) or confidence is not None or bool(tags)
+
+
+def test_default_context_counts(spark, domain):
+    found = [effective(DEFAULTS[e], c) for e, c, _, _ in INDICATORS]
+    empty = {i for i, x in enumerate(found) if not x[4]}
+    assert {4, 10, 11} <= empty and 0 not in empty and 13 not in empty
+    assert {r["record_id"] for r in Q.empty_contexts(spark, domain).collect()} == empty
+    micros = lambda x: spark.sql(f"select unix_micros(timestamp '{x}')").first()[0]
+    at = micros(TIME)
+    windows = {(i, min(at, micros(x[0])) if x[0] else at, max(at, micros(x[1])) if x[1] else at) for i, x in enumerate(found)}
+    assert {tuple(r) for r in Q.seen_windows(spark, domain).collect()} == windows
+
+
+def test_hashes_by_canonical_type(spark, domain):
+    seen = [scalar.observable(t, v) or (None, None) for _, _, t, v in INDICATORS]
+    want = {(i, *x) for i, x in enumerate(seen) if x[0] in Q.HASHES or INDICATORS[i][2] in Q.HASHES}
+    assert {(2, "md5", MD5), (5, None, None), (12, "sha1", SHA1)} <= want and {tuple(r) for r in Q.hash_values(spark, domain).collect()} == want
+    got = {(r["type"], r["value"]): r for r in Q.lookup_hashes(spark, domain).collect()}
+    assert set(got) == {x for x in seen if x[0] in Q.HASHES}
+    assert (got["md5", MD5]["tags"], got["md5", MD5]["confidence"], got["md5", MD5]["sources"]) == ("feed|own|x", 0.9, "feed-a")
+    whole = Q.lookup_table(spark, domain).where(F.col("type").isin(*Q.HASHES)).drop("entity_id")
+    assert {tuple(r) for r in whole.collect()} == {tuple(r) for r in got.values()}
