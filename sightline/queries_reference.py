@@ -346,6 +346,13 @@ def similar_names(spark: SparkSession, d: str) -> DataFrame:
     return fuzzy.similar(rows.where(F.col("record_id") % 50 == 0), rows, "0.5").select("query", "text", F.round("similarity", 6).alias("similarity"))
 
 
+def similar_values(spark: SparkSession, d: str) -> DataFrame:
+    """Canonical indicator values that are alike; queries are those of the records whose id is divisible by 50."""
+    rows = C.with_observable(table(spark, d, "indicator_records").select("record_id", "indicator"), "seen", F.col("indicator.type"), F.col("indicator.raw_value"))
+    values = settled(rows.groupBy(F.col("seen.value").alias("text")).agg(F.max(F.col("record_id") % 50 == 0).alias("asked")).where("text is not null"))
+    return fuzzy.similar(values.where("asked"), values, "0.5").select("query", "text", F.round("similarity", 6).alias("similarity"))
+
+
 # Storage and maintenance
 
 
@@ -430,7 +437,7 @@ QUERIES = (
     defanged_values, canonical_indicators, inferred_types, hash_values, ipv4_values, cve_ids, breach_slugs, endpoint_keys, effective_contexts, seen_windows, empty_contexts, edge_windows,
     indicator_problems, cve_problems, breach_problems, edge_problems, drop_gate, first_drops, written_counts, drops_by_reason, entity_registry, cve_entities, cve_fold, breach_fold, indicator_fold, edge_fold,
     edge_fold_as_written, first_deliveries, source_runs, lookup_table, lookup_hashes, capped_tags, source_status, sources_list, stub_cves, stub_rows, breach_domains, self_edges, node_degrees, two_hops,
-    reachable, orphan_sightings, similar_names, sightings_by_month, retained_months, archive_keys, dead_letter_rows, event_rates, event_increase, duplicate_ratio, delivery_quantiles,
+    reachable, orphan_sightings, similar_names, similar_values, sightings_by_month, retained_months, archive_keys, dead_letter_rows, event_rates, event_increase, duplicate_ratio, delivery_quantiles,
     alert_silent_sources, alert_held, stream_windows,
 )
 

@@ -1,5 +1,6 @@
 """Registered queries against brute force by the scalar rules, on own small tables."""
 
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -129,3 +130,14 @@ def test_hashes_by_canonical_type(spark, domain):
     assert (got["md5", MD5]["tags"], got["md5", MD5]["confidence"], got["md5", MD5]["sources"]) == ("feed|own|x", 0.9, "feed-a")
     whole = Q.lookup_table(spark, domain).where(F.col("type").isin(*Q.HASHES)).drop("entity_id")
     assert {tuple(r) for r in whole.collect()} == {tuple(r) for r in got.values()}
+
+
+def test_similar_canonical_values(spark, tmp_path):
+    raw = ["mal[.]example", "MAL.example", "mall.example", "10.1.2.3", "10[.]1[.]2[.]30", "no value", "http://mal.example:80", "other.test", "mal.example.org", None]
+    rows = [(50 * i if i < 4 else 50 * i + 1, ("auto", v)) for i, v in enumerate(raw)]
+    spark.createDataFrame(rows, "record_id long, indicator struct<type:string,raw_value:string>").write.parquet(f"{tmp_path}/indicator_records.parquet")
+    grams = lambda t: {f"  {w} "[i : i + 3] for w in re.split("[^a-z0-9]+", t) if w for i in range(len(w) + 1)}
+    seen = [(i, scalar.observable("auto", v)[1]) for i, (_, v) in rows if scalar.observable("auto", v)]
+    asked, texts = {v for i, v in seen if i % 50 == 0}, {v for _, v in seen}
+    want = {(a, b) for a in asked for b in texts if a != b and 2 * len(grams(a) & grams(b)) >= len(grams(a) | grams(b))}
+    assert ("mal.example", "http://mal.example/") in want and {(r["query"], r["text"]) for r in Q.similar_values(spark, str(tmp_path)).collect()} == want
