@@ -62,14 +62,19 @@ def process(files: DataFrame, store: Store, batch: str, now: Column, sources: Da
         return {"written": 0, "duplicate": 0, "parked": 0}
     before = store.delta("ingest_envelope")
     top = before.agg(F.max("seq")).first()[0]
-    rows = settled(ordered(checked(files, now), 0 if top is None else top + 1))
-
-    stage = F.when(F.size("problems") > 0, "validate")
-    reason = F.when(F.size("problems") > 0, validate.summary(F.col("problems")))
-    if attempts is not None:
-        rows = rows.join(attempts.select("digest", F.col("n").alias("attempts_")), "digest", "left")
-        stage = F.when(F.col("attempts_") > MAX_ATTEMPTS, "poison").otherwise(stage)
-        reason = F.when(F.col("attempts_") > MAX_ATTEMPTS, "failed again and again").otherwise(reason)
+    if attempts is None:
+        rows = checked(files, now).withColumn("poison", F.lit(False))
+    else:  # what failed again and again is not even decoded once more
+        known = attempts.where(F.col("n") > MAX_ATTEMPTS).select(F.col("digest").alias("digest_")).distinct()
+        match = envelopes.digest(F.col("body")) == F.col("digest_")
+        rows = checked(files.join(known, match, "left_anti"), now).withColumn("poison", F.lit(False))
+        poison = files.join(known, match, "left_semi").where(F.length("body") > 0).withColumn("digest", envelopes.digest(F.col("body"))).withColumn("poison", F.lit(True))
+        empty = {k: F.lit(None).cast(rows.schema[k].dataType) for k in ("e", "problem")} | {"problems": F.array().cast(rows.schema["problems"].dataType)}
+        rows = rows.unionByName(poison.withColumns(empty))
+    rows = settled(ordered(rows, 0 if top is None else top + 1))
+
+    stage = F.when(F.col("poison"), "poison").when(F.size("problems") > 0, "validate")
+    reason = F.when(F.col("poison"), "failed again and again").when(F.size("problems") > 0, validate.summary(F.col("problems")))
     rows = rows.withColumn("source", F.col("e.source"))
     if sources is not None:
         rows = resolved(rows, sources, "source")

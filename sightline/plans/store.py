@@ -78,6 +78,25 @@ class Store:
         self._publish(manifest | {"batches": [*manifest["batches"], batch]})
         return True
 
+    @property
+    def attempts(self) -> dict[str, int]:
+        """How often each file that still waits has failed alone, by its digest."""
+        return self._manifest().get("attempts", {})
+
+    def count_attempt(self, digest: str) -> int:
+        """One more failure of a file; returns how many there are."""
+        manifest = self._manifest()
+        counts = manifest.get("attempts", {})
+        n = counts.get(digest, 0) + 1
+        self._publish(manifest | {"attempts": counts | {digest: n}})
+        return n
+
+    def forget_attempts(self) -> None:
+        """All files that waited are taken in or parked."""
+        manifest = self._manifest()
+        if manifest.get("attempts"):
+            self._publish(manifest | {"attempts": {}})
+
     def delta(self, table: str, since: int = 0) -> DataFrame:
         """The rows of the named batches as they were written, with seq (arrival of the envelope) and idx."""
         manifest = self._manifest()

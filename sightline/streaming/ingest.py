@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import logging
 import time
 from collections.abc import Callable
 
@@ -9,8 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sightline.plans.ingest import process
+from sightline.plans.ingest import MAX_ATTEMPTS, process
 from sightline.plans.store import Store
+from sightline.sources import dead_letters, envelopes
+
+log = logging.getLogger(__name__)
 
 
 def start(spark: SparkSession, landing: str, store: Store, checkpoint: str, sources: Callable[[], DataFrame] | None = None, files_a_batch: int = 1000, available_now: bool = False) -> StreamingQuery:
@@ -18,22 +23,50 @@ def start(spark: SparkSession, landing: str, store: Store, checkpoint: str, sour
 
     A micro-batch is named by its number; the checkpoint moves on when it is committed to the store. After a
     failure the same files come again under the same name, so the effect is once. If a micro-batch fails as a
-    whole, its files are taken in one by one, and those that fail alone are parked, so that one bad file holds
-    nothing up. The registry is read anew for each batch. Times of observation are not bounded by a watermark:
-    a late sighting goes to its own month.
+    whole, its files are taken in one by one, so that one bad file holds up none of the others. Those that fail alone
+    are counted in the store, by their digest; the micro-batch then fails and comes again, and what has failed more
+    than 5 times is parked. The registry is read anew for each batch. Times of observation are not bounded by a
+    watermark: a late sighting goes to its own month.
     """
     files = spark.readStream.format("binaryFile").option("maxFilesPerTrigger", files_a_batch).schema("path string, modificationTime timestamp, length long, content binary").load(landing)
 
     def take(df: DataFrame, number: int) -> None:
         rows = df.select("path", F.col("modificationTime").alias("modified"), F.col("content").alias("body"))
-        known = sources() if sources else None
+        known, name, now = sources() if sources else None, f"stream-{number}", F.current_timestamp()
+
+        def attempts() -> DataFrame | None:
+            counts = store.attempts
+            return spark.createDataFrame(list(counts.items()), "digest string, n int") if counts else None
+
+        if not any(b.startswith(f"{name}-") for b in store.batches):  # else some of its files are in already
+            try:
+                process(rows, store, name, now, known, attempts=attempts())
+                store.forget_attempts()
+                return
+            except Exception as e:
+                log.warning("%s failed, its files are taken in one by one: %s", name, e)
+        failed: list[tuple[str, Exception]] = []
+        for i, path in enumerate(sorted(x[0] for x in rows.select("path").collect())):  # the paths of one micro-batch
+            one = rows.where(F.col("path") == path)
+            try:
+                process(one, store, f"{name}-{i}", now, known, attempts=attempts())
+            except Exception as e:
+                n = store.count_attempt(digest(one, path))
+                log.warning("%s failed alone, for time %d: %s", path, n, e)
+                if n > MAX_ATTEMPTS + 1:  # parking it with its content failed too
+                    bare = spark.createDataFrame([(None, path, "poison", f"failed again and again: {e}", None)], "source string, message_id string, stage string, reason string, body string")
+                    store.commit(f"{name}-{i}", {"dead_letter": dead_letters.rows(bare.withColumn("failed_at", now))})
+                else:
+                    failed.append((path, e))
+        if failed:
+            raise RuntimeError(f"{len(failed)} files failed, {failed[0][0]} the first") from failed[0][1]
+        store.forget_attempts()
+
+    def digest(one: DataFrame, path: str) -> str:
         try:
-            process(rows, store, f"stream-{number}", F.current_timestamp(), known)
-        except Exception:
-            if rows.count() <= 1:
-                raise
-            for i, r in enumerate(sorted(x[0] for x in rows.select("path").collect())):  # the paths of one micro-batch
-                process(rows.where(F.col("path") == r), store, f"stream-{number}-{i}", F.current_timestamp(), known)
+            return one.select(envelopes.digest(F.col("body"))).first()[0]
+        except Exception:  # it can't be read
+            return hashlib.sha256(path.encode()).hexdigest()
 
     writer = files.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 seconds")).start()
