@@ -18,7 +18,7 @@ from sightline.operators import lookup
 from sightline.plans.schemas import LOOKUP_TTL_DAYS, MAX_DROP_RATIO, TLP
 from sightline.plans.store import Store
 from sightline.sources import registry
-from sightline.streaming import ingest
+from sightline.streaming import intake
 
 
 def parser() -> argparse.ArgumentParser:
@@ -84,8 +84,8 @@ def main(args: list[str], spark: SparkSession | None = None) -> int:
         print(json.dumps(done))
         return int(done["parked"] > 0)
     if call.command == "serve":
-        begin = lambda: ingest.start(spark, call.landing, store, call.checkpoint, store.sources if call.known_sources else None, available_now=call.once)
-        ingest.supervise(begin, most=1 if call.once else None)
+        begin = lambda: intake.start(spark, call.landing, store, call.checkpoint, store.sources if call.known_sources else None, available_now=call.once)
+        intake.supervise(begin, most=1 if call.once else None)
         return 0
     if call.command == "maintain":
         print(json.dumps(api.maintain(store, call.retain_from, call.dry_run, call.compact)))

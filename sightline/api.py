@@ -12,7 +12,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sightline.plans import ingest
+from sightline.plans import intake
 from sightline.plans.schemas import MAX_DROP_RATIO
 from sightline.plans.store import Store
 from sightline.sources import envelopes
@@ -20,12 +20,12 @@ from sightline.sources import envelopes
 
 def validate(spark: SparkSession, path: str, now: Column | None = None) -> DataFrame:
     """A report on each file; nothing is written."""
-    return ingest.report(envelopes.read(spark, path), F.current_timestamp() if now is None else now)
+    return intake.report(envelopes.read(spark, path), F.current_timestamp() if now is None else now)
 
 
 def load(spark: SparkSession, path: str, store: Store, batch: str | None = None, now: Column | None = None, sources: DataFrame | None = None, max_drop_ratio: float = MAX_DROP_RATIO) -> dict[str, int]:
     """Take in files directly, as the stream would."""
-    return ingest.process(envelopes.read(spark, path), store, batch or uuid.uuid4().hex, F.current_timestamp() if now is None else now, sources, max_drop_ratio)
+    return intake.process(envelopes.read(spark, path), store, batch or uuid.uuid4().hex, F.current_timestamp() if now is None else now, sources, max_drop_ratio)
 
 
 def submit(spark: SparkSession, path: str, landing: str, now: Column | None = None) -> DataFrame:

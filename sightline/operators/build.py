@@ -104,7 +104,7 @@ def cve_rows(rows: DataFrame) -> DataFrame:
     text = [X.set_(c[x]).alias(x) for x in ("summary", "cvss_vector")]
     return rows.where("kind = 'cve'").select(
         "seq", "idx", entity_id(F.col("kind"), F.col("key")).alias("entity_id"), F.col("key").alias("cve_id"), *text, lower_or_null(c["severity"]).alias("severity"),
-        c["cvss_score"].cast("float").alias("cvss_score"), c["epss_score"].cast("float").alias("epss_score"), F.coalesce(c["known_exploited"], F.lit(False)).alias("known_exploited"),
+        X.number(c["cvss_score"]).cast("float").alias("cvss_score"), X.number(c["epss_score"]).cast("float").alias("epss_score"), F.coalesce(c["known_exploited"], F.lit(False)).alias("known_exploited"),
         c["cwe"].alias("cwe"), timestamp(c["published_at"]).alias("published_at"), timestamp(c["modified_at"]).alias("modified_at"), c["refs"].alias("refs"),
     )
 
@@ -135,11 +135,11 @@ def month(c: Column) -> Column:
 def edge_rows(edges: DataFrame) -> DataFrame:
     """Edges between different entities, by the entities' ids."""
     ids = {x: entity_id(F.col(f"{x}_kind"), F.col(f"{x}_key")).alias(f"{x}_id") for x in ("source", "target")}
-    rows = edges.select("seq", "idx", ids["source"], ids["target"], "type", F.col("confidence").cast(T.FloatType()).alias("confidence"), "first_seen", "last_seen", "metadata")
+    rows = edges.select("seq", "idx", ids["source"], ids["target"], "type", X.number(F.col("confidence")).cast(T.FloatType()).alias("confidence"), "first_seen", "last_seen", "metadata")
     return rows.where("source_id <> target_id")
 
 
 def verdict_rows(rows: DataFrame) -> DataFrame:
     """What the lookup table learns from indicator records."""
     c = F.col("ctx")
-    return rows.where("kind = 'indicator'").select("seq", "idx", "type", F.col("key").alias("value"), "first_seen", "last_seen", "source", F.coalesce(c["tags"], F.array().cast("array<string>")).alias("tags"), c["confidence"].alias("confidence"))
+    return rows.where("kind = 'indicator'").select("seq", "idx", "type", F.col("key").alias("value"), "first_seen", "last_seen", "source", F.coalesce(c["tags"], F.array().cast("array<string>")).alias("tags"), X.number(c["confidence"]).alias("confidence"))

@@ -13,6 +13,11 @@ def set_(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+def number(c: Column) -> Column:
+    """A number that JSON can hold: null if it is none (NaN, infinite), so that it never stands before a real one."""
+    return F.when(~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))), c)
+
+
 def members(text: Column) -> Column:
     """The members of a JSON object as an array of (k, v), v being JSON text; null of what is no object."""
     entries = F.map_entries(F.from_json(text, "map<string,variant>"))

@@ -137,7 +137,7 @@ def oracle_sql() -> dict[str, str]:
         "cve_fold": f"""
             with r as (select envelope_id as seq, record_index as idx, {cve_key('cve.cve_id')} as cve_id, cve as c from cve_records),
                  w as (select seq, cve_id, arg_max({{'c': c}}, idx).c as c from r where cve_id is not null group by 1, 2),
-                 f as (select seq, cve_id, nullif(c.summary, '') as summary, nullif(c.cvss_vector, '') as cvss_vector, nullif(lower(c.severity), '') as severity, c.cvss_score as cvss_score, c.epss_score as epss_score,
+                 f as (select seq, cve_id, nullif(c.summary, '') as summary, nullif(c.cvss_vector, '') as cvss_vector, nullif(lower(c.severity), '') as severity, case when isfinite(c.cvss_score) then c.cvss_score end as cvss_score, case when isfinite(c.epss_score) then c.epss_score end as epss_score,
                               coalesce(c.known_exploited, false) as known_exploited, array_to_string(c.cwe, '|') as cwe, epoch_us(c.published_at) as published_us, epoch_us(c.modified_at) as modified_us, c.refs as refs from w)
             select cve_id, {', '.join(keep(x) for x in ('summary', 'cvss_score', 'cvss_vector', 'severity', 'epss_score', 'cwe', 'published_us', 'refs'))}, bool_or(known_exploited) as known_exploited, max(modified_us) as modified_us from f group by 1""",
         "breach_fold": f"""

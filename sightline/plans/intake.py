@@ -60,7 +60,7 @@ def process(files: DataFrame, store: Store, batch: str, now: Column, sources: Da
     """
     if batch in store.batches:
         return {"written": 0, "duplicate": 0, "parked": 0}
-    before = store.delta("ingest_envelope")
+    before = store.delta("envelope_log")
     top = before.agg(F.max("seq")).first()[0]
     if attempts is None:
         rows = checked(files, now).withColumn("poison", F.lit(False))
@@ -106,7 +106,7 @@ def process(files: DataFrame, store: Store, batch: str, now: Column, sources: Da
         "indicator": build.indicator_rows(taken).unionByName(stub.where("kind = 'indicator'").select("seq", "idx", "entity_id", "type", F.col("key").alias("value")), allowMissingColumns=True),
         "cve": build.cve_rows(taken).unionByName(stub.where("kind = 'cve'").select("seq", "idx", "entity_id", F.col("key").alias("cve_id"), F.lit(False).alias("known_exploited")), allowMissingColumns=True),
         "breach": build.breach_rows(taken), "relationship": build.edge_rows(edges), "sighting": build.sighting_rows(taken), "lookup": build.verdict_rows(taken).withColumn("refreshed_at", now),
-        "ingest_envelope": good.join(claimed, "seq", "left_semi").join(taken.groupBy("seq").agg(F.count("*").alias("record_count")), "seq", "left").select("seq", "source", F.col("digest").alias("envelope_digest"), F.col("e.content_hash").alias("content_hash"), F.col("e.source_run_id").alias("source_run_id"), F.col("e.schema_version").alias("schema_version"), F.coalesce("record_count", F.lit(0)).alias("record_count"), F.col("e.raw_ref").alias("raw_ref"), now.alias("received_at")),
+        "envelope_log": good.join(claimed, "seq", "left_semi").join(taken.groupBy("seq").agg(F.count("*").alias("record_count")), "seq", "left").select("seq", "source", F.col("digest").alias("envelope_digest"), F.col("e.content_hash").alias("content_hash"), F.col("e.source_run_id").alias("source_run_id"), F.col("e.schema_version").alias("schema_version"), F.coalesce("record_count", F.lit(0)).alias("record_count"), F.col("e.raw_ref").alias("raw_ref"), now.alias("received_at")),
         "dead_letter": dead_letters.rows(rows.where("stage is not null").select(F.coalesce("source", envelopes.source_of(F.col("body"))).alias("source"), F.col("path").alias("message_id"), "stage", "reason", F.col("body").cast("string").alias("body"), now.alias("failed_at"))),
     }
     deltas["metrics_log"] = counters(rows, made, claimed, now)

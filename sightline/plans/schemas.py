@@ -46,7 +46,7 @@ TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
     "relationship": ("source_id string, target_id string, type string, confidence float, first_seen timestamp, last_seen timestamp, metadata string", ("source_id", "target_id", "type")),
     "sighting": ("entity_id string, source string, observed_at timestamp, content_hash string, raw_ref string, context string, month string", ()),
     "lookup": ("entity_id string, type string, value string, first_seen timestamp, last_seen timestamp, sources array<string>, tags array<string>, confidence double, refreshed_at timestamp", ("type", "value")),
-    "ingest_envelope": ("source string, envelope_digest string, content_hash string, source_run_id string, schema_version string, record_count long, raw_ref string, received_at timestamp", ("source", "envelope_digest")),
+    "envelope_log": ("source string, envelope_digest string, content_hash string, source_run_id string, schema_version string, record_count long, raw_ref string, received_at timestamp", ("source", "envelope_digest")),
     "dead_letter": ("source_slug string, message_id string, stage string, reason string, payload string, failed_at timestamp", ()),
     "metrics_log": ("source string, metric string, label string, n long, at timestamp", ()),
 }

@@ -103,7 +103,7 @@ class Store:
         whole, count = manifest.get("compacted", {}).get(table, (None, 0)) if not since else (None, 0)
         names = [whole] * (whole is not None) + manifest["batches"][max(since, count) :]
         there = [n for n in names if self._fs().exists(self._path(f"{table}/batch={n}"))]
-        place = {"ingest_envelope": ", seq long"} | dict.fromkeys(("indicator", "cve", "breach", "relationship"), ", seq long, idx int")
+        place = {"envelope_log": ", seq long"} | dict.fromkeys(("indicator", "cve", "breach", "relationship"), ", seq long, idx int")
         schema = TABLES[table][0] + place.get(table, "")
         if table == "lookup":
             schema = "seq long, idx int, type string, value string, first_seen timestamp, last_seen timestamp, source string, tags array<string>, confidence double, refreshed_at timestamp"

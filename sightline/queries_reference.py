@@ -11,7 +11,7 @@ from sightline.operators.build import entity_id
 from sightline.plans.schemas import EARLIEST
 from sightline.session import scratch_path, settled
 from sightline.sources import archive, dead_letters, registry
-from sightline.streaming.ingest import windowed_counts
+from sightline.streaming.intake import windowed_counts
 
 NOW = "2026-01-01T00:00:00Z"  # the clock of all queries
 CUTOFF = "2025-06-10"
@@ -204,7 +204,7 @@ def cve_fold(spark: SparkSession, d: str) -> DataFrame:
     c = F.col("cve")
     rows = table(spark, d, "cve_records").select(
         F.col("envelope_id").alias("seq"), F.col("record_index").alias("idx"), C.cve_id(c["cve_id"]).alias("cve_id"), *[context.set_(c[x]).alias(x) for x in ("summary", "cvss_vector")],
-        build.lower_or_null(c["severity"]).alias("severity"), c["cvss_score"].alias("cvss_score"), c["epss_score"].alias("epss_score"), F.coalesce(c["known_exploited"], F.lit(False)).alias("known_exploited"),
+        build.lower_or_null(c["severity"]).alias("severity"), context.number(c["cvss_score"]).alias("cvss_score"), context.number(c["epss_score"]).alias("epss_score"), F.coalesce(c["known_exploited"], F.lit(False)).alias("known_exploited"),
         c["cwe"].alias("cwe"), c["published_at"].alias("published_at"), c["modified_at"].alias("modified_at"), c["refs"].alias("refs"),
     ).where("cve_id is not null")
     laws = {k: v for k, v in folds.LAWS["cve"].items() if k != "cve_id"}

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sightline.plans.ingest import MAX_ATTEMPTS, process
+from sightline.plans.intake import MAX_ATTEMPTS, process
 from sightline.plans.store import Store
 from sightline.sources import dead_letters, envelopes
 

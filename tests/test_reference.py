@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from sightline import api
 from sightline.operators import build, context, folds, fuzzy, graph, lookup, metrics, validate
-from sightline.plans.ingest import process
+from sightline.plans.intake import process
 from sightline.plans.schemas import CONTEXT, ENVELOPE
 from sightline.plans.store import Store
 from sightline.sources import archive, dead_letters, envelopes, registry
@@ -93,6 +93,12 @@ def test_fold_is_associative(spark):
     assert once == {tuple(map(str, (k, *v))) for k, v in state.items()}
 
 
+def test_a_number_that_is_none_overrides_nothing(spark):
+    rows = [(1, 0, 5.0), (2, 0, float("nan")), (3, 0, float("inf")), (4, 0, None)]
+    df = spark.createDataFrame(rows, "seq long, idx int, x double").select("seq", "idx", F.lit("k").alias("k"), context.number(F.col("x")).alias("score"))
+    assert folds.fold(df, ["k"], {"score": "keep"}, "seq").first()["score"] == 5.0
+
+
 def test_edges(spark):
     rows = [(1, 0, "a", "b", "t", None, 5, 9, '{"m":1}'), (1, 1, "a", "b", "t", 0.5, 3, 4, '{"n":2}'), (2, 0, "a", "b", "t", None, 7, 8, '{"m":"new"}'), (1, 2, "a", "c", "t", 0.1, 1, 1, None), (3, 0, "x", "y", "t", None, 1, 1, None), (4, 0, "x", "y", "t", None, 1, 1, None)]
     df = spark.createDataFrame(rows, "seq long, idx int, s string, d string, type string, confidence double, first_seen long, last_seen long, metadata string")
@@ -189,7 +195,7 @@ def write(folder, name, value):
 
 
 def test_store_and_stream(spark, tmp_path):
-    from sightline.streaming.ingest import start
+    from sightline.streaming.intake import start
 
     land = tmp_path / "in"
     full = doc(
@@ -211,7 +217,7 @@ def test_store_and_stream(spark, tmp_path):
     assert {(r["kind"], r["canonical_key"]) for r in store.read("entity").collect()} == {("indicator", "mal.example"), ("cve", "CVE-2024-1234"), ("cve", "CVE-2020-0001")}
     cves = {r["cve_id"]: r for r in store.read("cve").collect()}
     assert cves["CVE-2024-1234"]["summary"] == "later" and cves["CVE-2024-1234"]["cvss_score"] == 5 and cves["CVE-2024-1234"]["known_exploited"] and cves["CVE-2020-0001"]["summary"] is None
-    assert store.read("relationship").count() == 1 and store.read("sighting").count() == 4 and store.read("ingest_envelope").count() == 2
+    assert store.read("relationship").count() == 1 and store.read("sighting").count() == 4 and store.read("envelope_log").count() == 2
     assert {(r["source_slug"], r["stage"]) for r in store.read("dead_letter").collect()} == {("feed-z", "validate"), ("feed-a", "canonicalise")}
     assert store.sightings("2025-01-01", "2025-02-01").count() == 3
     assert api.maintain(store, "2024-01-15", dry_run=True) == {"dropped": ["2023_05"]} and store.read("sighting").count() == 4
@@ -239,7 +245,7 @@ def test_compaction_changes_nothing(spark, tmp_path):
 
 
 def test_supervision():
-    from sightline.streaming.ingest import supervise
+    from sightline.streaming.intake import supervise
 
     waits, left = [], [3]
 

@@ -2,9 +2,9 @@
 
 import json
 
-from sightline.plans.ingest import MAX_ATTEMPTS
+from sightline.plans.intake import MAX_ATTEMPTS
 from sightline.plans.store import Store
-from sightline.streaming.ingest import start, supervise
+from sightline.streaming.intake import start, supervise
 
 
 def test_poison_is_parked(spark, tmp_path):
@@ -18,16 +18,16 @@ def test_poison_is_parked(spark, tmp_path):
     store = Store(spark, f"file://{tmp_path}/store")
     begin = lambda: start(spark, str(land), store, str(tmp_path / "check"), available_now=True)
     assert supervise(begin, most=1) == 1
-    assert {r["source"] for r in store.read("ingest_envelope").collect()} == {"feed-a", "feed-c"} and list(store.attempts.values()) == [1]
+    assert {r["source"] for r in store.read("envelope_log").collect()} == {"feed-a", "feed-c"} and list(store.attempts.values()) == [1]
     write("4.json", "feed-d")
     assert supervise(begin, most=20, wait=lambda _: None) == MAX_ATTEMPTS
-    assert sorted(r["source"] for r in store.read("ingest_envelope").collect()) == ["feed-a", "feed-c", "feed-d"] and store.attempts == {}
+    assert sorted(r["source"] for r in store.read("envelope_log").collect()) == ["feed-a", "feed-c", "feed-d"] and store.attempts == {}
     parked = store.read("dead_letter").collect()
     assert [(r["source_slug"], r["stage"], r["message_id"].rsplit("/", 1)[1]) for r in parked] == [("feed-b", "poison", "2.json")]
 
 
 def test_what_cannot_be_parked_whole_is_parked_bare(spark, tmp_path, monkeypatch):
-    from sightline.streaming import ingest
+    from sightline.streaming import intake
 
     land = tmp_path / "in"
     land.mkdir()
@@ -37,7 +37,7 @@ def test_what_cannot_be_parked_whole_is_parked_bare(spark, tmp_path, monkeypatch
     def fail(*_, **__):
         raise OSError("no such disk")
 
-    monkeypatch.setattr(ingest, "process", fail)
+    monkeypatch.setattr(intake, "process", fail)
     begin = lambda: start(spark, str(land), store, str(tmp_path / "check"), available_now=True)
     assert supervise(begin, most=20, wait=lambda _: None) == MAX_ATTEMPTS + 1 and store.attempts == {}
     assert [(r["stage"], r["payload"], "no such disk" in r["reason"]) for r in store.read("dead_letter").collect()] == [("poison", '""', True)]
