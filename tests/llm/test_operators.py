@@ -167,24 +167,63 @@ def test_fingerprints(rows):
 # Token ids
 
 
+TEXTS = [None, "", "a", "  \n", "don't stop", "é" * 50, "x" * 900, "word " * 400, "it's 12'll ''s\r\n\r\n  end", "日本語" * 90, "<|endoftext|>", "\ufeff\u00a0\u200b", " " * 3000 + "x", "-=" * 2000, "\n\t" * 900, "🙂" * 500]
+
+
 def test_encoding(spark):
-    texts = [None, "", "a", "  \n", "don't stop", "é" * 50, "x" * 900, "word " * 400, "it's 12'll ''s\r\n\r\n  end", "日本語" * 90, "<|endoftext|>", "\ufeff\u00a0\u200b"] * 2
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3).withColumn("ids", F.lit("clash")).withColumn("piece", F.lit(0))
-    whole = encode.encoder(encode.TOKENIZER)
-    got = {r["doc_id"]: r["ids"] for r in encode.encoded(df, "doc_id", "text", cut=64).collect()}
-    assert got == {i: whole(t or "").tolist() for i, t in enumerate(texts)}
-    assert {r["doc_id"]: r["n_ids"] for r in encode.sizes(df, "doc_id", "text", cut=64).collect()} == {i: len(x) for i, x in got.items()}
-    assert encode.encoded(df.limit(0), "doc_id", "text").count() == 0
-    back = encode.encoding(encode.TOKENIZER)
-    assert all(back.decode(got[i]) == (t or "") for i, t in enumerate(texts))
-
-
-@given(st.text(alphabet=" \n\t'sltrevdmab1,.-é日\r", max_size=200), st.integers(1, 40))
+    texts = TEXTS * 2
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3).withColumn("ids", F.lit("clash")).withColumn("piece", F.lit(0)).withColumn("node", F.lit(1))
+    own = encode.encoder(encode.TOKENIZER)
+    for leaf in (64, 7, encode.LEAF):  # a tree of two levels, one with more than FAN leaves, and leaves alone
+        got = {r["doc_id"]: r["ids"] for r in encode.encoded(df, "doc_id", "text", leaf=leaf).collect()}
+        assert got == {i: own.leaf(t or "").tolist() for i, t in enumerate(texts)}
+        kept = encode.sizes(df, "doc_id", "text", leaf=leaf, keep=("piece",)).collect()
+        assert {r["doc_id"]: r["n_ids"] for r in kept} == {i: len(x) for i, x in got.items()} and {r["piece"] for r in kept} == {0}
+    assert encode.encoded(df.limit(0), "doc_id", "text").count() == 0 and encode.sizes(df.limit(0), "doc_id", "text").count() == 0
+    assert all(own.bytes(np.array(got[i], np.uint32)).decode() == (t or "") for i, t in enumerate(texts))
+    assert encode.encoded(df.withColumn("doc_id", F.col("doc_id").cast("string")), "doc_id", "text").count() == len(texts)
+
+
+ONE_KIND = ["etaoinshrdlu", "оеаинтсрвл", "0123456789", "日本語一二三", "-=_!'\"", " \n\t\u3000", "🙂👩\u200dé", "a", "ab", "'sretvmld", " 'sl"]
+
+
+@given(st.sampled_from(ONE_KIND).flatmap(lambda a: st.text(alphabet=a, max_size=300)), st.integers(1, 60), st.sampled_from([1, 2, 5, 32]))
+@settings(max_examples=400, deadline=None)
+def test_joins_within_runs_of_one_kind(text, leaf, window):
+    own = encode.encoder(encode.TOKENIZER)
+    parts = [own.leaf(text[i : i + leaf]) for i in range(0, len(text), leaf)]
+    assert own.chain(parts, window).tolist() == own.leaf(text).tolist()
+
+
+@given(st.text(alphabet=" \n\t'sltrevdmab1,.-é日\r", max_size=200), st.integers(1, 40), st.sampled_from([1, 3, 32]))
 @settings(max_examples=300, deadline=None)
-def test_joins_are_exact(text, cut):
-    whole = encode.encoder(encode.TOKENIZER)
-    parts = [(text[i : i + cut], whole(text[i : i + cut])) for i in range(0, len(text), cut)] or [("", whole(""))]
-    assert encode.joined(parts, whole).tolist() == whole(text).tolist()
+def test_joins_are_exact(text, leaf, window):
+    own = encode.encoder(encode.TOKENIZER)
+    parts = [own.leaf(text[i : i + leaf]) for i in range(0, len(text), leaf)]
+    assert own.chain(parts, window).tolist() == own.leaf(text).tolist()
+
+
+@pytest.mark.parametrize("alphabet", ONE_KIND[:5])
+def test_windows_stay_small(monkeypatch, alphabet):
+    r = random.Random(3)
+    text = "".join(r.choices(alphabet, k=200_000))  # nothing that the pattern splits, but for the marks
+    own = encode.encoder(encode.TOKENIZER)
+    parts = [own.leaf(text[i : i + encode.LEAF]) for i in range(0, len(text), encode.LEAF)]
+    again = []
+    plain = encode.Encoder.text
+    monkeypatch.setattr(encode.Encoder, "text", lambda self, x: again.append(len(x)) or plain(self, x))
+    assert own.chain(parts).tolist() == own.leaf(text).tolist()
+    assert max(again) < 2000 and sum(again) < 20_000
+
+
+def test_a_long_text_without_splits(spark):
+    r = random.Random(5)
+    text = "".join(r.choices("etaoinshrdlucmfwyp", k=10_000_000))
+    own = encode.encoder(encode.TOKENIZER)
+    df = spark.createDataFrame([(1, text), (2, "x"), (3, " " * 2_000_000 + "y")], "doc_id long, text string")
+    table = encode.encoded(df, "doc_id", "text").toArrow().sort_by("doc_id")
+    ids = [np.array(x.values, np.uint32) for x in table.column("ids")]
+    assert np.array_equal(ids[0], own.leaf(text)) and len(ids[1]) == 1 and own.bytes(ids[2]) == b" " * 2_000_000 + b"y"
 
 
 # Mixing
