@@ -30,7 +30,7 @@ def pairs_of(baskets):
     return n, single, both
 
 
-@pytest.mark.parametrize(("share", "lift"), [("0", "0"), ("0.05", "0"), ("0.02", "1.5")])
+@pytest.mark.parametrize(("share", "lift"), [("0", "0"), ("0.05", "0"), ("0.02", "1.5"), ("0.013", "2.7183"), ("0.01", "1.00000000000000000000000000000001")])
 def test_cooccurrence(spark, share, lift):
     r = random.Random(4)
     words = [f"w{i}" for i in range(30)] + ["é", "Z"]
@@ -55,12 +55,36 @@ def test_gram(baskets, width):
     rows = np.array([i for i, b in enumerate(baskets) for _ in b], np.int64)
     cols = np.array([c for b in baskets for c in sorted(b)], np.int64)
     got = {}
-    for a, b, n in gram(rows, cols, len(baskets), 21, width):
+    for a, b, n in gram(rows, cols, 21, width):
         for x, y, c in zip(a.tolist(), b.tolist(), n.tolist()):
             got[x, y] = got.get((x, y), 0) + c
     assert got == {(a, b): n for (a, b), n in pairs_of(baskets)[2].items()}
 
 
+def test_products_of_full_and_sparse_blocks_agree(monkeypatch):
+    from sightline.llm import cooccur
+
+    r = np.random.default_rng(2)
+    for fill, cells in ((0.02, 100), (0.02, 10**6), (0.7, 100), (0.7, 10**6)):
+        dense = r.random((90, 40)) < fill
+        dense[7] = True
+        monkeypatch.setattr(cooccur, "CELLS", cells)
+        rows, cols = (x.astype(np.int64) for x in np.nonzero(dense))
+        got = np.zeros((40, 40), int)
+        for a, b, n in gram(rows, cols, 40, 16):
+            got[a, b] += n
+        assert (got == np.triu(dense.T.astype(int) @ dense, 1)).all()
+
+
+def test_one_long_basket(spark):
+    long = [f"i{k}" for k in range(50_000)]
+    df = spark.createDataFrame([(long,)] + [(["i1", "i2", "i3"],)] * 60 + [(["i4"],)] * 40, "tags array<string>")
+    got = {(x["item_a"], x["item_b"]): x["n_ab"] for x in cooccurrence(df, F.col("tags"), "0.1", "1.5").collect()}
+    assert got == {("i1", "i2"): 61, ("i1", "i3"): 61, ("i2", "i3"): 61}
+    pairs = cooccurrence(df.limit(1).select(F.slice("tags", 1, 3000).alias("tags")), F.col("tags"))
+    assert pairs.count() == 3000 * 2999 // 2
+
+
 # Survivors
 
 
