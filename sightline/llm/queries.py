@@ -31,27 +31,37 @@ def p3_pairs(spark: SparkSession, d: str) -> DataFrame:
     return found.select(F.col("item_a").alias("tag_a"), F.col("item_b").alias("tag_b"), "n_ab", "n_a", "n_b", "n_baskets", F.round("lift", 6).alias("lift"))
 
 
-def _cves(spark: SparkSession, d: str) -> DataFrame:
-    rows = spark.read.parquet(f"{d}/cve_records.parquet").select(cve_id(F.col("cve.cve_id")).alias("cve_key"), "record_id", "observed_at", "cve.summary", "cve.cvss_score", "cve.epss_score", "cve.known_exploited")
-    cut = F.when(F.col("summary").rlike(r"(?:\.\.\.|…)\s*$"), "cut").otherwise("whole")
+def _cves(spark: SparkSession, d: str, at: str = "observed_at", **how: bool) -> DataFrame:
+    rows = spark.read.parquet(f"{d}/cve_records.parquet").select(cve_id(F.col("cve.cve_id")).alias("cve_key"), "record_id", F.col(at).alias("at"), "cve.summary", "cve.cvss_score", "cve.epss_score", "cve.known_exploited")
     score = lambda c, top: F.coalesce(F.col(c).between(0, top), F.lit(False))
     fields = [
-        Field("summary", F.col("summary"), says_something(F.col("summary")), F.concat_ws(" ", cut, F.floor(F.log2(F.length("summary"))))),
-        Field("cvss", F.col("cvss_score"), score("cvss_score", 10), F.floor(F.col("cvss_score") * 2)),
-        Field("epss", F.col("epss_score"), score("epss_score", 1), F.floor(F.log2(F.col("epss_score") + 2**-12))),
-        Field("exploited", F.col("known_exploited").cast("int"), F.coalesce(F.col("known_exploited"), F.lit(False)), F.lit("true")),
+        Field("summary", F.col("summary"), says_something(F.col("summary"))),
+        Field("cvss", F.col("cvss_score"), score("cvss_score", 10)),
+        Field("epss", F.col("epss_score"), score("epss_score", 1)),
+        Field("exploited", F.col("known_exploited").cast("int"), F.coalesce(F.col("known_exploited"), F.lit(False))),
     ]
-    return survivors(rows, "cve_key", "observed_at", "record_id", fields)
+    return survivors(rows, "cve_key", "at", "record_id", fields, **how)
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     """The record that has the best summary and scores of each CVE with two records or more; -1 where none has."""
-    return _cves(spark, d).where("n_rows >= 2").select("cve_key", *[F.coalesce(f"{f}_record_id", F.lit(-1)).cast("long").alias(f"{f}_record_id") for f in ("summary", "cvss", "epss")], F.coalesce("exploited", F.lit(0)).alias("known_exploited"))
+    found = _cves(spark, d, values=False).where("n_rows >= 2")
+    return found.select("cve_key", *[F.coalesce(f"{f}_record_id", F.lit(-1)).cast("long").alias(f"{f}_record_id") for f in ("summary", "cvss", "epss")], F.col("exploited_record_id").isNotNull().cast("int").alias("known_exploited"))
+
+
+def _survivors(found: DataFrame) -> DataFrame:
+    return found.select("cve_key", "n_rows", "summary", F.col("cvss").alias("cvss_score"), F.col("epss").alias("epss_score"), F.coalesce(F.col("exploited") == 1, F.lit(False)).alias("known_exploited"))
 
 
 def p4_survivors(spark: SparkSession, d: str) -> DataFrame:
     """The surviving record of each CVE, built from its best values."""
-    return _cves(spark, d).select("cve_key", "n_rows", "summary", F.col("cvss").alias("cvss_score"), F.col("epss").alias("epss_score"), F.coalesce(F.col("exploited") == 1, F.lit(False)).alias("known_exploited"))
+    return _survivors(_cves(spark, d))
+
+
+def p4_current(spark: SparkSession, d: str) -> DataFrame:
+    """The surviving record of each CVE by the times at which the sources say that they changed it (cve.modified_at), which
+    many rows lack: what they say is placed by the order in which values follow each other elsewhere."""
+    return _survivors(_cves(spark, d, "cve.modified_at", weigh=True))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -111,7 +121,7 @@ def p8_composition(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p3_found, p3_pairs, p4_found, p4_survivors, p5_found, p5_observables, p6_ids, p7_mix, p7_shares, p8_found, p8_composition)}
+    return {f.__name__: f for f in (p3_found, p3_pairs, p4_found, p4_survivors, p4_current, p5_found, p5_observables, p6_ids, p7_mix, p7_shares, p8_found, p8_composition)}
 
 
 TAGS = """
@@ -130,11 +140,30 @@ CVES = """
 """
 
 
+CURRENT = CVES + """,
+         x as (select cve_key as k, record_id as id, epoch_us(modified_at) as t, 0 as f, summary as s from r where s_ok union all select cve_key, record_id, epoch_us(modified_at), 1, cvss_score::varchar from r where c_ok
+               union all select cve_key, record_id, epoch_us(modified_at), 2, epss_score::varchar from r where e_ok union all select cve_key, record_id, epoch_us(modified_at), 3, '1' from r where known_exploited),
+         d as (select k, f, s, lag(s) over (partition by k, f order by t, id) as p from x where t is not null),
+         n as (select f, least(p, s) as a, greatest(p, s) as b, sum(case when p < s then 1 else -1 end) as net from d where p <> s group by 1, 2, 3),
+         o as (select f, case when net > 0 then a else b end as a, case when net > 0 then b else a end as b from n where net <> 0),
+         l as (select k, f, arg_max(id, (t, -id)) as id, arg_max(s, (t, -id)) as s from x where t is not null group by 1, 2),
+         u as (select k, f, s, min(id) as id from x where t is null group by 1, 2, 3),
+         c as (select k, f, s, min((late, id)) as r from (select *, 1 as late from u union all select k, f, s, id, 0 from l semi join u using (k, f)) group by 1, 2, 3),
+         q as (select distinct c.k, c.f, c.s, 1 as passed from c join o on o.f = c.f and o.a = c.s join c as e on e.k = c.k and e.f = c.f and e.s = o.b),
+         w as (select k, f, arg_min(r[2], (coalesce(passed, 0), r[1], r[2])) as id from c left join q using (k, f, s) group by 1, 2),
+         b as (select k, f, coalesce(w.id, l.id) as id from w full join l using (k, f)),
+         v as (select b.k, b.f, r.* from b join r on r.record_id = b.id)
+    select cve_key, count(*) as n_rows, (select any_value(summary) from v where v.k = r.cve_key and f = 0) as summary, (select any_value(cvss_score) from v where v.k = r.cve_key and f = 1) as cvss_score,
+           (select any_value(epss_score) from v where v.k = r.cve_key and f = 2) as epss_score, exists (select 1 from v where v.k = r.cve_key and f = 3) as known_exploited from r group by 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     latest = lambda ok, what: f"arg_max({what}, (epoch_us(observed_at), -record_id)) filter ({ok})"
     return {
         "p3_found": TAGS + "select tag_a, tag_b from f where n_ab * 1000 >= 4 * n_baskets and n_ab * n_baskets >= 3 * n_a * n_b",
         "p3_pairs": TAGS + "select *, round(n_ab * n_baskets::double / (n_a::double * n_b), 6) as lift from f",
         "p4_found": CVES + f"select cve_key, coalesce({latest('s_ok', 'record_id')}, -1) as summary_record_id, coalesce({latest('c_ok', 'record_id')}, -1) as cvss_record_id, coalesce({latest('e_ok', 'record_id')}, -1) as epss_record_id, coalesce(bool_or(known_exploited), false)::int as known_exploited from r group by 1 having count(*) >= 2",
+        "p4_current": CURRENT,
         "p4_survivors": CVES + f"select cve_key, count(*) as n_rows, {latest('s_ok', 'summary')} as summary, {latest('c_ok', 'cvss_score')} as cvss_score, {latest('e_ok', 'epss_score')} as epss_score, coalesce(bool_or(known_exploited), false) as known_exploited from r group by 1",
     }

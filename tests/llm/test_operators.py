@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sightline.functions import scalar
 from sightline.llm import encode, foldhash, mixing, subjects
 from sightline.llm.cooccur import cooccurrence, gram
-from sightline.llm.survivor import Field, precedence, says_something, survivors
+from sightline.llm.survivor import Field, says_something, survivors
 
 # Pairs of items
 
@@ -89,46 +89,86 @@ def test_one_long_basket(spark):
 
 
 def fields():
-    return [Field("v", F.col("v"), F.col("v").isNotNull(), F.col("v"))]
+    return [Field("v", F.col("v"), F.col("v").isNotNull())]
 
 
-def survived(spark, rows):
-    df = spark.createDataFrame(rows, "k string, at long, id long, v string").withColumn("n_rows", F.lit("clash")).repartition(4)
-    return {r["k"]: (r["n_rows"], r["v_id"], r["v"]) for r in survivors(df, "k", "at", "id", fields()).collect()}
+def survived(spark, rows, **how):
+    df = spark.createDataFrame(rows, "k string, at long, id long, v string").withColumn("n_rows", F.lit("clash")).withColumn("t", F.lit("clash")).repartition(4)
+    return {r["k"]: (r["n_rows"], r["v_id"], r["v"]) for r in survivors(df, "k", "at", "id", fields(), **how).collect()}
 
 
 def test_survivors_with_times(spark):
     r = random.Random(6)
-    rows = [(r.choice(["hot", "hot", "a", "b", "c"]), r.randrange(50), i, r.choice([None, "x", "y", "z"])) for i in range(1500)] + [(None, 1, 9000, "x"), ("empty", 1, 9001, None), ("a", 10**6, 9002, "tie"), ("a", 10**6, 9003, "tied")]
+    rows = [(r.choice(["hot", "hot", "a", "b", "c"]), r.randrange(-9, 50), i, r.choice([None, "x", "y", "z"])) for i in range(1500)] + [(None, 1, 9000, "x"), ("empty", 1, 9001, None), ("a", 10**15, 9002, "tie"), ("a", 10**15, 9003, "tied"), ("far", -5, -(2**63), "low"), ("far", -6, 2**63 - 1, "old")]
     got = survived(spark, rows)
     for key in {x[0] for x in rows if x[0]}:
         usable = [(t, -i, v) for k, t, i, v in rows if k == key and v is not None]
         best = max(usable) if usable else (None, None, None)
         assert got[key] == (sum(x[0] == key for x in rows), -best[1] if usable else None, best[2])
     assert None not in got
+    df = spark.createDataFrame(rows, "k string, at long, id long, v string")
+    bare = survivors(df, "k", "at", "id", fields(), values=False)
+    assert bare.columns == ["k", "n_rows", "v_id"] and {r["k"]: (r["n_rows"], r["v_id"]) for r in bare.collect()} == {k: x[:2] for k, x in got.items()}
 
 
 def test_survivors_without_times(spark):
     # elsewhere draft is followed by review, and review by final; a lone step back doesn't count
-    dated = [(f"k{i}", t, 10 * i + t, v) for i in range(40) for t, v in enumerate(["draft", "review", "final"])] + [("back", 1, 9000, "final"), ("back", 2, 9001, "draft")]
-    bare = [("u", None, 5003, "final"), ("u", None, 5001, "draft"), ("u", None, 5002, "review"), ("u", None, 5004, "final"), ("w", None, 6001, "review"), ("w", None, 6002, "odd"), ("m", None, 7001, "final"), ("m", 3, 7002, "draft"), ("n", None, 8001, None)]
+    dated = [(f"k{i}", t, 10 * i + t, v) for i in range(40) for t, v in enumerate(["draft", "review", "final"])] + [("back", 1, 9000, "final"), ("back", 2, 9001, "review")]
+    bare = [("u", None, 5003, "final"), ("u", None, 5001, "draft"), ("u", None, 5002, "review"), ("u", None, 5004, "final"), ("w", None, 6001, "draft"), ("w", None, 6003, "review"), ("w", None, 6002, "odd"), ("m", None, 7001, "review"), ("m", 3, 7002, "draft"), ("n", None, 8001, None), ("o", None, 8100, "draft"), ("o", 1, 8101, "review")]
     got = survived(spark, dated + bare)
-    assert got["u"] == (4, 5003, "final")
-    assert got["w"] == (2, 6001, "review")  # nothing is known of odd: of two that are last, the smaller id
-    assert got["m"] == (2, 7002, "draft")  # a time goes before what is only learned
+    assert got["u"] == (4, 5003, "final")  # without the learned order it would be 5001
+    assert got["w"] == (3, 6002, "odd")  # nothing is known of odd: of the two that none comes after, the smaller id
+    assert got["m"] == (2, 7002, "draft") and got["o"] == (2, 8101, "review")  # a time goes before what is only learned
     assert got["n"] == (1, None, None)
+    weighed = survived(spark, dated + bare, weigh=True)
+    assert weighed["m"] == (2, 7001, "review")  # what is latest by its time is passed by what comes after it
+    assert weighed["o"] == (2, 8101, "review") and all(weighed[k] == x for k, x in got.items() if k != "m")
     assert survived(spark, [("a", None, 1, "x"), ("a", None, 1, "x")]) == {"a": (2, 1, "x")}
+    circle = [(f"c{i}", t, 10 * i + t, v) for i, pair in enumerate(["ab", "bc", "ca"]) for t, v in enumerate(pair)] + [("z", None, 100 + i, v) for i, v in enumerate("cba")]
+    assert survived(spark, circle)["z"] == (3, 100, "c")  # round in a circle: the smallest id of all
+
+
+def by_hand(rows, weigh):
+    """What survives of (k, at, id, v), by plain loops."""
+    follows = {}
+    for key in {x[0] for x in rows}:
+        seen = [v for t, i, v in sorted((t, i, v) for k, t, i, v in rows if k == key and t is not None and v is not None)]
+        for a, b in zip(seen, seen[1:]):
+            follows[a, b] = follows.get((a, b), 0) + (a != b)
+    before = {(a, b) for (a, b), n in follows.items() if n > follows.get((b, a), 0)}
+    out = {}
+    for key in {x[0] for x in rows} - {None}:
+        mine = [x for x in rows if x[0] == key and x[3] is not None]
+        dated = max(((t, -i, v) for _, t, i, v in mine if t is not None), default=None)
+        bare = {v: (1, min(i for _, t, i, w in mine if t is None and w == v)) for _, t, _, v in mine if t is None}
+        if dated and (weigh and bare):
+            bare[dated[2]] = (0, -dated[1])
+        elif dated:
+            bare = {dated[2]: (0, -dated[1])}
+        best = min(((any((v, w) in before for w in bare), *x, v) for v, x in bare.items()), default=(0, 0, None, None))
+        out[key] = (sum(x[0] == key for x in rows), best[2], best[3])
+    return out
+
+
+@pytest.mark.parametrize("weigh", [False, True])
+def test_survivors_of_mixed_groups(spark, weigh):
+    r = random.Random(12)
+    words = "abcdefgh"
+    rows = []
+    for i in range(900):
+        key = r.choice(["hot"] * 6 + [f"k{j}" for j in range(60)])
+        t = r.choice([None, r.randrange(60)])
+        late = (t if t is not None else r.randrange(60)) // 8  # values drift upwards in time
+        rows.append((key, t, i, r.choice([None, words[min(late, 7)], words[min(late, 7)], r.choice(words)])))
+    got = survived(spark, rows, weigh=weigh)
+    assert got == by_hand(rows, weigh)
+    assert survived(spark, [(k, None, i, v) for k, _, i, v in rows], weigh=weigh) != got  # nothing dated: nothing is learned
 
 
 def test_survivors_of_nothing(spark):
     assert survived(spark, []) == {}
 
 
-def test_precedence():
-    order = precedence({("a", "b"): 9, ("b", "a"): 2, ("b", "c"): 5, ("c", "a"): 4, ("c", "d"): 1, ("d", "c"): 1})
-    assert order == {("a", "b"), ("b", "c"), ("a", "c")}  # c before a would close a circle; c and d are even
-
-
 def test_stand_ins(spark):
     nothing = [None, "", " \t", "-", "n/a", "N/A.", "None", "(none)", "null", "TBD", "to be determined", "** RESERVED **", "Awaiting analysis", "No description available.", "description pending", "not yet available", "???", "No summary provided"]
     something = ["A race condition in the log...", "Unknown devices can connect to the console.", "No authentication is needed to reach the console", "Reserved memory is freed twice", "Null dereference in the parser", "X 1.2: none of the checks run"]
