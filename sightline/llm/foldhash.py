@@ -19,10 +19,12 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sightline.functions import scalar
+from sightline.operators.ranges import changes, placed
 from sightline.session import settled
 
 TYPES = scalar.TYPES
@@ -205,6 +207,11 @@ class Reader:
             for p in FINAL.get("hash" if x in scalar.HEX_LENGTH else x, ()):
                 self.finals[i, number[p]] = True
 
+    def accepted(self, kinds: np.ndarray, state: np.ndarray, dots: np.ndarray, port: np.ndarray, zero: np.ndarray) -> np.ndarray:
+        """Whether what has been read is whole, by its type, the state it ended in, and its dots and port."""
+        named = np.isin(kinds, [TYPES.index("domain"), TYPES.index("email")])
+        return self.finals[kinds, state] & ~zero & (port < 10**6) & (~named | (dots > 0))
+
     def hashes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Two 64-bit hashes of each row's symbols, and whether the table could read the row to its end."""
         flat, number = table()
@@ -236,9 +243,7 @@ class Reader:
             for x, b in zip(h, BASES):
                 x[:n] = np.where(adds, x[:n] * np.uint64(b) + s, x[:n])
         kinds = self.type[order]
-        ok = self.finals[kinds, state] & ~zero & (port < 10**6)
-        named = np.isin(kinds, [TYPES.index("domain"), TYPES.index("email")])
-        ok &= ~named | (dots > 0)
+        ok = self.accepted(kinds, state, dots, port, zero)
         port[port == self.port[order]] = 0
         out = [np.zeros(len(self.known), np.uint64) for _ in BASES]
         for x, b, o in zip(h, BASES, out):
@@ -287,17 +292,22 @@ def fingerprints(kind: pa.Array, raw: pa.Array) -> tuple[np.ndarray, np.ndarray,
 
 def same(kind_a: pa.Array, raw_a: pa.Array, kind_b: pa.Array, raw_b: pa.Array) -> np.ndarray:
     """Whether the values of each row are equal apart from formatting: two cursors, each skipping on to its next
-    symbol, which are compared; all rows at once.  Pairs that the table can't read are compared by the scalar rules."""
+    symbol, which are compared; all rows at once.  Texts that are the same need no reading; pairs that the table can't
+    read to their ends alike are compared by the scalar rules."""
     flat, number = table()
-    rs = [Reader(kind_a, raw_a), Reader(kind_b, raw_b)]
-    n = len(raw_a)
     out = pc.and_(pc.fill_null(pc.equal(raw_a, raw_b), False), pc.equal(pc.fill_null(kind_a, "auto"), pc.fill_null(kind_b, "auto"))).to_numpy(zero_copy_only=False).copy()
-    read = [r.hashes()[2] for r in rs]
-    rows = np.flatnonzero(~out & read[0] & read[1] & (rs[0].type == rs[1].type) & (rs[0].seed == rs[1].seed))
+    rest = np.flatnonzero(~out)
+    if not len(rest):
+        return out
+    take = pa.array(rest)
+    sides = [(k.take(take), r.take(take)) for k, r in ((kind_a, raw_a), (kind_b, raw_b))]
+    rs = [Reader(*x) for x in sides]
+    rows = np.flatnonzero(rs[0].known & rs[1].known & (rs[0].type == rs[1].type) & (rs[0].seed == rs[1].seed))
     at = [r.start[rows].copy() for r in rs]
     end = [r.end[rows] for r in rs]
     state = [r.state[rows].copy() for r in rs]
-    port = [np.zeros(len(rows), np.int64) for _ in rs]
+    port, dots = ([np.zeros(len(rows), np.int64) for _ in rs] for _ in range(2))
+    zero = np.zeros(len(rows), bool)
     got = [np.full(len(rows), -1, np.int64) for _ in rs]  # -1: none yet; 0: at the end
     equal, live = np.ones(len(rows), bool), np.arange(len(rows))
     while len(live):
@@ -311,7 +321,9 @@ def same(kind_a: pa.Array, raw_a: pa.Array, kind_b: pa.Array, raw_b: pa.Array) -
             state[k][want] = entry & 4095
             symbol = entry >> 12
             digit = (symbol & ~255) == DIGIT
-            port[k][want[digit]] = port[k][want[digit]] * 10 + symbol[digit] - DIGIT - 48
+            zero[want[digit]] |= (port[k][want[digit]] == 0) & (symbol[digit] == DIGIT + ord("0"))
+            port[k][want[digit]] = np.minimum(port[k][want[digit]] * 10 + symbol[digit] - DIGIT - 48, 10**6)
+            dots[k][want] += (symbol & ~255) == DOTTED
             some = (symbol > 0) & ~digit
             got[k][want[some]] = symbol[some]
         both = live[(got[0][live] >= 0) & (got[1][live] >= 0)]
@@ -321,74 +333,171 @@ def same(kind_a: pa.Array, raw_a: pa.Array, kind_b: pa.Array, raw_b: pa.Array) -
         for k in (0, 1):
             got[k][both[~over]] = -1
     for k in (0, 1):
+        equal &= rs[k].accepted(rs[k].type[rows], state[k], dots[k], port[k], zero)
         port[k][port[k] == rs[k].port[rows]] = 0
-    out[rows] = equal & (port[0] == port[1])
-    ask = np.flatnonzero(~out & ~np.isin(np.arange(n), rows))
+    fine = np.zeros(len(rest), bool)
+    fine[rows] = equal & (port[0] == port[1])
+    ask = np.flatnonzero(~fine)
     if len(ask):
         take = pa.array(ask)
-        a, b = ([scalar.observable(*x) for x in zip(k.take(take).to_pylist(), r.take(take).to_pylist())] for k, r in ((kind_a, raw_a), (kind_b, raw_b)))
-        out[ask] = [x is not None and x == y for x, y in zip(a, b)]
+        a, b = ([scalar.observable(*x) for x in zip(k.take(take).to_pylist(), r.take(take).to_pylist())] for k, r in sides)
+        fine[ask] = [x is not None and x == y for x, y in zip(a, b)]
+    out[rest] = fine
     return out
 
 
-def _hashed(rows: DataFrame) -> DataFrame:
-    """id, kind, raw, a, b: the rows whose value has a canonical form, with its two hashes."""
+def _hashed(df: DataFrame, row_id: str, kind: Column, raw: Column, bits: int) -> DataFrame:
+    """id, kind, raw, a, b: the rows whose value has a canonical form, with its two hashes; read and written once."""
+    rows = df.select(F.col(row_id).cast("long").alias("id"), kind.alias("kind"), raw.alias("raw"))
+    mask = np.uint64(2**bits - 1)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, valid = fingerprints(batch.column(1), batch.column(2))
-            full = pa.RecordBatch.from_arrays([*batch.columns, pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["id", "kind", "raw", "a", "b"])
+            full = pa.RecordBatch.from_arrays([*batch.columns, pa.array((a & mask).view(np.int64)), pa.array((b & mask).view(np.int64))], names=["id", "kind", "raw", "a", "b"])
             yield full.filter(pa.array(valid))
 
-    return rows.mapInArrow(read, "id long, kind string, raw string, a long, b long")
+    return settled(rows.mapInArrow(read, "id long, kind string, raw string, a long, b long"))
 
 
-def collapsed(df: DataFrame, row_id: str, kind: Column, raw: Column) -> DataFrame:
-    """row_id, type, raw_value, n_copies: each observable once, as its smallest row_id writes it, with the number of
-    its rows. Values without a canonical form are left out; an empty table gives no rows."""
-    found = copies(df, row_id, kind, raw).withColumnRenamed(row_id, "id")
-    more = found.groupBy("keep_id").agg(F.count("*").alias("n"))
-    read = _hashed(df.select(F.col(row_id).alias("id"), kind.alias("kind"), raw.alias("raw"))).drop("a", "b")
-    first = read.join(found.select("id"), "id", "left_anti")
-    return first.join(more, F.col("id") == F.col("keep_id"), "left").select(F.col("id").alias(row_id), F.col("kind").alias("type"), F.col("raw").alias("raw_value"), (F.coalesce("n", F.lit(0)) + 1).alias("n_copies"))
+FOUND = {"what": "string", "part": "int", "keep_id": "long", "id": "long", "n": "long", "kind": "string", "raw": "string", "a": "long", "b": "long"}
+ARROW = {"string": pa.string(), "int": pa.int32(), "long": pa.int64()}
+
+
+def _runs(hashed: DataFrame, members: bool) -> DataFrame:
+    """Rows of equal hashes, put together where they lie after a shuffle by ranges of (hashes, id), settled.
+
+    what = 'row' (with `members`): a row and the one it is kept as, the first of its stretch; 'run' (without): that
+    one, and how many rows of the stretch are its copies; 'astray': a row that differs from it after all; 'first' and
+    'last': those kept of a partition's first and last stretch, of which the next and the last partition may hold more.
+    """
+
+    def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        held: pa.RecordBatch | None = None  # the row that is kept of the stretch still open, and its copies so far
+        copies_held = 0
+
+        def out(what: str, size: int, **columns: pa.Array) -> pa.RecordBatch:
+            columns |= {"what": pa.array([what] * size, pa.string()), "part": pa.array(np.full(size, part, np.int32))}
+            return pa.RecordBatch.from_arrays([columns.get(c, pa.nulls(size, ARROW[t])).cast(ARROW[t]) for c, t in FOUND.items()], names=list(FOUND))
+
+        def edge(what: str, row: pa.RecordBatch) -> pa.RecordBatch:
+            return out(what, 1, keep_id=row.column(0), **dict(zip(("kind", "raw", "a", "b"), row.columns[1:])))
 
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            old = held is not None
+            if old:
+                batch = pa.Table.from_batches([held.cast(batch.schema), batch]).combine_chunks().to_batches()[0]
+            ids, kinds, raws, a, b = batch.columns
+            new = changes(a) | changes(b)
+            starts = np.flatnonzero(new)
+            if not old:
+                yield edge("first", batch.slice(0, 1))
+            kept = starts[np.cumsum(new) - 1]
+            rest = np.flatnonzero(~new)
+            ok = np.ones(len(ids), bool)
+            i, j = pa.array(kept[rest]), pa.array(rest)
+            ok[rest] = same(kinds.take(i), raws.take(i), kinds.take(j), raws.take(j))
+            bad = np.flatnonzero(~ok)
+            if len(bad):
+                j = pa.array(bad)
+                yield out("astray", len(bad), id=ids.take(j), a=a.take(j), b=b.take(j))
+            if members:
+                j = np.flatnonzero(ok)[int(old) :]
+                yield out("row", len(j), keep_id=ids.take(pa.array(kept[j])), id=ids.take(pa.array(j)))
+            n = np.add.reduceat(ok.astype(np.int64), starts)
+            n[0] += copies_held - old
+            if not members and len(starts) > 1:
+                j = pa.array(starts[:-1])
+                yield out("run", len(j), keep_id=ids.take(j), n=pa.array(n[:-1]), kind=kinds.take(j), raw=raws.take(j))
+            held, copies_held = batch.slice(int(starts[-1]), 1), int(n[-1])
+        if held is not None:
+            yield edge("last", held)
+            if not members:
+                yield out("run", 1, keep_id=held.column(0), n=pa.array([copies_held]), kind=held.column(1), raw=held.column(2))
+
+    return settled(placed(hashed, "a", "b", "id").mapInArrow(group, ", ".join(f"{c} {t}" for c, t in FOUND.items())))
+
+
+def _stitched(found: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """keep_id, true_id of the rows kept at partitions' edges that are copies of one kept before; and the hashes (a, b)
+    that different values have, null if none do. Two rows a partition come to the driver."""
+    spark = found.sparkSession
+    true: list[tuple[int, int]] = []
+    mixed: list[tuple[int, int]] = []
+    open_ = None
+    for r in sorted(found.where(F.col("what").isin("first", "last")).collect(), key=lambda r: (r["part"], r["what"])):
+        here = open_ is not None and (r["a"], r["b"]) == (open_["a"], open_["b"])
+        if here and r["what"] == "first":
+            one = lambda x: pa.array([x], pa.string())
+            if same(one(open_["kind"]), one(open_["raw"]), one(r["kind"]), one(r["raw"]))[0]:
+                true.append((r["keep_id"], open_["keep_id"]))
+            else:
+                mixed.append((r["a"], r["b"]))
+        if not here:
+            open_ = r
+    collided = found.where("what = 'astray'").select("a", "b")
+    if mixed or not collided.isEmpty():
+        collided = collided.unionByName(spark.createDataFrame(mixed, "a long, b long")).distinct()
+    else:
+        collided = None
+    return spark.createDataFrame(true, "stretch_id long, true_id long"), collided
+
+
+def _by_text(hashed: DataFrame, collided: DataFrame) -> DataFrame:
+    """keep_id, id, kind, raw: the rows whose hashes different values have, grouped by their canonical text instead."""
+
+    def text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            forms = ["\0".join(scalar.observable(*x)) for x in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(forms, pa.string())], names=["id", "kind", "raw", "form"])
 
-def copies(df: DataFrame, row_id: str, kind: Column, raw: Column, hot_share: float = 0.005) -> DataFrame:
+    rows = settled(hashed.join(collided, ["a", "b"], "left_semi").select("id", "kind", "raw").mapInArrow(text, "id long, kind string, raw string, form string"))
+    return rows.join(rows.groupBy("form").agg(F.min("id").alias("keep_id")), "form").select("keep_id", "id", "kind", "raw")
+
+
+def collapsed(df: DataFrame, row_id: str, kind: Column, raw: Column, bits: int = 64) -> DataFrame:
+    """row_id, type, raw_value, n_copies: each observable once, as its smallest row_id writes it, with the number of
+    its rows. Values without a canonical form are left out; an empty table gives no rows. See `copies`."""
+    hashed = _hashed(df, row_id, kind, raw, bits)
+    found = _runs(hashed, members=False)
+    true, collided = _stitched(found)
+    runs = found.where("what = 'run'").select("keep_id", "n", "kind", "raw")
+    if collided is not None:
+        again = _by_text(hashed, collided)
+        n = again.groupBy("keep_id").agg(F.count("*").alias("n"))
+        first = again.where("id = keep_id").join(n, "keep_id").select("keep_id", "n", "kind", "raw")
+        runs = runs.join(again.select(F.col("id").alias("keep_id")), "keep_id", "left_anti").unionByName(first)
+        true = true.join(again.select(F.col("id").alias("stretch_id")), "stretch_id", "left_anti")
+    # stretches that go on from another partition (one a partition at most) add to what they belong to
+    runs = runs.join(F.broadcast(true), F.col("keep_id") == F.col("stretch_id"), "left")
+    more = runs.where("true_id is not null").groupBy(F.col("true_id").alias("to_id")).agg(F.sum("n").alias("more"))
+    whole = runs.where("true_id is null").join(F.broadcast(more), F.col("keep_id") == F.col("to_id"), "left")
+    return whole.select(F.col("keep_id").alias(row_id), F.col("kind").alias("type"), F.col("raw").alias("raw_value"), (F.col("n") + F.coalesce("more", F.lit(0))).alias("n_copies"))
+
+
+def copies(df: DataFrame, row_id: str, kind: Column, raw: Column, bits: int = 64) -> DataFrame:
     """keep_id, row_id: each row that is a copy of another, with the smallest row_id of its group.
 
     Rows are copies if their canonical type and value are equal.  Values that have no canonical form (null and
     blank ones too) are in no group.  The row that is kept isn't listed under itself.  row_id must be unique.
     An empty table gives no rows.
 
-    Groups are counted by hash, combined where the rows lie.  A group of more than `hot_share` of all rows (there
-    are at most 1 / hot_share) is joined in as many slices as there are shuffle partitions, so that its rows
-    stay spread.  Each row is then compared with the one that is kept; one that differs after all (two
-    64-bit hashes collided) is grouped by its canonical text instead.
+    The table is read and hashed once, and shuffled once, by sampled ranges of (hashes, row_id): a group of any size
+    spans as many partitions as its rows need, in order.  Each row is compared with the first of its stretch, and the
+    first of a stretch that goes on from the partition before with the one kept there.  If a row differs after
+    all (two hashes collided), the rows of these hashes are grouped by their canonical text instead.  `bits` of each
+    hash are used; fewer serve to test that.
     """
-    spark = df.sparkSession
-    rows = df.select(F.col(row_id).alias("id"), kind.alias("kind"), raw.alias("raw"))
-
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = same(*batch.columns[2:])
-            texts = [None if x else scalar.observable(k.as_py(), r.as_py()) for x, k, r in zip(ok, batch.column(2), batch.column(3))]
-            other = pa.array([None if t is None else "\0".join(t) for t in texts], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], other], names=["keep_id", "id", "other"])
-
-    read = _hashed(rows)
-    first = F.min(F.struct("id", "kind", "raw")).alias("keep")
-    groups = settled(read.groupBy("a", "b").agg(F.count("*").alias("n"), first).where("n > 1"))
-    limit = int(hot_share * rows.count()) + 1
-    hot = groups.where(F.col("n") > limit).select("a", "b", F.lit(True).alias("hot"))  # at most 1 / hot_share rows
-    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sliced = F.when(F.col("hot"), F.pmod(F.xxhash64("id"), F.lit(slices))).otherwise(0).cast("int").alias("slice")
-    every = F.when(F.col("n") > limit, F.sequence(F.lit(0), F.lit(slices - 1))).otherwise(F.array(F.lit(0)))
-    members = read.join(F.broadcast(hot), ["a", "b"], "left").select("id", "kind", "raw", "a", "b", sliced)
-    pairs = members.join(groups.select("a", "b", "keep", F.explode(every).alias("slice")), ["a", "b", "slice"]).where("id <> keep.id")
-    pairs = pairs.select("keep.id", F.col("id").alias("other_id"), F.col("keep.kind").alias("k1"), F.col("keep.raw").alias("r1"), "kind", "raw")
-    checked = settled(pairs.mapInArrow(compared, "keep_id long, id long, other string"))
-    # collisions: grouped by what they are; the row that is kept is the smallest of its own group
-    astray = checked.where("other is not null")
-    own = astray.groupBy("other").agg(F.min("id").alias("keep_id"), F.count("*").alias("n")).where("n > 1").select("other", "keep_id")
-    regrouped = astray.select("other", "id").join(own, "other").where("id <> keep_id").select("keep_id", "id")
-    return checked.where("other is null").select("keep_id", "id").unionByName(regrouped).select("keep_id", F.col("id").alias(row_id))
+    hashed = _hashed(df, row_id, kind, raw, bits)
+    found = _runs(hashed, members=True)
+    true, collided = _stitched(found)
+    pairs = found.where("what = 'row'").select("keep_id", "id")
+    if collided is not None:
+        again = _by_text(hashed, collided).select("keep_id", "id")
+        pairs = pairs.join(again.select("id"), "id", "left_anti").unionByName(again)
+        true = true.join(again.select(F.col("id").alias("stretch_id")), "stretch_id", "left_anti")
+    pairs = pairs.join(F.broadcast(true), F.col("keep_id") == F.col("stretch_id"), "left")  # at most one a partition
+    return pairs.select(F.coalesce("true_id", "keep_id").alias("keep_id"), F.col("id").alias(row_id)).where(F.col("keep_id") != F.col(row_id))

@@ -196,10 +196,21 @@ def test_copies(spark):
         groups.setdefault(scalar.observable(k, v), []).append(i)
     groups.pop(None)
     want = {(min(x), i) for x in groups.values() for i in x if i != min(x)}
-    for share in (0.005, 0.3, 1.0):
-        assert {tuple(x) for x in foldhash.copies(df, "record_id", F.col("type"), F.col("raw_value"), share).collect()} == want
+    written = {i: (k, v) for i, k, v in rows}
+    for bits in (64, 2, 0):  # of each hash: with few, different values collide
+        assert {tuple(x) for x in foldhash.copies(df, "record_id", F.col("type"), F.col("raw_value"), bits).collect()} == want
+        got = {x["record_id"]: x for x in foldhash.collapsed(df, "record_id", F.col("type"), F.col("raw_value"), bits).collect()}
+        assert {i: x["n_copies"] for i, x in got.items()} == {min(x): len(x) for x in groups.values()}
+        assert all((x["type"], x["raw_value"]) == written[i] for i, x in got.items())
+
+
+def test_a_group_over_all_partitions(spark):
+    rows = [(i, "url", f"http{'s' * (i % 7 == 0)}://mal.example/{'#' * (i % 3 == 0)}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "record_id long, type string, raw_value string").repartition(6)
+    pairs = foldhash.copies(df, "record_id", F.col("type"), F.col("raw_value")).collect()
+    assert {tuple(x) for x in pairs} == {(0 if i % 7 == 0 else 1, i) for i in range(2, 3000)} and len(pairs) == 2998
     got = {x["record_id"]: x["n_copies"] for x in foldhash.collapsed(df, "record_id", F.col("type"), F.col("raw_value")).collect()}
-    assert got == {min(x): len(x) for x in groups.values()}
+    assert got == {0: 429, 1: 2571}
 
 
 def test_copies_of_nothing(spark):
