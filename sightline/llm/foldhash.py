@@ -4,11 +4,11 @@ The table has a row for each state and a column for each byte.  An entry says wh
 which symbol, if any, the byte adds to the hash; brackets round a dot, surrounding quotes, default ports,
 fragments and the like add none, and letters are folded where case doesn't count.  The symbols of a host, a
 path and a query come from different ranges, so where one part ends need not be written.  All rows of a
-block are read side by side, one byte of each at a time; no canonical text is built.
+block are read side by side, one byte of each at a time; no canonical text is built.  A `..` in a path takes the hash
+back to where the segment before began; addresses of IPv6 and networks are read as numbers, which are hashed.
 
-What the table cannot read for sure (other scripts, IPv6, networks, escapes, malformed values) is handed to
-the scalar rules; the few texts that they give are then read through the same table, so that both ways lead
-to the same hash.
+What the table cannot read for sure (other scripts, rare spellings, malformed values) is handed to the scalar rules;
+the few texts that they give are then read through the same table, so that both ways lead to the same hash.
 """
 
 from __future__ import annotations
@@ -30,61 +30,84 @@ from sightline.session import settled
 TYPES = scalar.TYPES
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)  # odd multipliers of the two hashes modulo 2**64
 
-# Ranges of symbols, above the byte itself.
-SCHEME, HOST, DOTTED, LOCAL, PATH, QUERY, DIGIT, PLAIN = (k << 8 for k in range(1, 9))
+# Ranges of symbols, above the byte itself. From SEG on, a symbol does more than to be added.
+SCHEME, HOST, DOTTED, LOCAL, USER, PATH, QUERY, PLAIN, SEG, SEG_DOT, SEG_DOTS, BACK, TRAIL, NUMBER, DIGIT = (k << 8 for k in range(1, 16))
+DEPTH = 16  # segments of a path that can be gone back over
 
 GAP = set(b"\t\n\f\r ")
 OPEN, CLOSE = set(b"[({"), set(b"])}")
-ALNUM = set(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
-NAME = ALNUM | {ord("_")}
 DIGITS = set(b"0123456789")
+ALNUM = set(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") | DIGITS
+NAME = ALNUM | {ord("_")}
+XDIGITS = set(b"0123456789abcdefABCDEF")
 PATH_PLAIN = ALNUM | set(b"-_~$&+,;=:@!'*")
+USER_PLAIN = scalar.USER_KEPT | {ord(":")}
 PRINTED = set(range(0x20, 0x7F))
 
 FAIL = "fail"
 # The parts of a value, and the words that brackets may hold, with the event that each stands for.
-PARTS = ("start", "colon", "colon/", "host0", "host", "host-", "host.", "port", "path0", "path", "path/", "query", "fragment", "local", "hex", "prefix")
+PARTS = (
+    "start", "colon", "colon/", "start@", "colon@", "colon/@", "user", "host0", "host", "host-", "host.", "port", "path/", "path", "path.", "path..", "path%", "path%x", "query", "fragment", "fragment%", "fragment%x",
+    "local0", "local", "hex", "prefix", "number",
+)
 WORDS = {".": ".", "dot": ".", "punto": ".", "point": ".", "@": "@", "at": "@", ":": ":", "/": "/", "//": "/", "://": "://"}
-FINAL = {"url": ("host", "port", "path0", "path", "path/", "query", "fragment"), "domain": ("host", "host."), "ipv4": ("host",), "email": ("host", "host."), "hash": ("hex",)}
+URL_ENDS = ("host", "port", "path/", "path", "path.", "path..", "query", "fragment")
+FINAL = {"url": URL_ENDS, "domain": (*URL_ENDS, "host."), "ipv4": ("host",), "ipv6": ("number",), "cidr": ("number",), "email": ("host", "host."), "hash": ("hex",)}
+COLON_, DOT_, SLASH_ = 16, 17, 18  # in NUMBER, beside the digits 0 to 15
 
 
 def _event(part: str, e: str) -> tuple[str, int]:
     """(next part, symbol or 0) for one character, or '://', that has been read in a part."""
     b = ord(e) if len(e) == 1 else 0
     low = ord(e.lower()) if b else 0
-    if part == "start":  # x and * stand for t in the schemes that are let in here
+    user = part.endswith("@")  # a URL with a user name: what follows the scheme
+    begin = "user" if user else "host0"
+    if part in ("start", "start@"):  # x and * stand for t in the schemes that are let in here
         if e in (":", "://"):
-            return ("colon" if b else "host0"), 0
+            return (("colon@" if user else "colon") if b else begin), 0
         return (part, SCHEME + (ord("t") if e in "xX*" else low)) if b in ALNUM or e == "*" else (FAIL, 0)
-    if part in ("colon", "colon/"):
-        return (("colon/" if part == "colon" else "host0"), 0) if e == "/" else (FAIL, 0)
+    if part.startswith("colon"):
+        after = {"colon": "colon/", "colon@": "colon/@"}.get(part, begin)
+        return (after, 0) if e == "/" else (FAIL, 0)
+    if part == "user":
+        return ("host0", USER + b) if e == "@" else (part, USER + b) if b in USER_PLAIN else (FAIL, 0)
     if part in ("host0", "host", "host-", "host."):
         if b in NAME:
             return "host", (DOTTED if part == "host." else HOST) + low
         if part == "host":
-            goes = {"-": ("host-", HOST + b), ".": ("host.", 0), ":": ("port", 0), "/": ("path0", 0), "?": ("query", 0), "#": ("fragment", 0)}
+            goes = {"-": ("host-", HOST + b), ".": ("host.", 0), ":": ("port", 0), "/": ("path/", 0), "?": ("query", 0), "#": ("fragment", 0)}
             return goes.get(e, (FAIL, 0))
         return FAIL, 0
     if part == "port":
-        goes = {"/": ("path0", 0), "?": ("query", 0), "#": ("fragment", 0)}
+        goes = {"/": ("path/", 0), "?": ("query", 0), "#": ("fragment", 0)}
         return (part, DIGIT + b) if b in DIGITS else goes.get(e, (FAIL, 0))
-    if part in ("path0", "path", "path/"):
-        if b in PATH_PLAIN or (e == "." and part == "path"):
-            return "path", PATH + b
-        if e == "/" and part == "path":
-            return "path/", PATH + b
-        return {"?": ("query", 0), "#": ("fragment", 0)}.get(e, (FAIL, 0))
+    if part in ("path/", "path", "path.", "path.."):  # a segment's first symbol stands for the slash too; dots wait for what comes
+        leaves = {"path/": TRAIL, "path..": BACK}.get(part, 0)
+        if e in ("/", "?", "#"):
+            return {"/": "path/", "?": "query", "#": "fragment"}[e], 0 if e == "/" and part != "path.." else leaves
+        if e == "." and part in ("path/", "path."):
+            return {"path/": "path.", "path.": "path.."}[part], 0
+        if b in PATH_PLAIN or e in (".", "%"):
+            return ("path%" if e == "%" else "path"), {"path/": SEG, "path": PATH, "path.": SEG_DOT, "path..": SEG_DOTS}[part] + b
+        return FAIL, 0
+    if part in ("path%", "path%x"):
+        return ({"path%": "path%x", "path%x": "path"}[part], PATH + b) if b in XDIGITS else (FAIL, 0)
     if part == "query":
         return ("fragment", 0) if e == "#" else (part, QUERY + b) if b in PRINTED else (FAIL, 0)
     if part == "fragment":
-        return (part, 0) if e == "://" or (b in PRINTED and e != "%") else (FAIL, 0)
-    if part == "local":
+        return ("fragment%", 0) if e == "%" else (part, 0) if e == "://" or b in PRINTED else (FAIL, 0)
+    if part in ("fragment%", "fragment%x"):
+        return ({"fragment%": "fragment%x", "fragment%x": "fragment"}[part], 0) if b in XDIGITS else (FAIL, 0)
+    if part in ("local0", "local"):
         if e == "@":
-            return "host0", 0
-        return (part, LOCAL + low) if b in NAME or e in ".+-" else (FAIL, 0)
+            return ("host0" if part == "local" else FAIL), 0
+        return ("local", LOCAL + low) if b in NAME or e in ".+-" else (FAIL, 0)
     if part == "prefix":
         return ("hex", 0) if e == ":" else (part, 0) if b in ALNUM else (FAIL, 0)
-    return (part, HOST + low) if part == "hex" and b in set(b"0123456789abcdefABCDEF") else (FAIL, 0)
+    if part == "number":
+        n = int(e, 16) if b in XDIGITS else {":": COLON_, ".": DOT_, "/": SLASH_}.get(e)
+        return (part, NUMBER + n) if n is not None else (FAIL, 0)
+    return (part, HOST + low) if part == "hex" and b in XDIGITS else (FAIL, 0)
 
 
 @lru_cache(maxsize=1)
@@ -103,9 +126,9 @@ def table() -> tuple[np.ndarray, dict[str, int]]:
 
     for part in PARTS:
         for byte in PRINTED:
-            if byte in OPEN and part != "fragment":
+            if byte in OPEN and not part.startswith("fragment"):
                 put(part, byte, f"{part}[")
-            elif byte == ord("\\") and part != "fragment":
+            elif byte == ord("\\") and not part.startswith("fragment"):
                 put(part, byte, f"{part}\\")
             else:
                 put(part, byte, *_event(part, chr(byte)))
@@ -129,45 +152,113 @@ def table() -> tuple[np.ndarray, dict[str, int]]:
 
 
 # Which rows begin where.  W: what is trimmed; a dot, colon or slash as it is written, disarmed or not.
-W = r"[\t\n\f\r <>\"'`]*"
+W = "[" + "".join(rf"\x{{{ord(c):x}}}" for c in scalar.BLANKS + scalar.QUOTES) + "]*"
 G = r"[\t\n\f\r ]*"
 DOT = rf"(?:\\?\.|[\[({{]{G}(?:\.|dot|punto|point){G}[\])}}])"
 AT = rf"(?:@|[\[({{]{G}(?:@|at){G}[\])}}])"
 COLON = rf"(?::|[\[({{]:{G}[\])}}])"
 SLASH = rf"(?:/|[\[({{]{G}//?{G}[\])}}])"
 AFTER_SCHEME = rf"(?:[\[({{]:{G}/{G}/{G}[\])}}]|{COLON}{SLASH}{SLASH})"
-ANY_SCHEME = rf"(?i)^{W}[a-z][a-z0-9+.*\-]*(?:[\[({{]{G}:{G}/{G}/{G}[\])}}]|(?::|[\[({{]{G}:{G}[\])}}]){SLASH}{SLASH})"
+ANY_SCHEME = rf"(?i)^{W}[a-z](?:[a-z0-9+.*\-]|{DOT})*(?:[\[({{]{G}:{G}/{G}/{G}[\])}}]|(?::|[\[({{]{G}:{G}[\])}}]){SLASH}{SLASH})"
 OCTET = scalar.OCTET
-QUAD = rf"(?i)^{W}{OCTET}(?:{DOT}{OCTET}){{3}}{W}$"
+QUAD = rf"{OCTET}(?:{DOT}{OCTET}){{3}}"
+BITS = rf"{SLASH}(?:0|[1-9][0-9]?[0-9]?){W}$"
+GROUPS = rf"(?:[0-9a-f]{{1,4}}|{COLON})*{COLON}(?:[0-9a-f]{{1,4}}|{COLON})*"
 SCHEMES = {"http": r"(?:htt|hxx|hxt|htx|h\*\*)p", "https": r"(?:htt|hxx|hxt|htx|h\*\*)ps", "ftp": "f[tx]p", "tcp": "tcp", "udp": "udp", "ssh": "ssh"}
-NAMED = rf"(?i)[a-z][a-z0-9_]*(?:-[a-z0-9_]+)*{DOT}?{W}$"  # the last label is no number
 
 
 def _match(a: pa.Array, pattern: str) -> np.ndarray:
     return pc.fill_null(pc.match_substring_regex(a, pattern), False).to_numpy(zero_copy_only=False)
 
 
+@lru_cache(maxsize=4)
+def _trimmed(characters: str) -> tuple[np.ndarray, list[bytes]]:
+    """Which single bytes are trimmed, and which longer characters."""
+    one = np.zeros(256, bool)
+    one[[ord(c) for c in characters if ord(c) < 128]] = True
+    return one, [c.encode() for c in characters if ord(c) >= 128]
+
+
+class Numbers:
+    """IPv6 addresses and networks, read a digit or mark at a time; the same number is the same address."""
+
+    def __init__(self, n: int, four: np.ndarray):
+        self.four = four  # dotted, in tens; others in sixteens
+        self.groups = np.zeros((n, 9), np.int64)
+        self.at, self.cur, self.size, self.double, self.bits = (np.full(n, x, np.int64) for x in (0, 0, 0, -1, -1))
+        self.last = np.full(n, -1, np.int64)  # the last mark, if nothing came after it
+        self.bad = np.zeros(n, bool)
+
+    def step(self, rows: np.ndarray, what: np.ndarray) -> None:
+        digit = what < 16
+        r, v = rows[digit], what[digit]
+        inside = self.bits[r] >= 0
+        q, w = r[inside], v[inside]
+        self.bits[q] = np.minimum(self.bits[q] * 10 + w, 999)
+        self.bad[q] |= w > 9
+        q, w = r[~inside], v[~inside]
+        self.cur[q] = self.cur[q] * np.where(self.four[q], 10, 16) + w
+        self.size[q] += 1
+        self.bad[q] |= self.size[q] > 4
+        self.last[r] = -1
+        r, v = rows[~digit], what[~digit]
+        self.bad[r] |= (self.bits[r] >= 0) | ((v == DOT_) != self.four[r]) & (v != SLASH_) | (self.last[r] == DOT_)
+        again = (v == COLON_) & (self.last[r] == COLON_)
+        self.bad[r] |= again & (self.double[r] >= 0) | (v == SLASH_) & (self.last[r] == COLON_) & (self.double[r] != self.at[r])
+        self.double[r[again]] = self.at[r[again]]
+        lone = (self.size[r] == 0) & (v == COLON_) & ~again & (self.at[r] > 0)  # a group without digits
+        self.bad[r] |= lone & (self.last[r] != COLON_)
+        self._push(r[self.size[r] > 0])
+        self.bits[r[v == SLASH_]] = 0
+        self.last[r] = v
+
+    def _push(self, r: np.ndarray) -> None:
+        at = np.minimum(self.at[r], 8)
+        self.groups[r, at] = self.cur[r]
+        self.at[r], self.cur[r], self.size[r] = at + 1, 0, 0
+
+    def done(self, network: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per row: version, eight groups (of a network, without host bits) and the bits; and whether it is well-formed."""
+        plain = self.bits < 0
+        self.bad |= plain & ((self.last == DOT_) | (self.last == COLON_) & (self.double != self.at)) | (self.last == SLASH_)
+        self._push(np.flatnonzero(self.size > 0))
+        first = self.first_colon
+        want = np.where(self.four, 4, 8)
+        open_ = self.double >= 0
+        self.bad |= first | (self.at > want) | (~open_ & (self.at != want)) | (open_ & (self.at >= want)) | (plain == network) | (self.bits > np.where(self.four, 32, 128))
+        out = np.zeros((len(self.at), 10), np.int64)
+        out[:, 0], out[:, 9] = np.where(self.four, 4, 6), self.bits
+        behind = np.where(open_, self.at - self.double, 0)
+        for i in range(8):
+            from_ = np.where(i >= 8 - behind, i - 8 + self.at, np.where(open_ & (i >= self.double), 8, i))
+            out[:, 1 + i] = np.where(from_ < self.at, self.groups[np.arange(len(self.at)), np.minimum(from_, 8)], 0)
+        width = np.where(self.four, 8, 16)
+        for i in range(8):
+            left = np.where(network, np.clip(self.bits - i * width, 0, width), width)
+            out[:, 1 + i] &= ((1 << width) - 1) ^ ((1 << (width - left)) - 1)
+        mapped = ~self.four & ~network & (out[:, 1:6] == 0).all(1) & (out[:, 6] == 0xFFFF)  # is IPv4
+        return out, ~self.bad & ~mapped
+
+
 class Reader:
-    """The rows of a block, each with its type, the state to begin in and its bytes; `known` where the table will do."""
+    """The rows of a block, each with its type, the state to begin in and its bytes; `known` where the table will do.
+    Texts that are `canonical` are taken as they are: nothing is trimmed, no scheme replaced."""
 
-    def __init__(self, kind: pa.Array, raw: pa.Array):
+    def __init__(self, kind: pa.Array, raw: pa.Array, canonical: bool = False):
         _, number = table()
         n = len(raw)
         kind = pc.fill_null(kind, "auto")
         kind = pc.if_else(pc.equal(kind, ""), "auto", kind)
         raw = pc.fill_null(raw, "").cast(pa.large_string())
         offsets = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + n + 1]
-        self.flat = np.r_[np.frombuffer(raw.buffers()[2], np.uint8) if raw.buffers()[2] else np.zeros(0, np.uint8), np.zeros(1, np.uint8)]
+        self.flat = np.r_[np.frombuffer(raw.buffers()[2], np.uint8) if raw.buffers()[2] else np.zeros(0, np.uint8), np.zeros(4, np.uint8)]
         self.start, self.end = offsets[:-1].copy(), offsets[1:].copy()
-        blank, quote = np.zeros(256, bool), np.zeros(256, bool)
-        blank[list(b"\t\n\v\f\r ")], quote[list(b"<>\"'`")] = True, True
         moved = self.start
-        for lut in (blank, quote, blank):
+        if not canonical:
+            self._trim(scalar.BLANKS)
+            self._trim(scalar.QUOTES)
             moved = self.start.copy()
-            while (m := (self.start < self.end) & lut[self.flat[self.start]]).any():
-                self.start[m] += 1
-            while (m := (self.start < self.end) & lut[self.flat[self.end - 1]]).any():
-                self.end[m] -= 1
+            self._trim(scalar.BLANKS)
         inner = self.start > moved  # blanks within the quotes: the scheme isn't at the front
 
         t = {k: pc.equal(kind, k).to_numpy(zero_copy_only=False) for k in ("auto", *TYPES)}
@@ -175,6 +266,7 @@ class Reader:
         self.state = np.zeros(n, np.int64)
         self.port = np.zeros(n, np.int64)
         self.seed = np.zeros(n, np.int64)
+        self.four = np.zeros(n, bool)
         size = self.end - self.start
         free = np.ones(n, bool)
 
@@ -189,36 +281,68 @@ class Reader:
             give(bare & (t["auto"] | t[algorithm]), algorithm, "hex")
             give(t[algorithm] & _match(raw, rf"(?i)^{W}{algorithm}:[0-9a-f]{{{length}}}{W}$"), algorithm, "prefix")
         any_scheme = _match(raw, ANY_SCHEME)
-        for scheme, spelt in SCHEMES.items():
-            rows = give((t["auto"] | t["url"]) & ~inner & _match(raw, rf"(?i)^{W}{spelt}{AFTER_SCHEME}"), "url", "start")
-            self.port[rows] = int(scalar.DEFAULT_PORT.get(scheme, -1))
-        free &= ~(any_scheme & (t["auto"] | t["url"]))
-        give((t["auto"] | t["ipv4"]) & _match(raw, QUAD), "ipv4", "host0")
         at, slash = _match(raw, f"(?i){AT}"), _match(raw, SLASH)
+        user = at & _match(raw, rf"(?i)^{W}(?:[a-z*]+{AFTER_SCHEME})?[^/?#]*{AT}")
         short = (size <= 253) & ~_match(raw, r"[a-zA-Z0-9_\-]{64}")
-        give((t["auto"] | t["email"]) & at & short, "email", "local")
+        for scheme, spelt in SCHEMES.items():
+            begins = any_scheme & ~inner & _match(raw, rf"(?i)^{W}{scheme if canonical else spelt}{AFTER_SCHEME}")
+            mine = (t["auto"] | t["url"]) & begins
+            self.port[give(mine & ~user, "url", "start") | give(mine & user, "url", "start@")] = int(scalar.DEFAULT_PORT.get(scheme, -1))
+            give(t["domain"] & short & begins & ~at, "domain", "start")
+        free &= ~(any_scheme & (t["auto"] | t["url"] | t["domain"]))
+        give((t["auto"] | t["ipv4"]) & _match(raw, rf"(?i)^{W}{QUAD}{W}$"), "ipv4", "host0")
+        self.start[give((t["auto"] | t["ipv4"]) & _match(raw, rf"(?i)^{W}::ffff:{QUAD}{W}$"), "ipv4", "host0")] += 7
+        give((t["auto"] | t["ipv6"]) & _match(raw, rf"(?i)^{W}{GROUPS}{W}$"), "ipv6", "number")
+        nets = t["auto"] | t["cidr"]
+        self.four |= give(nets & _match(raw, rf"(?i)^{W}{QUAD}{BITS}"), "cidr", "number")
+        give(nets & _match(raw, rf"(?i)^{W}{GROUPS}{BITS}"), "cidr", "number")
+        give((t["auto"] | t["email"]) & at & short, "email", "local0")
         network = t["auto"] & _match(raw, rf"(?i)^{W}[0-9a-f:.]+(?:{DOT}[0-9]+)*{SLASH}[0-9]+{W}$")
-        rows = give(((t["auto"] & ~at & slash & ~network) | t["url"]) & ~any_scheme, "url", "host0")
-        self.port[rows], self.seed[rows] = 80, 1  # as if it began with http://
-        give((t["auto"] | t["domain"]) & short & ~slash & ~at & _match(raw, NAMED), "domain", "host0")
+        for has in (True, False):
+            rows = give(((t["auto"] & ~at & slash & ~network) | t["url"]) & ~any_scheme & (user == has), "url", "user" if has else "host0")
+            self.port[rows], self.seed[rows] = 80, 1  # as if it began with http://
+        give(t["domain"] & short & ~at, "domain", "host0")
+        give(t["auto"] & short & ~at & ~slash & ~_match(raw, r"[?#:]"), "domain", "host0")
         self.known = ~free & (size > 0)
         self.finals = np.zeros((len(TYPES) + 1, len(number)), bool)
         for i, x in enumerate(TYPES):
             for p in FINAL.get("hash" if x in scalar.HEX_LENGTH else x, ()):
                 self.finals[i, number[p]] = True
 
-    def accepted(self, kinds: np.ndarray, state: np.ndarray, dots: np.ndarray, port: np.ndarray, zero: np.ndarray) -> np.ndarray:
-        """Whether what has been read is whole, by its type, the state it ended in, and its dots and port."""
-        named = np.isin(kinds, [TYPES.index("domain"), TYPES.index("email")])
-        return self.finals[kinds, state] & ~zero & (port < 10**6) & (~named | (dots > 0))
-
-    def hashes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Two 64-bit hashes of each row's symbols, and whether the table could read the row to its end."""
+    def _trim(self, characters: str) -> None:
+        """Move the ends of all rows in, over these characters."""
+        one, longer = _trimmed(characters)
+        flat, live = self.flat, np.arange(len(self.start))
+        while len(live):
+            s, e = self.start[live], self.end[live]
+            front, back = one[flat[s]].astype(np.int64), one[flat[e - 1]].astype(np.int64)
+            if (flat[s] > 127).any() or (flat[e - 1] > 127).any():
+                for c in longer:
+                    w = len(c)
+                    room = e - s >= w
+                    front[room & np.logical_and.reduce([flat[s + i] == c[i] for i in range(w)])] = w
+                    back[room & np.logical_and.reduce([flat[e - w + i] == c[i] for i in range(w)])] = w
+            front[e <= s] = 0
+            self.start[live] += front
+            back[self.end[live] - self.start[live] < np.maximum(back, 1)] = 0
+            self.end[live] -= back
+            live = live[(front + back) > 0]
+
+    def accepted(self, kinds: np.ndarray, state: np.ndarray, dots: np.ndarray, lead: np.ndarray, port: np.ndarray, zero: np.ndarray) -> np.ndarray:
+        """Whether what has been read is whole, by its type, the state it ended in, its dots, the first byte of its last
+        label (a name doesn't end in a number) and its port."""
+        domain = kinds == TYPES.index("domain")
+        named = domain | (kinds == TYPES.index("email"))
+        return self.finals[kinds, state] & (domain | ~zero & (port < 10**6)) & (~named | ((dots > 0) & (lead >= ord("a")) & (lead <= ord("z"))))
+
+    def hashes(self, only: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Two 64-bit hashes of each row's symbols, and whether the table could read the row to its end. `numbers`: what
+        addresses and networks are, by row."""
         flat, number = table()
-        order = np.flatnonzero(self.known)
+        order = np.flatnonzero(self.known if only is None else self.known & only)
         order = order[np.argsort(self.start[order] - self.end[order], kind="stable")]  # the longest first
         at, size = self.start[order], (self.end - self.start)[order]
-        state = self.state[order]
+        state, kinds = self.state[order], self.type[order]
         h = [np.full(len(order), b ^ 0x5851F42D4C957F2D, np.uint64) for b in BASES]
         web = self.seed[order] == 1
         for k, b in enumerate(BASES):  # what the scheme http would have added
@@ -226,25 +350,60 @@ class Reader:
             for c in b"http":
                 x = x * np.uint64(b) + np.uint64(SCHEME + c)
             h[k][web] = x
-        port, dots, zero = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64), np.zeros(len(order), bool)
+        port, dots, lead, depth = (np.zeros(len(order), np.int64) for _ in range(4))
+        zero, bad = np.zeros(len(order), bool), np.zeros(len(order), bool)
+        domain = kinds == TYPES.index("domain")
+        saved = [np.zeros((DEPTH, len(order)), np.uint64) for _ in BASES]
+        numeric = np.isin(kinds, [TYPES.index("ipv6"), TYPES.index("cidr")])
+        place = np.cumsum(numeric) - 1
+        numbers = Numbers(int(numeric.sum()), self.four[order][numeric])
+        numbers.first_colon = self._first_colon(order[numeric])
         live = np.searchsorted(-size, -np.arange(int(size[0]) if len(size) else 0), side="left")
         for j, n in enumerate(live):
             entry = flat[state[:n] * 256 + self.flat[at[:n] + j]]
             state[:n] = entry & 4095
             symbol = entry >> 12
             kind = symbol & ~255
-            digit = kind == DIGIT
-            if digit.any():
-                zero[:n] |= digit & (port[:n] == 0) & (symbol == DIGIT + ord("0"))
-                port[:n] = np.where(digit, np.minimum(port[:n] * 10 + symbol - DIGIT - 48, 10**6), port[:n])
-            dots[:n] += kind == DOTTED
-            adds = (symbol > 0) & ~digit
+            dotted = kind == DOTTED
+            dots[:n] += dotted
+            lead[:n] = np.where(dotted, symbol & 255, lead[:n])
+            adds = (symbol > 0) & (~domain[:n] | dotted | (kind == HOST))
+            more = np.flatnonzero(kind >= SEG)
+            if len(more):
+                what = kind[more]
+                digit, num, back = more[what == DIGIT], more[what == NUMBER], more[what == BACK]
+                zero[digit] |= (port[digit] == 0) & (symbol[digit] == DIGIT + ord("0"))
+                port[digit] = np.minimum(port[digit] * 10 + symbol[digit] - DIGIT - 48, 10**6)
+                if len(num):
+                    numbers.step(place[num], symbol[num] & 255)
+                seg = more[what <= SEG_DOTS]
+                bad[seg] |= depth[seg] >= DEPTH
+                d = np.minimum(depth[seg], DEPTH - 1)
+                for x, y in zip(h, saved):
+                    y[d, seg] = x[seg]
+                depth[seg] = d + 1
+                back = back[depth[back] > 0]
+                depth[back] -= 1
+                for x, y in zip(h, saved):
+                    x[back] = y[depth[back], back]
+                adds[more[what >= BACK]] = False
+                trail = more[(what == TRAIL) & (depth[more] > 0)]
+                adds[trail] = ~domain[trail]
             s = symbol.astype(np.uint64)
             for x, b in zip(h, BASES):
                 x[:n] = np.where(adds, x[:n] * np.uint64(b) + s, x[:n])
-        kinds = self.type[order]
-        ok = self.accepted(kinds, state, dots, port, zero)
-        port[port == self.port[order]] = 0
+        back = np.flatnonzero((state == number["path.."]) & (depth > 0))
+        trail = np.flatnonzero((state == number["path/"]) & (depth > 0) & ~domain)
+        for x, y, b in zip(h, saved, BASES):
+            x[back] = y[depth[back] - 1, back]
+            x[trail] = x[trail] * np.uint64(b) + np.uint64(TRAIL)
+        ok = self.accepted(kinds, state, dots, lead, port, zero) & ~bad
+        port[(port == self.port[order]) | domain] = 0
+        values, fine = numbers.done(kinds[numeric] == TYPES.index("cidr"))
+        ok[numeric] &= fine
+        for x, b in zip(h, BASES):
+            for column in values.T:
+                x[numeric] = x[numeric] * np.uint64(b) + (column + NUMBER).astype(np.uint64)
         out = [np.zeros(len(self.known), np.uint64) for _ in BASES]
         for x, b, o in zip(h, BASES, out):
             x = (x * np.uint64(b) + port.astype(np.uint64)) * np.uint64(b) + kinds.astype(np.uint64)
@@ -252,8 +411,15 @@ class Reader:
             o[order] = x * np.uint64(0xBF58476D1CE4E5B9)
         read = np.zeros(len(self.known), bool)
         read[order[ok]] = True
+        self.numbers = np.zeros((len(self.known), 10), np.int64)
+        self.numbers[order[numeric]] = values
         return out[0], out[1], read
 
+    def _first_colon(self, rows: np.ndarray) -> np.ndarray:
+        """Whether an address begins with a single colon, or with one that is disarmed."""
+        flat, s = self.flat, self.start[rows]
+        return np.isin(flat[s], list(OPEN)) | (flat[s] == ord(":")) & (flat[s + 1] != ord(":"))
+
 
 def _plain(kind: str, value: str) -> tuple[int, int]:
     """Hashes of a canonical text that the table can't read."""
@@ -281,8 +447,9 @@ def fingerprints(kind: pa.Array, raw: pa.Array) -> tuple[np.ndarray, np.ndarray,
                 seen[p] = scalar.observable(*p)
         forms = sorted({x for x in seen.values() if x is not None})
         if forms:
-            fa, fb, fread = Reader(pa.array([x[0] for x in forms]), pa.array([x[1] for x in forms])).hashes()
-            by = {x: (int(fa[i]), int(fb[i])) if fread[i] else _plain(*x) for i, x in enumerate(forms)}
+            fa, fb, fread = Reader(pa.array([x[0] for x in forms]), pa.array([x[1] for x in forms]), canonical=True).hashes()
+            # brackets and backslashes that are still there are text; the table never lets them through
+            by = {x: (int(fa[i]), int(fb[i])) if fread[i] and not set("[({\\") & set(x[1]) else _plain(*x) for i, x in enumerate(forms)}
             for i, p in zip(rest.tolist(), pairs):
                 if seen[p] is not None:
                     a[i], b[i] = by[seen[p]]
@@ -292,8 +459,9 @@ def fingerprints(kind: pa.Array, raw: pa.Array) -> tuple[np.ndarray, np.ndarray,
 
 def same(kind_a: pa.Array, raw_a: pa.Array, kind_b: pa.Array, raw_b: pa.Array) -> np.ndarray:
     """Whether the values of each row are equal apart from formatting: two cursors, each skipping on to its next
-    symbol, which are compared; all rows at once.  Texts that are the same need no reading; pairs that the table can't
-    read to their ends alike are compared by the scalar rules."""
+    symbol, which are compared; all rows at once; addresses and networks are compared as numbers.  Texts that are the
+    same need no reading; pairs that the table can't read to their ends alike (where a path goes back by `..`, too) are
+    compared by the scalar rules."""
     flat, number = table()
     out = pc.and_(pc.fill_null(pc.equal(raw_a, raw_b), False), pc.equal(pc.fill_null(kind_a, "auto"), pc.fill_null(kind_b, "auto"))).to_numpy(zero_copy_only=False).copy()
     rest = np.flatnonzero(~out)
@@ -306,7 +474,8 @@ def same(kind_a: pa.Array, raw_a: pa.Array, kind_b: pa.Array, raw_b: pa.Array) -
     at = [r.start[rows].copy() for r in rs]
     end = [r.end[rows] for r in rs]
     state = [r.state[rows].copy() for r in rs]
-    port, dots = ([np.zeros(len(rows), np.int64) for _ in rs] for _ in range(2))
+    port, dots, lead = ([np.zeros(len(rows), np.int64) for _ in rs] for _ in range(3))
+    domain = rs[0].type[rows] == TYPES.index("domain")
     zero = np.zeros(len(rows), bool)
     got = [np.full(len(rows), -1, np.int64) for _ in rs]  # -1: none yet; 0: at the end
     equal, live = np.ones(len(rows), bool), np.arange(len(rows))
@@ -320,11 +489,13 @@ def same(kind_a: pa.Array, raw_a: pa.Array, kind_b: pa.Array, raw_b: pa.Array) -
             at[k][want] += 1
             state[k][want] = entry & 4095
             symbol = entry >> 12
-            digit = (symbol & ~255) == DIGIT
+            kind = symbol & ~255
+            digit, dotted = kind == DIGIT, kind == DOTTED
             zero[want[digit]] |= (port[k][want[digit]] == 0) & (symbol[digit] == DIGIT + ord("0"))
             port[k][want[digit]] = np.minimum(port[k][want[digit]] * 10 + symbol[digit] - DIGIT - 48, 10**6)
-            dots[k][want] += (symbol & ~255) == DOTTED
-            some = (symbol > 0) & ~digit
+            dots[k][want] += dotted
+            lead[k][want[dotted]] = symbol[dotted] & 255
+            some = (symbol > 0) & ~digit & (~domain[want] | dotted | (kind == HOST))
             got[k][want[some]] = symbol[some]
         both = live[(got[0][live] >= 0) & (got[1][live] >= 0)]
         equal[both] &= got[0][both] == got[1][both]
@@ -333,10 +504,15 @@ def same(kind_a: pa.Array, raw_a: pa.Array, kind_b: pa.Array, raw_b: pa.Array) -
         for k in (0, 1):
             got[k][both[~over]] = -1
     for k in (0, 1):
-        equal &= rs[k].accepted(rs[k].type[rows], state[k], dots[k], port[k], zero)
-        port[k][port[k] == rs[k].port[rows]] = 0
+        ends = np.where(state[k] == number["path/"], state[1 - k] == number["path/"], True)  # both or none end in a slash
+        equal &= rs[k].accepted(rs[k].type[rows], state[k], dots[k], lead[k], port[k], zero) & (ends | domain) & (state[k] != number["path.."])
+        port[k][(port[k] == rs[k].port[rows]) | domain] = 0
     fine = np.zeros(len(rest), bool)
     fine[rows] = equal & (port[0] == port[1])
+    numeric = np.isin(rs[0].type, [TYPES.index("ipv6"), TYPES.index("cidr")]) & (rs[0].type == rs[1].type)
+    if numeric.any():
+        read = [r.hashes(numeric)[2] for r in rs]
+        fine[numeric] = (read[0] & read[1] & (rs[0].numbers == rs[1].numbers).all(1))[numeric]
     ask = np.flatnonzero(~fine)
     if len(ask):
         take = pa.array(ask)

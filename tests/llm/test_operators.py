@@ -226,7 +226,30 @@ def test_collisions_are_parted(spark, monkeypatch):
     assert foldhash.same(kinds.take(first), raws.take(first), kinds, raws).tolist() == [True, False, False, True, False, False]
 
 
-@given(st.lists(st.tuples(st.sampled_from(["auto", "url", "domain", "email", "ipv4", "md5", None]), st.text(alphabet="aB1.-_/:@[]()%?# \\x*é'\t", max_size=20)), max_size=12))
+PIECES = ["http://", "hxxps[:]//", "ftp://", "fxp:[//]", "a", "B", "mal", "example", ".", "[.]", "(dot)", "\\.", "-", "_", "1", "10.1.2.3", "::ffff:", "::", "2001:db8", "0:0", "[:]", ":", ":80", ":080", "/", "//", "[/]", "/..", "/.", "/../", "/./", "...", "/.d", "?q", "#f",
+          "%41", "%zz", "@", "[at]", "user:pw@", " ", "\t", "\xa0", "\u2003", "<", '"', "é", "/24", "/64", "/0", "/08", "ab" * 16, "md5:", "ffff", "(", "]", "x" * 64]
+SPELT = st.one_of(st.text(alphabet="aB1.-_/:@[]()%?# \\x*é'\t", max_size=20), st.lists(st.sampled_from(PIECES), max_size=8).map("".join), st.lists(st.sampled_from(["0", "0000", "db8", "DB8", "::", ":", "[:]", "ffff", "/64", "/8"]), max_size=12).map("".join))
+
+
+@given(st.lists(st.tuples(st.sampled_from(["auto", "url", "domain", "email", "ipv4", "ipv6", "cidr", "md5", None]), SPELT), max_size=12))
+@settings(max_examples=300, deadline=None)
+def test_comparisons(rows):
+    forms = [scalar.observable(*x) for x in rows]
+    pairs = [(i, j) for i in range(len(rows)) for j in range(len(rows)) if forms[i] is not None and forms[j] is not None]
+    sides = [pa.array([rows[p[k]][c] for p in pairs], pa.string()) for k in (0, 1) for c in (0, 1)]
+    assert foldhash.same(*sides).tolist() == [forms[i] == forms[j] for i, j in pairs]
+
+
+def test_what_the_table_reads(sf):
+    import pyarrow.parquet as pq
+
+    seen = pq.read_table(f"{sf}/indicator_records.parquet", columns=["indicator"]).column("indicator").combine_chunks()
+    kinds, raws = seen.field("type"), seen.field("raw_value")
+    valid = np.array([scalar.observable(*x) is not None for x in zip(kinds.to_pylist(), raws.to_pylist())])
+    assert foldhash.Reader(kinds, raws).hashes()[2][valid].mean() > 0.98
+
+
+@given(st.lists(st.tuples(st.sampled_from(["auto", "url", "domain", "email", "ipv4", "ipv6", "cidr", "md5", None]), SPELT | st.text(alphabet="aB1.-_/:@[]()%?# \\x*é'\t", max_size=20)), max_size=12))
 @settings(max_examples=300, deadline=None)
 def test_fingerprints(rows):
     kinds, raws = pa.array([k for k, _ in rows], pa.string()), pa.array([r for _, r in rows], pa.string())
