@@ -10,7 +10,7 @@ from sightline.llm.cooccur import cooccurrence
 from sightline.llm.encode import TOKENIZER, encoded, sizes
 from sightline.llm.foldhash import collapsed, copies
 from sightline.llm.mixing import mixed, rates, report
-from sightline.llm.subjects import subject_areas
+from sightline.llm.subjects import composition, subject_areas
 from sightline.llm.survivor import Field, says_something, survivors
 from sightline.session import settled
 
@@ -115,9 +115,9 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_composition(spark: SparkSession, d: str) -> DataFrame:
-    """The corpus by subject: documents that treat it, and their words, divided by each document's shares."""
-    found = _areas(spark, d)
-    return found.groupBy("subject").agg(F.count("*").alias("n_docs"), F.round(F.sum(F.col("share") * F.col("n_words"))).cast("long").alias("n_words"))
+    """The corpus by subject: documents that treat it, their words, divided by each document's shares, and the terms that
+    the subject is found by."""
+    return composition(_areas(spark, d), spark.read.parquet(f"{d}/subject_areas.parquet"))
 
 
 def queries() -> dict:

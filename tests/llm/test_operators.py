@@ -392,27 +392,46 @@ def test_reading():
 
 
 def test_counting():
-    areas = tuple(sorted(subjects.TERMS))
-    terms, member = subjects.lexicon(areas)
-    got, n = subjects.counted("Star formation, stars; star-formation in galaxies. Larvae!", areas)
-    assert {terms[k]: c for k, c in got.items()} == {"star formation": 2, "star": 1, "galaxies": 1, "larvae": 1} and n == 8
-    assert subjects.counted(None, areas) == ({}, 0)
-    for name in areas:
-        assert 30 <= member[:, areas.index(name)].sum() <= 120
+    words = subjects.lexicon()
+    got, n = subjects.counted("Star formation, stars; black-hole in a galaxy. Larvae! Café, Zellmembranen, órbita", words.terms)
+    assert {words.terms[k]: c for k, c in got.items()} == {"star": 2, "black hole": 1, "galaxy": 1, "larvae": 1, "zellmembran": 1, "orbita": 1} and n == 12
+    assert subjects.counted(None, words.terms) == ({}, 0) and subjects.counted("a b", ()) == ({}, 2)
+    assert all((words.weight[:, i] > 0).sum() >= 80 for i in range(len(words.subjects)))
+
+
+def test_lexicon_of_given_areas():
+    words = subjects.lexicon((("cooking", "Recipes, kitchens and those that cook in them"), ("law", None), ("void ?", ""), ("-", None), ("baking", "Bread from kitchens")))
+    of = lambda s: {t for k, t in enumerate(words.terms) if words.weight[k, words.subjects.index(s)] > 0}
+    assert of("cooking") == {"cooking", "recipes", "cook"} and of("baking") == {"baking", "bread"} and of("void ?") == {"void"}  # kitchens tells them not apart
+    assert words.without_terms == ["-"] and "plaintiff" in of("law") and words.beside[words.terms.index("nucleus")]
 
 
 def test_subjects(spark):
     bio, law = "The enzyme and the genome of a larva. ", "The plaintiff and the statute. "
-    rows = [(1, bio * 5), (2, bio * 5 + law * 6), (3, bio * 12 + "A plaintiff."), (4, None), (5, ""), (6, "% " + bio), (7, "Plain words only."), (8, bio * 5 + "The nucleus and the culture. " * 4), (9, "The nucleus and the root. " * 9)]
+    rows = [(1, bio * 5), (2, bio * 5 + law * 6), (3, bio * 12 + "A plaintiff."), (4, None), (5, ""), (6, "% " + bio), (7, "Simply nothing of interest."), (8, bio * 5 + "The nucleus and the culture. " * 4), (9, "The nucleus and the root. " * 9), (10, bio), (11, "Recipes and ovens"), (12, "to be or not " * 300 + law)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("subject", F.lit("clash")).withColumn("share", F.lit(1))
-    areas = spark.createDataFrame([("biology", "x"), ("law", "y"), ("astronomy", "z"), ("cooking", "?"), (None, None)], "subject string, description string")
+    areas = spark.createDataFrame([("biology", "x"), ("law", "y"), ("astronomy", "z"), ("cooking", "Recipes and ovens"), ("-", None), (None, None)], "subject string, description string")
     labels = spark.createDataFrame([(1, "biology"), (2, "biology"), (2, "law"), (None, "law")], "doc_id long, subject string")
-    want = {(1, "biology"), (2, "biology"), (2, "law"), (3, "biology"), (8, "biology")}
-    for given_labels in (labels, labels.limit(0), None):
+    want = {(1, "biology"), (2, "biology"), (2, "law"), (3, "biology"), (8, "biology"), (10, "biology"), (11, "cooking")}  # a short text too
+    for given_labels in (labels.limit(0), None):
         assert {(r["doc_id"], r["subject"]) for r in subjects.subject_areas(docs, "doc_id", "text", areas, given_labels).collect()} == want
+    found = subjects.subject_areas(docs, "doc_id", "text", areas, labels)
+    assert {(r["doc_id"], r["subject"]) for r in found.collect()} >= {(1, "biology"), (2, "biology"), (2, "law")}
+    made = {r["subject"]: r for r in subjects.composition(found, areas).collect()}
+    assert set(made) == {"biology", "law", "astronomy", "cooking", "-"} and (made["-"]["n_terms"], made["-"]["n_docs"]) == (0, 0) and made["cooking"]["n_terms"] == 3 and made["biology"]["n_docs"] >= 2
     assert subjects.subject_areas(docs.limit(0), "doc_id", "text", areas, labels).count() == 0
 
 
+def test_thresholds_on_labels_held_out(spark):
+    d = "/root/testdata/sf0.01"
+    docs, areas, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "subject_areas", "subject_labels"))
+    wanted = subjects.given_areas(areas)
+    words = subjects.lexicon(wanted)
+    seen = subjects.settled(subjects.counts(docs, "doc_id", "text", words.terms))
+    found = subjects.calibrated(seen, labels, "doc_id", words, np.ones(len(words.subjects), bool), subjects.rarity(seen, words))
+    assert found.n_held_out > 20 and found.recall > 0.85 and found.precision > 0.8 and 0.08 < found.share < 0.25
+
+
 # Whole queries
 
 
