@@ -103,7 +103,8 @@ def periods_and_gaps(df: DataFrame, key: str, start: str, end: str) -> DataFrame
         if last is not None:
             yield last
 
-    lists = settled(placed(raw.mapInArrow(_leaf, schema), "k", "s").mapInArrow(level, T.StructType([*schema, T.StructField("mark", T.BooleanType()), T.StructField("part", T.IntegerType())])))
+    leaves = settled(raw.mapInArrow(_leaf, schema))  # narrow rows, read for the quantiles and once more to be placed
+    lists = settled(placed(leaves, "k", "s").mapInArrow(level, T.StructType([*schema, T.StructField("mark", T.BooleanType()), T.StructField("part", T.IntegerType())])))
 
     seeds: dict[int, tuple] = {}
     open_: tuple | None = None  # key, start and end of the period that is open at the end of a partition
