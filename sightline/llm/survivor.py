@@ -146,13 +146,14 @@ def survivors(df: DataFrame, key: str, at: str, row_id: str, fields: list[Field]
     moment = F.unix_micros(F.col(at).cast("timestamp")) if isinstance(kind, T.TimestampType | T.TimestampNTZType | T.DateType) else F.col(at).cast("long")
     forms = [F.when(f.usable, F.xxhash64((f.value if f.form is None else f.form).cast("string"))).alias(f"s{i}") for i, f in enumerate(fields)]
     held = [F.when(f.usable, f.value).alias(f"v{i}") for i, f in enumerate(fields)] if values else []
-    rows = df.select(F.col(key).alias("k"), moment.alias("t"), F.col(row_id).cast("long").alias("id"), *forms, *held).where("k is not null")
+    shaped = lambda part: part.select(F.col(key).alias("k"), moment.alias("t"), F.col(row_id).cast("long").alias("id"), *forms, *held).where("k is not null")
+    rows = shaped(df)
     places = range(len(fields))
     dated = [latest(F.when(F.col(f"s{i}").isNotNull(), F.col("t")), F.col("id")).alias(f"c{i}") for i in places]
     best = rows.groupBy("k").agg(F.count("*").alias("n_rows"), *dated).select("k", "n_rows", *[place(F.col(f"c{i}")).alias(f"id{i}") for i in places])
 
     each = F.explode(F.array(*[F.struct(F.lit(i).alias("field"), F.col(f"s{i}").alias("s")) for i in places])).alias("x")
-    bare = rows.where("t is null").select("k", "id", each).select("k", "x.field", "x.s", "id").where("s is not null")
+    bare = shaped(df.where(F.col(at).isNull())).select("k", "id", each).select("k", "x.field", "x.s", "id").where("s is not null")
     if not bare.isEmpty():
         best = settled(best)
         order = precedence(transitions(rows.where("t is not null").select("k", "t", "id", *[f"s{i}" for i in places]), len(fields)))
