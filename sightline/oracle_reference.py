@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from sightline.functions.scalar import OCTET
-
 NOW_US = "epoch_us(timestamptz '2026-01-01 00:00:00+00')"
 LIMITS = ("epoch_us(timestamptz '1990-01-01 00:00:00+00')", f"({NOW_US} + 48 * 3600000000)")
 BLANK = r"[\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
@@ -48,7 +46,6 @@ def time_us(c: str) -> str:
 BREACH_SLUG = f"""case when {slugify('breach.slug')} <> '' then {slugify('breach.slug')} when {slugify('breach.name')} <> '' then {slugify('breach.name')} ||
     coalesce('-' || coalesce(year(breach.breach_date), year(breach.disclosed_at))::varchar, '') end"""
 ONCE = "e as (select envelope_id, arg_min(collected_at, received_at) as collected_at, arg_min({'c': default_context}, received_at).c as default_context from envelopes group by 1)"
-NODES = "p as (select distinct concat_ws(':', source.kind, source.value) as s, concat_ws(':', target.kind, target.value) as t from relationship)"
 
 
 def rules(source: str, row_id: str, found: list[tuple[str, str, str]]) -> str:
@@ -76,14 +73,6 @@ def oracle_sql() -> dict[str, str]:
     keep = lambda c: f"arg_max({c}, seq) filter ({c} is not null) as {c}"
     return {
         "defanged_values": f"select record_id, {defang('indicator.raw_value')} as value from indicator_records",
-        "hash_values": f"""
-            with v as (select record_id, indicator.type as k, lower({defang('indicator.raw_value')}) as v from indicator_records where indicator.type in ('md5', 'sha1', 'sha256', 'sha512')),
-                 h as (select record_id, k, case when starts_with(v, k || ':') then substr(v, length(k) + 2) else v end as h from v),
-                 o as (select *, regexp_full_match(h, '[0-9a-f]+') and length(h) = case k when 'md5' then 32 when 'sha1' then 40 when 'sha256' then 64 else 128 end as ok from h)
-            select record_id, case when ok then k end as type, case when ok then h end as value from o""",
-        "ipv4_values": f"""
-            with v as (select record_id, {defang('indicator.raw_value')} as v from indicator_records where not contains(indicator.raw_value, ':') and coalesce(nullif(indicator.type, ''), 'auto') in ('auto', 'ipv4'))
-            select record_id, v as value from v where regexp_full_match(v, '{OCTET}(\\.{OCTET}){{3}}')""",
         "cve_ids": f"select record_id, {cve_key('cve.cve_id')} as cve_id from cve_records",
         "breach_slugs": f"select record_id, {BREACH_SLUG} as slug from breach_records",
         "effective_contexts": f"""
@@ -96,10 +85,6 @@ def oracle_sql() -> dict[str, str]:
                 case when d is null then o.tlp when o is null then d.tlp else coalesce(nullif(o.tlp, ''), d.tlp) end as tlp,
                 array_to_string(list_sort(case when d is null then json_keys(o.attributes) when o is null then json_keys(d.attributes) when o.attributes is null then json_keys(d.attributes) when d.attributes is null then json_keys(o.attributes) else list_distinct(list_concat(json_keys(d.attributes), json_keys(o.attributes))) end), ',') as attribute_names
             from r""",
-        "seen_windows": f"""
-            with {ONCE}, r as (select record_id, context, epoch_us(coalesce(observed_at, collected_at)) as o from indicator_records join e using (envelope_id))
-            select record_id, least(o, {first}) as first_us, greatest(o, {last}) as last_us from r""",
-        "empty_contexts": "select record_id from indicator_records where context is null or (coalesce(context.first_seen, '') = '' and coalesce(context.last_seen, '') = '' and context.confidence is null and coalesce(len(context.tags), 0) = 0 and coalesce(context.tlp, '') = '' and coalesce(len(json_keys(context.attributes)), 0) = 0)",
         "edge_windows": f"""
             with {ONCE}, r as (select edge_id, epoch_us(coalesce(first_seen, collected_at)) as a, epoch_us(coalesce(last_seen, collected_at)) as b from relationship join e using (envelope_id))
             select edge_id, least(a, b) as first_us, greatest(a, b) as last_us from r""",
@@ -124,10 +109,6 @@ def oracle_sql() -> dict[str, str]:
             *ends, ("coalesce(type, '') = ''", "'edge.type'", "required"), ("type <> '' and type not in ('indicates','exploits','mitigates','attributed-to','targets','related-to','derived-from','exposed-in')", "'edge.type'", "unknown verb"),
             (outside("confidence", 1), "'edge.confidence'", "not between 0 and 1"), *times("epoch_us(first_seen)", "edge.first_seen"), *times("epoch_us(last_seen)", "edge.last_seen"),
         ]),
-        "drop_gate": f"""
-            with r as (select envelope_id, {cve_key('cve.cve_id')} as k from cve_records union all select envelope_id, {BREACH_SLUG} from breach_records),
-                 n as (select envelope_id, count(*) as n_records, count(*) - count(k) as n_dropped from r group by 1)
-            select *, round(n_dropped / n_records, 9) as ratio, n_dropped / n_records > 0.25 or n_dropped = n_records as rejected from n""",
         "first_drops": f"""
             with r as (select {slug_of('source_slug')} as slug, record_id, row_number() over (partition by {slug_of('source_slug')} order by record_id) as place from cve_records
                        where not coalesce(cve.cvss_score between 0 and 10, true) or not coalesce(cve.epss_score between 0 and 1, true))
@@ -157,23 +138,6 @@ def oracle_sql() -> dict[str, str]:
             select f.source_key, f.target_key, f.type, first_us, last_us, confidence, case when n = 1 and nm = 0 then null else coalesce(m, '{{}}') end as metadata from f left join m on f.source_key = m.source_key and f.target_key = m.target_key and f.type is not distinct from m.type""",
         "first_deliveries": f"select {slug_of('source')} as source, envelope_digest, arg_min(envelope_id, (received_at, envelope_id)) as envelope_id, epoch_us(min(received_at)) as received_us, count(*) as n_deliveries from envelopes group by 1, 2",
         "source_runs": f"select slug, greatest(epoch_us(last_run_at), latest) as last_run_us from sources left join (select {slug_of('source')} as slug, max(epoch_us(collected_at)) as latest from envelopes group by 1) using (slug)",
-        "lookup_hashes": f"""
-            with {ONCE}, v as (select envelope_id as seq, record_index as idx, source_slug, context, indicator.type as k, lower({defang('indicator.raw_value')}) as v, epoch_us(coalesce(observed_at, collected_at)) as o
-                              from indicator_records join e using (envelope_id) where indicator.type in ('md5', 'sha1', 'sha256', 'sha512')),
-                 h as (select *, case when starts_with(v, k || ':') then substr(v, length(k) + 2) else v end as h from v),
-                 r as (select seq, idx, k as type, h as value, least(o, {first}) as first_us, greatest(o, {last}) as last_us, {slug_of('source_slug')} as source, coalesce(context.tags, []) as tags, context.confidence as confidence
-                       from h where regexp_full_match(h, '[0-9a-f]+') and length(h) = case k when 'md5' then 32 when 'sha1' then 40 when 'sha256' then 64 else 128 end),
-                 w as (select seq, type, value, unnest(arg_min({{'first_us': first_us, 'last_us': last_us, 'source': source, 'tags': tags, 'confidence': confidence}}, idx)) from r group by 1, 2, 3),
-                 s0 as (select type, value, source, min(seq) as p from w where source <> '' group by 1, 2, 3),
-                 s1 as (select *, row_number() over (partition by type, value order by p desc) as n from s0),
-                 s as (select type, value, string_agg(source, '|' order by n desc) as sources from s1 where n <= 32 group by 1, 2),
-                 t0 as (select type, value, seq, unnest(tags) as tag, generate_subscripts(tags, 1) as i from w),
-                 t1 as (select type, value, tag, min((seq, i)) as p from t0 where tag <> '' group by 1, 2, 3),
-                 t2 as (select *, row_number() over (partition by type, value order by p desc) as n from t1),
-                 t as (select type, value, string_agg(tag, '|' order by n desc) as tags from t2 where n <= 64 group by 1, 2),
-                 f as (select type, value, min(first_us) as first_us, max(last_us) as last_us, max(confidence) as confidence, count(*) as n, array_to_string(max(tags), '|') as own from w group by 1, 2)
-            select f.type, f.value, first_us, last_us, confidence, coalesce(s.sources, '') as sources, case when n = 1 then own else coalesce(t.tags, '') end as tags
-            from f left join s on s.type = f.type and s.value = f.value left join t on t.type = f.type and t.value = f.value""",
         "capped_tags": f"""
             with x as (select {slug_of('source_slug')} as slug, record_id, unnest(context.tags) as tag, generate_subscripts(context.tags, 1) as i from indicator_records),
                  f as (select slug, tag, min((record_id, i)) as p from x where slug is not null and tag <> '' group by 1, 2),
@@ -185,10 +149,6 @@ def oracle_sql() -> dict[str, str]:
             with x as (select envelope_id as seq, edge_id * 2 as place, source.kind as kind, source.value as v from relationship union all select envelope_id, edge_id * 2 + 1, target.kind, target.value from relationship),
                  k as (select seq, {cve_key('v')} as cve_id, min(place) as place from x where kind = 'cve' group by 1, 2)
             select * from k where cve_id is not null and (seq, cve_id) not in (select envelope_id, {cve_key('cve.cve_id')} from cve_records where {cve_key('cve.cve_id')} is not null)""",
-        "self_edges": "select edge_id from relationship where source.kind is not distinct from target.kind and source.value = target.value",
-        "node_degrees": f"with {NODES}, x as (select s as node, 1 as o, 0 as i from p union all select t, 0, 1 from p) select node, sum(o)::bigint as n_out, sum(i)::bigint as n_in from x group by 1",
-        "two_hops": f"with {NODES} select a.s as node, count(*) as n_paths from p a join p b on a.t = b.s group by 1",
-        "reachable": f"with recursive {NODES}, r as (select distinct s as node, 0 as hops from p where starts_with(s, 'cve:') union select p.t, r.hops + 1 from r join p on p.s = r.node where r.hops < 3) select node, min(hops) as hops from r group by 1",
         "orphan_sightings": "select sighting_id from sighting where source_id is null or source_id not in (select id from sources)",
         "similar_names": """
             with n as (select distinct breach.name as t, record_id % 50 = 0 as q from breach_records where breach.name is not null),

@@ -447,6 +447,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    from sightline import oracle_reference
+    from sightline import oracle_entities, oracle_reference
 
-    return oracle_reference.oracle_sql()
+    return oracle_reference.oracle_sql() | oracle_entities.oracle_sql()
