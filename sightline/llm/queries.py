@@ -12,6 +12,7 @@ from sightline.llm.foldhash import collapsed, copies
 from sightline.llm.mixing import mixed, rates, report
 from sightline.llm.subjects import composition, subject_areas
 from sightline.llm.survivor import Field, says_something, survivors
+from sightline.oracle_canonical import observed
 from sightline.session import settled
 
 
@@ -158,6 +159,9 @@ CURRENT = CVES + """,
 """
 
 
+OBSERVED = "with " + observed("o", "indicator_records", "record_id, indicator", "indicator.type", "indicator.raw_value")
+
+
 def oracle_sql() -> dict[str, str]:
     latest = lambda ok, what: f"arg_max({what}, (epoch_us(observed_at), -record_id)) filter ({ok})"
     return {
@@ -165,5 +169,7 @@ def oracle_sql() -> dict[str, str]:
         "p3_pairs": TAGS + "select *, round(n_ab * n_baskets::double / (n_a::double * n_b), 6) as lift from f",
         "p4_found": CVES + f"select cve_key, coalesce({latest('s_ok', 'record_id')}, -1) as summary_record_id, coalesce({latest('c_ok', 'record_id')}, -1) as cvss_record_id, coalesce({latest('e_ok', 'record_id')}, -1) as epss_record_id, coalesce(bool_or(known_exploited), false)::int as known_exploited from r group by 1 having count(*) >= 2",
         "p4_current": CURRENT,
+        "p5_found": OBSERVED + ", g as (select type, value, min(record_id) as record_id_a from o where value is not null group by 1, 2) select record_id_a, record_id as record_id_b from o join g using (type, value) where record_id <> record_id_a",
+        "p5_observables": OBSERVED + ", g as (select min(record_id) as record_id, count(*) as n_copies from o where value is not null group by type, value) select record_id, indicator.type as type, indicator.raw_value as raw_value, n_copies from g join o using (record_id)",
         "p4_survivors": CVES + f"select cve_key, count(*) as n_rows, {latest('s_ok', 'summary')} as summary, {latest('c_ok', 'cvss_score')} as cvss_score, {latest('e_ok', 'epss_score')} as epss_score, coalesce(bool_or(known_exploited), false) as known_exploited from r group by 1",
     }
