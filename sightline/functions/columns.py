@@ -7,6 +7,7 @@ Arrow batches; rows that need no such help are sent as null and cost next to not
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,18 +52,17 @@ def defang(c: Column) -> Column:
 @F.pandas_udf(RESULT)
 def _rest(kind: pd.Series, raw: pd.Series) -> pd.DataFrame:
     memo: dict = {}
-    found = []
-    for k, r in zip(kind, raw):
-        if r is None:
-            found.append((None, None))
-            continue
-        if (k, r) not in memo:
-            memo[k, r] = scalar.observable(k, r) or (None, None)
-        found.append(memo[k, r])
-    return pd.DataFrame(found, columns=["type", "value"])
-
-
-# It is deterministic; saying otherwise keeps filters on its result from being rewritten into filters on the rules.
+    form, value = np.full(len(raw), None, object), np.full(len(raw), None, object)
+    for i in np.flatnonzero(raw.notna().to_numpy()):  # few: what built-in expressions leave
+        pair = kind.iat[i], raw.iat[i]
+        if pair not in memo:
+            memo[pair] = scalar.observable(*pair) or (None, None)
+        form[i], value[i] = memo[pair]
+    return pd.DataFrame({"type": form, "value": value})
+
+
+# It is deterministic; saying otherwise keeps filters on its result from being rewritten into filters on the rules, which
+# would run all of them twice. As other filters don't pass it either, callers filter first.
 _rest = _rest.asNondeterministic()
 
 

@@ -31,13 +31,14 @@ def lower_or_null(c: Column) -> Column:
 
 
 def built(records: DataFrame) -> DataFrame:
-    """records (`sources.envelopes.records`) with observed, ctx, first_seen, last_seen, key, type and reason.
+    """records (`sources.envelopes.records`) with observed, ctx, tags, confidence, first_seen, last_seen, key, type and reason.
 
     key is null and reason set for a record that is dropped: its value has no canonical form ('canonicalise'),
     its kind's payload isn't there ('missing_payload'), or its kind is none ('unknown_kind').
     """
-    rows = records.withColumn("observed", timestamp(F.coalesce(X.set_(F.col("observed_at")), F.col("collected_at")))).withColumn("ctx", X.effective(F.col("default_context"), F.col("context")))
-    first, last = X.seen_window(F.col("ctx"), F.col("observed"))
+    found = X.fields(F.col("default_context"), F.col("context"))
+    rows = records.withColumns({"observed": timestamp(F.coalesce(X.set_(F.col("observed_at")), F.col("collected_at"))), "ctx": X.effective(F.col("default_context"), F.col("context")), "tags": found["tags"], "confidence": found["confidence"]})
+    first, last = X.seen_window(found, F.col("observed"))
     slug = C.breach_slug(F.col("breach.slug"), F.col("breach.name"), year_of(F.col("breach.breach_date")), year_of(F.col("breach.disclosed_at")))
     rows = rows.withColumn("first_seen", first).withColumn("last_seen", last)
     rows = C.with_observable(rows, "seen", F.col("indicator.type"), F.when(F.col("kind") == "indicator", F.col("indicator.raw_value")))
@@ -141,5 +142,4 @@ def edge_rows(edges: DataFrame) -> DataFrame:
 
 def verdict_rows(rows: DataFrame) -> DataFrame:
     """What the lookup table learns from indicator records."""
-    c = F.col("ctx")
-    return rows.where("kind = 'indicator'").select("seq", "idx", "type", F.col("key").alias("value"), "first_seen", "last_seen", "source", F.coalesce(c["tags"], F.array().cast("array<string>")).alias("tags"), X.number(c["confidence"]).alias("confidence"))
+    return rows.where("kind = 'indicator'").select("seq", "idx", "type", F.col("key").alias("value"), "first_seen", "last_seen", "source", F.coalesce("tags", F.array().cast("array<string>")).alias("tags"), X.number(F.col("confidence")).alias("confidence"))

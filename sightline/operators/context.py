@@ -46,23 +46,28 @@ def merge_json(old: Column, new: Column) -> Column:
     return F.when(old.isNotNull() | new.isNotNull(), object_text(F.concat(kept, second)))
 
 
+def fields(default: Column, own: Column) -> dict[str, Column]:
+    """The fields of the effective context, each by itself, so that only those that are read are worked out."""
+    tags = F.when(F.coalesce(F.size(own["tags"]), F.lit(0)) > 0, F.array_union(F.coalesce(default["tags"], F.array().cast("array<string>")), own["tags"])).otherwise(default["tags"])
+    both = {
+        "first_seen": F.coalesce(set_(own["first_seen"]), default["first_seen"]),
+        "last_seen": F.coalesce(set_(own["last_seen"]), default["last_seen"]),
+        "confidence": F.coalesce(own["confidence"], default["confidence"]),
+        "tags": tags,
+        "tlp": F.coalesce(set_(own["tlp"]), default["tlp"]),
+        "attributes": F.when(own["attributes"].isNull(), default["attributes"]).when(default["attributes"].isNull(), own["attributes"]).otherwise(merge_json(default["attributes"], own["attributes"])),
+    }
+    return {name: F.when(default.isNull(), own[name]).when(own.isNull(), default[name]).otherwise(c) for name, c in both.items()}
+
+
 def effective(default: Column, own: Column) -> Column:
     """If either side is null, the other as it is. Else what the record sets wins; its tags are added to the default's,
     each once, if it has any; attributes are merged member by member."""
-    tags = F.when(F.coalesce(F.size(own["tags"]), F.lit(0)) > 0, F.array_union(F.coalesce(default["tags"], F.array().cast("array<string>")), own["tags"])).otherwise(default["tags"])
-    both = F.struct(
-        F.coalesce(set_(own["first_seen"]), default["first_seen"]).alias("first_seen"),
-        F.coalesce(set_(own["last_seen"]), default["last_seen"]).alias("last_seen"),
-        F.coalesce(own["confidence"], default["confidence"]).alias("confidence"),
-        tags.alias("tags"),
-        F.coalesce(set_(own["tlp"]), default["tlp"]).alias("tlp"),
-        F.when(own["attributes"].isNull(), default["attributes"]).when(default["attributes"].isNull(), own["attributes"]).otherwise(merge_json(default["attributes"], own["attributes"])).alias("attributes"),
-    )
-    return F.when(default.isNull(), own).when(own.isNull(), default).otherwise(both)
-
-
-def seen_window(context: Column, observed: Column) -> tuple[Column, Column]:
-    """(first, last) as timestamps: the context's bounds where they widen the observation."""
+    return F.when(default.isNotNull() | own.isNotNull(), F.struct(*[c.alias(name) for name, c in fields(default, own).items()]))
+
+
+def seen_window(context: Column | dict[str, Column], observed: Column) -> tuple[Column, Column]:
+    """(first, last) as timestamps: the context's bounds (of its struct, or its `fields`) where they widen the observation."""
     at = lambda c: F.timestamp_micros(rfc3339_micros(c))
     return F.least(observed, at(context["first_seen"])), F.greatest(observed, at(context["last_seen"]))
 

@@ -11,7 +11,7 @@ from sightline.plans.schemas import LOOKUP_SOURCES, LOOKUP_TAGS, LOOKUP_TTL_DAYS
 from sightline.session import settled
 
 
-def last_distinct(rows: DataFrame, keys: list[str], value: str, most: int, *order: str) -> DataFrame:
+def last_distinct(rows: DataFrame, keys: list[str], value: str, most: int | Column, *order: str) -> DataFrame:
     """keys, values: each key's distinct values in the order in which they first came; if more than `most`, the last
     `most` of these. Nulls and '' don't count.
 
@@ -30,15 +30,17 @@ def fold_lookup(verdicts: DataFrame) -> DataFrame:
     verdicts have refreshed_at, the time at which they were written, the latest is kept.
     """
     keys = ["type", "value"]
-    rows = settled(first_row(verdicts, [*keys, "seq"]))  # read three times below
+    rows = settled(first_row(verdicts, [*keys, "seq"]))  # read twice below
     fresh = [F.max("refreshed_at").alias("refreshed_at")] if "refreshed_at" in verdicts.columns else []
     out = rows.groupBy(*keys).agg(*fresh, F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.max("confidence").alias("confidence"), F.count("*").alias("n_envelopes"), F.max("tags").alias("only_"))
-    sources = last_distinct(rows, keys, "source", LOOKUP_SOURCES, "seq").withColumnRenamed("values", "sources")
-    tags = rows.select(*keys, "seq", F.posexplode("tags").alias("i", "tag"))
-    tags = last_distinct(tags, keys, "tag", LOOKUP_TAGS, "seq", "i").withColumnRenamed("values", "tags")
+    # sources and tags are ranked in one pass, as what = 0 and 1
+    marks = F.concat(F.array(F.struct(F.lit(0).alias("what"), F.col("source").alias("v"), F.lit(0).alias("i"))), F.transform("tags", lambda t, i: F.struct(F.lit(1).alias("what"), t.alias("v"), i.alias("i"))))
+    each = rows.select(*keys, "seq", F.explode(marks).alias("m")).select(*keys, "seq", "m.what", "m.v", "m.i")
+    kept = last_distinct(each, [*keys, "what"], "v", F.when(F.col("what") == 0, LOOKUP_SOURCES).otherwise(LOOKUP_TAGS), "seq", "i")
+    lists = kept.groupBy(*keys).agg(*[F.flatten(F.collect_list(F.when(F.col("what") == i, F.col("values")))).alias(x) for i, x in enumerate(("sources", "last_tags"))])  # two rows a key
     none = F.array().cast("array<string>")
-    merged = F.when(F.col("n_envelopes") == 1, F.col("only_")).otherwise(F.coalesce("tags", none))
-    return out.join(sources, keys, "left").join(tags, keys, "left").select(entity_id(F.lit("indicator"), F.col("value")).alias("entity_id"), *keys, "first_seen", "last_seen", F.coalesce("sources", none).alias("sources"), merged.alias("tags"), "confidence", *["refreshed_at"] * len(fresh))
+    merged = F.when(F.col("n_envelopes") == 1, F.col("only_")).otherwise(F.coalesce("last_tags", none))
+    return out.join(lists, keys, "left").select(entity_id(F.lit("indicator"), F.col("value")).alias("entity_id"), *keys, "first_seen", "last_seen", F.coalesce("sources", none).alias("sources"), merged.alias("tags"), "confidence", *["refreshed_at"] * len(fresh))
 
 
 def alive(lookup: DataFrame, now: Column, days: int = LOOKUP_TTL_DAYS) -> DataFrame:

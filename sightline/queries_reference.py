@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sightline.functions import columns as C
 from sightline.operators import build, context, folds, fuzzy, graph, lookup, metrics, validate
 from sightline.operators.build import entity_id
-from sightline.plans.schemas import EARLIEST
+from sightline.plans.schemas import BREACH, CONTEXT, CVE, INDICATOR
 from sightline.session import scratch_path, settled
 from sightline.sources import archive, dead_letters, registry
 from sightline.streaming.intake import windowed_counts
@@ -36,15 +38,19 @@ def envelopes_once(spark: SparkSession, d: str) -> DataFrame:
     return folds.first_row(table(spark, d, "envelopes").select("envelope_id", "received_at", "collected_at", "default_context", "content_hash", "raw_ref"), ["envelope_id"], "received_at")
 
 
-def records(spark: SparkSession, d: str) -> DataFrame:
-    """All records of the three kinds in the form that envelopes give them in."""
+def records(spark: SparkSession, d: str, kinds: tuple[str, ...] = ("indicator", "cve", "breach")) -> DataFrame:
+    """All records of some kinds in the form that envelopes give them in; tables of other kinds are not read."""
     base = ["envelope_id", F.col("record_index").alias("idx"), F.col("source_slug").alias("source"), "kind", text_time("observed_at").alias("observed_at")]
-    none = {"context": "struct<first_seen:string,last_seen:string,confidence:double,tags:array<string>,tlp:string,attributes:string>"}
-    i = table(spark, d, "indicator_records").select(*base, "context", "indicator")
-    c = table(spark, d, "cve_records").select(*base, "cve").withColumn("cve", F.col("cve").withField("published_at", text_time("cve.published_at")).withField("modified_at", text_time("cve.modified_at")))
-    b = table(spark, d, "breach_records").select(*base, "breach").withColumn("breach", F.col("breach").withField("breach_date", F.col("breach.breach_date").cast("string")).withField("disclosed_at", text_time("breach.disclosed_at")))
-    rows = i.unionByName(c, allowMissingColumns=True).unionByName(b, allowMissingColumns=True)
-    rows = rows.withColumn("context", F.col("context").cast(none["context"]))
+    c, b = F.col("cve"), F.col("breach")
+    own = {
+        "indicator": ["context", "indicator"],
+        "cve": [c.withField("published_at", text_time("cve.published_at")).withField("modified_at", text_time("cve.modified_at")).alias("cve")],
+        "breach": [b.withField("breach_date", F.col("breach.breach_date").cast("string")).withField("disclosed_at", text_time("breach.disclosed_at")).alias("breach")],
+    }
+    parts = [table(spark, d, f"{k}_records").select(*base, *own[k]) for k in kinds]
+    rows = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    absent = {"context": CONTEXT, "indicator": INDICATOR, "cve": CVE, "breach": BREACH}
+    rows = rows.withColumns({k: (F.col(k) if k in rows.columns else F.lit(None)).cast(t) for k, t in absent.items() if k == "context" or k not in rows.columns})
     return rows.join(envelopes_once(spark, d), "envelope_id").withColumnRenamed("envelope_id", "seq").withColumn("collected_at", text_time("collected_at"))
 
 
@@ -120,8 +126,8 @@ def effective_contexts(spark: SparkSession, d: str) -> DataFrame:
 
 def seen_windows(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "indicator_records").select("record_id", "envelope_id", "observed_at", "context").join(envelopes_once(spark, d).select("envelope_id", "collected_at", "default_context"), "envelope_id")
-    rows = rows.withColumn("c", context.effective(F.col("default_context"), F.col("context")))
-    first, last = context.seen_window(F.col("c"), F.coalesce("observed_at", "collected_at"))
+    found = context.fields(F.col("default_context"), F.col("context"))
+    first, last = context.seen_window(found, F.coalesce("observed_at", "collected_at"))
     return rows.select("record_id", us(first, "first_us"), us(last, "last_us"))
 
 
@@ -225,7 +231,7 @@ def breach_fold(spark: SparkSession, d: str) -> DataFrame:
 
 
 def indicator_fold(spark: SparkSession, d: str) -> DataFrame:
-    rows = build.indicator_rows(build.built(records(spark, d)).where("reason is null"))
+    rows = build.indicator_rows(build.built(records(spark, d, ("indicator",))).where("reason is null"))
     return folds.fold(folds.last_row(rows, ["entity_id", "seq"]), ["entity_id"], folds.LAWS["indicator"], "seq")
 
 
@@ -258,7 +264,7 @@ def source_runs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lookup_table(spark: SparkSession, d: str) -> DataFrame:
-    rows = build.verdict_rows(build.built(records(spark, d)).where("reason is null"))
+    rows = build.verdict_rows(build.built(records(spark, d, ("indicator",))).where("reason is null"))
     out = lookup.fold_lookup(rows.withColumn("source", C.lower_trimmed(F.col("source"))))
     return out.select("entity_id", "type", "value", us("first_seen", "first_us"), us("last_seen", "last_us"), F.array_join("sources", "|").alias("sources"), F.array_join("tags", "|").alias("tags"), "confidence")
 
@@ -266,10 +272,11 @@ def lookup_table(spark: SparkSession, d: str) -> DataFrame:
 def lookup_hashes(spark: SparkSession, d: str) -> DataFrame:
     """The lookup table of values that are hashes."""
     rows = table(spark, d, "indicator_records").join(envelopes_once(spark, d).select("envelope_id", "collected_at", "default_context"), "envelope_id")
-    rows = rows.withColumn("c", context.effective(F.col("default_context"), F.col("context")))
-    first, last = context.seen_window(F.col("c"), F.coalesce("observed_at", "collected_at"))
+    found = context.fields(F.col("default_context"), F.col("context"))
+    first, last = context.seen_window(found, F.coalesce("observed_at", "collected_at"))
+    rows = rows.withColumns({"first": first, "last": last, "tags": found["tags"], "confidence": found["confidence"]})
     rows = C.with_observable(rows, "seen", F.col("indicator.type"), F.col("indicator.raw_value")).where(F.col("seen.type").isin(*HASHES))
-    verdicts = rows.select(F.col("envelope_id").alias("seq"), F.col("record_index").alias("idx"), "seen.type", "seen.value", first.alias("first_seen"), last.alias("last_seen"), C.lower_trimmed(F.col("source_slug")).alias("source"), F.coalesce("c.tags", F.array().cast("array<string>")).alias("tags"), F.col("c.confidence").alias("confidence"))
+    verdicts = rows.select(F.col("envelope_id").alias("seq"), F.col("record_index").alias("idx"), "seen.type", "seen.value", F.col("first").alias("first_seen"), F.col("last").alias("last_seen"), C.lower_trimmed(F.col("source_slug")).alias("source"), F.coalesce("tags", F.array().cast("array<string>")).alias("tags"), "confidence")
     out = lookup.fold_lookup(verdicts)
     return out.select("type", "value", us("first_seen", "first_us"), us("last_seen", "last_us"), F.array_join("sources", "|").alias("sources"), F.array_join("tags", "|").alias("tags"), "confidence")
 
