@@ -1,4 +1,7 @@
-"""Commands: python -m sightline validate|load|submit|serve|maintain|lookup|source ... Results are JSON, one a line.
+"""Commands: python -m sightline validate|load|submit|serve|maintain|migrate|alerts|lookup|source ... Results are JSON, one a line.
+
+What isn't given is taken from the environment: SIGHTLINE_STORE, SIGHTLINE_LANDING, SIGHTLINE_MAX_DROP_RATIO,
+SIGHTLINE_FILES_A_BATCH, SIGHTLINE_TTL_DAYS.
 
 The exit code is 0 if nothing was refused, 1 if something was, 2 for a wrong call.
 """
@@ -7,21 +10,29 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sightline import api
 from sightline.functions.scalar import observable, slugify
-from sightline.operators import lookup
-from sightline.plans.schemas import LOOKUP_TTL_DAYS, MAX_DROP_RATIO, TLP
+from sightline.operators import alerts, lookup
+from sightline.plans.schemas import TLP
 from sightline.plans.store import Store
 from sightline.sources import registry
 from sightline.streaming import intake
 
 
-def parser() -> argparse.ArgumentParser:
+def parser(env: Mapping[str, str]) -> argparse.ArgumentParser:
+    config = api.Config.of(env)
+    wrong = [p for p in config.problems if not p.endswith("is required")]
+    if wrong:
+        raise SystemExit("; ".join(wrong))
+    store = {"default": config.store or None, "required": not config.store}
+    landing = {"default": config.landing or None, "required": not config.landing}
     top = argparse.ArgumentParser(prog="sightline", description=__doc__.splitlines()[0])
     command = top.add_subparsers(dest="command", required=True)
     add = command.add_parser
@@ -29,32 +40,39 @@ def parser() -> argparse.ArgumentParser:
     one.add_argument("path")
     one = add("load", help="take in files")
     one.add_argument("path")
-    one.add_argument("--store", required=True)
+    one.add_argument("--store", **store)
     one.add_argument("--batch", help="a name: the same batch is taken in once")
     one.add_argument("--known-sources", action="store_true", help="park what comes from a source that isn't registered and enabled")
-    one.add_argument("--max-drop-ratio", type=float, default=MAX_DROP_RATIO)
+    one.add_argument("--max-drop-ratio", type=float, default=config.max_drop_ratio)
     one = add("submit", help="validate a file and place it into the landing folder")
     one.add_argument("path")
-    one.add_argument("--landing", required=True)
+    one.add_argument("--landing", **landing)
     one = add("serve", help="take in what arrives in the landing folder")
-    for name in ("--store", "--landing", "--checkpoint"):
-        one.add_argument(name, required=True)
+    one.add_argument("--store", **store)
+    one.add_argument("--landing", **landing)
+    one.add_argument("--checkpoint", required=True)
+    one.add_argument("--files-a-batch", type=int, default=config.files_a_batch)
     one.add_argument("--known-sources", action="store_true")
     one.add_argument("--once", action="store_true", help="stop when all is taken in")
     one = add("maintain", help="retention and compaction")
-    one.add_argument("--store", required=True)
+    one.add_argument("--store", **store)
     one.add_argument("--retain-from", help="YYYY-MM-DD: drop months that end by then")
     one.add_argument("--dry-run", action="store_true")
     one.add_argument("--compact", action="store_true")
+    one.add_argument("--ttl-days", type=int, default=config.ttl_days, help="with --compact: forget values that were not reported for so long")
+    one = add("migrate", help="bring a store of an older version up")
+    one.add_argument("--store", **store)
+    one = add("alerts", help="what is wrong, by the counters of the store")
+    one.add_argument("--store", **store)
     one = add("lookup", help="what is known of a value")
     one.add_argument("value")
     one.add_argument("--type", default="auto")
-    one.add_argument("--ttl-days", type=int, default=LOOKUP_TTL_DAYS, help="forget what was not reported for so long")
-    one.add_argument("--store", required=True)
+    one.add_argument("--ttl-days", type=int, default=config.ttl_days, help="forget what was not reported for so long")
+    one.add_argument("--store", **store)
     one = add("source", help="the registry of sources")
     one.add_argument("action", choices=("list", "add", "enable", "disable"))
     one.add_argument("slug", nargs="?")
-    one.add_argument("--store", required=True)
+    one.add_argument("--store", **store)
     one.add_argument("--name")
     one.add_argument("--url")
     one.add_argument("--tlp", default="clear", choices=TLP)
@@ -68,7 +86,7 @@ def shown(rows: DataFrame) -> int:
 
 
 def main(args: list[str], spark: SparkSession | None = None) -> int:
-    call = parser().parse_args(args)
+    call = parser(os.environ).parse_args(args)
     spark = spark or SparkSession.builder.appName("sightline").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if call.command == "validate":
         rows = api.validate(spark, call.path)
@@ -78,21 +96,26 @@ def main(args: list[str], spark: SparkSession | None = None) -> int:
         rows = api.submit(spark, call.path, call.landing)
         shown(rows)
         return int(rows.where("not ok").count() > 0)
+    if call.command == "migrate":
+        print(json.dumps({"versions": Store(spark, call.store, migrating=True).migrate()}))
+        return 0
     store = Store(spark, call.store)
+    if call.command == "alerts":
+        return int(shown(alerts.all_of(store.read("metrics_log"))) > 0)
     if call.command == "load":
         done = api.load(spark, call.path, store, call.batch, sources=store.sources() if call.known_sources else None, max_drop_ratio=call.max_drop_ratio)
         print(json.dumps(done))
         return int(done["parked"] > 0)
     if call.command == "serve":
-        begin = lambda: intake.start(spark, call.landing, store, call.checkpoint, store.sources if call.known_sources else None, available_now=call.once)
+        begin = lambda: intake.start(spark, call.landing, store, call.checkpoint, store.sources if call.known_sources else None, files_a_batch=call.files_a_batch, available_now=call.once)
         intake.supervise(begin, most=1 if call.once else None)
         return 0
     if call.command == "maintain":
-        print(json.dumps(api.maintain(store, call.retain_from, call.dry_run, call.compact)))
+        print(json.dumps(api.maintain(store, call.retain_from, call.dry_run, call.compact, ttl_days=call.ttl_days)))
         return 0
     if call.command == "lookup":
         form = observable(call.type, call.value)
-        return int(form is None or shown(lookup.alive(lookup.find(store.read("lookup"), *form), F.current_timestamp(), call.ttl_days)) == 0)
+        return int(form is None or shown(lookup.alive(store.find(*form), F.current_timestamp(), call.ttl_days)) == 0)
     if call.action == "list":
         shown(registry.listing(store.sources()))
         return 0

@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-import os
 import re
 import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import date
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sightline.plans import intake
-from sightline.plans.schemas import MAX_DROP_RATIO
+from sightline.plans.schemas import LOOKUP_TTL_DAYS, MAX_BODY, MAX_DROP_RATIO
 from sightline.plans.store import Store
+from sightline.session import files
 from sightline.sources import envelopes
 
 
@@ -28,16 +28,23 @@ def load(spark: SparkSession, path: str, store: Store, batch: str | None = None,
     return intake.process(envelopes.read(spark, path), store, batch or uuid.uuid4().hex, F.current_timestamp() if now is None else now, sources, max_drop_ratio)
 
 
-def submit(spark: SparkSession, path: str, landing: str, now: Column | None = None) -> DataFrame:
-    """Validate one file and, if nothing is wrong with it, place it into the landing folder, whole or not at all."""
+def submit(spark: SparkSession, path: str, landing: str, now: Column | None = None, most: int = MAX_BODY) -> DataFrame:
+    """Validate one file and, if nothing is wrong with it, place it into the landing folder (shared storage of any
+    kind), whole or not at all. A file of more than `most` bytes is refused unread; the report says so."""
+    fs, source = files(spark, path)
+    size = fs.getFileStatus(source).getLen()
+    if size > most:
+        refused = [(path, False, None, 0, 0, [f"too large: {size} bytes of at most {most}"])]
+        return spark.createDataFrame(refused, "path string, ok boolean, source string, records int, relationships int, problems array<string>")
     found = validate(spark, path, now)
     first = found.first()
     if first is not None and first["ok"]:
-        target = Path(landing.removeprefix("file://"))
-        target.mkdir(parents=True, exist_ok=True)
-        draft = target / f".{uuid.uuid4().hex}"
-        draft.write_bytes(Path(path.removeprefix("file://")).read_bytes())
-        os.replace(draft, target / f"{uuid.uuid4().hex}.json")
+        target_fs, target = files(spark, f"{landing.rstrip('/')}/{uuid.uuid4().hex}.json")
+        _, draft = files(spark, f"{landing.rstrip('/')}/.{uuid.uuid4().hex}")  # names with a dot are not read
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        hadoop.FileUtil.copy(fs, source, target_fs, draft, False, spark._jsc.hadoopConfiguration())
+        if not target_fs.rename(draft, target):
+            raise RuntimeError(f"{landing} can't be written")
     return found
 
 
@@ -47,10 +54,12 @@ def months_ahead(today: date, ahead: int) -> list[str]:
     return [f"{m // 12:04d}_{m % 12 + 1:02d}" for m in range(first, first + ahead + 1)]
 
 
-def maintain(store: Store, retain_from: str | None = None, dry_run: bool = False, compact: bool = False) -> dict[str, list[str]]:
-    """Apply retention and fold what has come in. Months need not be provided for ahead, as folders come with the first row."""
+def maintain(store: Store, retain_from: str | None = None, dry_run: bool = False, compact: bool = False, now: Column | None = None, ttl_days: int = LOOKUP_TTL_DAYS) -> dict[str, list[str]]:
+    """Apply retention, put together what has come in, and store the lookup projection anew, without what was not
+    refreshed for `ttl_days`. Months need not be provided for ahead, as folders come with the first row."""
     if compact and not dry_run:
         store.compact()
+        store.refresh_lookup(F.current_timestamp() if now is None else now, ttl_days)
     return {"dropped": store.drop_months_before(retain_from, dry_run) if retain_from else []}
 
 
@@ -71,7 +80,7 @@ class Config:
     problems: list[str] = field(default_factory=list)
 
     @classmethod
-    def of(cls, env: dict[str, str]) -> Config:
+    def of(cls, env: Mapping[str, str]) -> Config:
         self = cls(store=env.get("SIGHTLINE_STORE", ""), landing=env.get("SIGHTLINE_LANDING", ""))
         self.problems += [f"SIGHTLINE_{x.upper()} is required" for x in ("store", "landing") if not getattr(self, x)]
         for name, kind, low, high in (("max_drop_ratio", float, 0, 1), ("files_a_batch", int, 1, 10**6), ("ttl_days", int, 1, 3650)):

@@ -13,7 +13,7 @@ from functools import lru_cache
 
 try:
     import idna as _idna
-except ImportError:  # the mapping then is NFKC with case folding
+except ImportError:  # only names beyond ASCII need it
     _idna = None
 
 # White space that is trimmed, quoting characters, digest lengths, default ports, kinds of observable.
@@ -94,8 +94,8 @@ def parse_network(text: str) -> str | None:
 
 
 def _mapped(host: str) -> str | None:
-    if _idna is None:
-        return unicodedata.normalize("NFC", "".join(c if c in "ßς\u200c\u200d" else unicodedata.normalize("NFKC", c).casefold() for c in host).replace("\u3002", "."))
+    if _idna is None:  # any other mapping would give one host different keys on different machines
+        raise RuntimeError("the package idna is needed for international names")
     try:
         return _idna.uts46_remap(host, std3_rules=False, transitional=False)
     except _idna.IDNAError:

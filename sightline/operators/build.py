@@ -62,12 +62,16 @@ def built_edges(edges: DataFrame) -> DataFrame:
     return rows.withColumn("reason", reason).withColumn("metadata", metadata).drop("first_seen", "last_seen").withColumnsRenamed({"first_": "first_seen", "last_": "last_seen"})
 
 
-def drop_report(rows: DataFrame, group: list[str], limit: float = MAX_DROP_RATIO) -> DataFrame:
+def drop_report(rows: DataFrame, group: list[str], limit: float = MAX_DROP_RATIO, edges: DataFrame | None = None) -> DataFrame:
     """Per group of records (an envelope): n_records, n_dropped, ratio, and whether it is rejected: more than `limit`
-    dropped, or nothing left."""
+    dropped, or nothing left, neither a record nor one of `edges` (columns of `group`) that could be built."""
     seen = rows.groupBy(*group).agg(F.count("*").alias("n_records"), F.count("reason").alias("n_dropped"))
+    left = F.lit(False)
+    if edges is not None:
+        seen = seen.join(edges.select(*group).distinct().withColumn("left_", F.lit(True)), group, "left")
+        left = F.coalesce("left_", F.lit(False))
     ratio = F.col("n_dropped") / F.col("n_records")
-    return seen.withColumn("ratio", ratio).withColumn("rejected", (ratio > limit) | (F.col("n_dropped") == F.col("n_records")))
+    return seen.withColumn("ratio", ratio).withColumn("rejected", (ratio > limit) | ((F.col("n_dropped") == F.col("n_records")) & ~left)).drop("left_")
 
 
 def drop_examples(rows: DataFrame, group: list[str], order: list[str], most: int = 3) -> DataFrame:
@@ -130,7 +134,10 @@ def sighting_rows(rows: DataFrame) -> DataFrame:
 
 
 def month(c: Column) -> Column:
-    return F.date_format(c, "yyyy_MM")
+    """The month of a time in UTC, whatever the session's time zone."""
+    day = 86_400_000_000
+    since = (F.unix_micros(c) - F.pmod(F.unix_micros(c), F.lit(day))) / day
+    return F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), since.cast("int")), "yyyy_MM")
 
 
 def edge_rows(edges: DataFrame) -> DataFrame:

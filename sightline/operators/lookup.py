@@ -43,6 +43,37 @@ def fold_lookup(verdicts: DataFrame) -> DataFrame:
     return out.join(lists, keys, "left").select(entity_id(F.lit("indicator"), F.col("value")).alias("entity_id"), *keys, "first_seen", "last_seen", F.coalesce("sources", none).alias("sources"), merged.alias("tags"), "confidence", *["refreshed_at"] * len(fresh))
 
 
+def capped(values: Column, most: int) -> Column:
+    """The last `most` of an array."""
+    return F.when(F.size(values) > most, F.slice(values, F.size(values) - most + 1, F.lit(most))).otherwise(values)
+
+
+def merged(old: DataFrame, new: DataFrame) -> DataFrame:
+    """The projection with what came since: both as `fold_lookup` gives them, `new` of later envelopes only.
+
+    Where both have a row: the widest window, the highest confidence, the latest refresh, and the last 32 sources and
+    64 tags of both lists, the old ones first. Of a source that had been pushed out of the old list nothing is known
+    any more: if it comes again, it counts as new.
+    """
+    keys = ["type", "value"]
+    rest = ["first_seen", "last_seen", "sources", "tags", "confidence", "refreshed_at"]
+    a, b = (df.select(*keys, F.struct(*rest).alias(x)) for df, x in ((old, "a"), (new, "b")))
+    both = F.col("a").isNotNull() & F.col("b").isNotNull()
+    list_ = lambda c, most: F.when(both, capped(F.array_union(f"a.{c}", f"b.{c}"), most)).otherwise(F.coalesce(f"a.{c}", f"b.{c}")).alias(c)
+    out = a.join(b, keys, "full")
+    return out.select(
+        entity_id(F.lit("indicator"), F.col("value")).alias("entity_id"), *keys, F.least("a.first_seen", "b.first_seen").alias("first_seen"), F.greatest("a.last_seen", "b.last_seen").alias("last_seen"),
+        list_("sources", LOOKUP_SOURCES), list_("tags", LOOKUP_TAGS), F.greatest("a.confidence", "b.confidence").alias("confidence"), F.greatest("a.refreshed_at", "b.refreshed_at").alias("refreshed_at"),
+    )
+
+
+BUCKETS = 256  # folders of the stored projection: a point get reads one
+
+
+def bucket(kind: Column, value: Column) -> Column:
+    return F.pmod(F.xxhash64(kind, value), F.lit(BUCKETS)).cast("int")
+
+
 def alive(lookup: DataFrame, now: Column, days: int = LOOKUP_TTL_DAYS) -> DataFrame:
     """The rows that were refreshed within the last `days`; any write refreshes a row."""
     return lookup.where(F.col("refreshed_at") + F.make_interval(days=F.lit(days)) > now)

@@ -57,13 +57,19 @@ def bucket_quantile(df: DataFrame, labels: list[str], value: str, q: float, boun
     systems do; a quantile beyond the last bound is the last bound. Null values don't count."""
     counts = [F.sum((F.col(value) <= b).cast("long")).alias(f"c{i}") for i, b in enumerate(bounds)]
     rows = df.where(F.col(value).isNotNull()).groupBy(*labels).agg(*counts, F.count("*").alias("n"))
+    return rows.select(*labels, quantile_of(q, bounds).alias("quantile"))
+
+
+def quantile_of(q: float, bounds: list[float]) -> Column:
+    """The quantile of a histogram: columns c0, c1, ... hold how many are up to each bound, n how many there are."""
     rank = F.col("n") * q
     out: Column = F.lit(float(bounds[-1]))
     for i in reversed(range(len(bounds))):
         low, before = (F.lit(float(bounds[i - 1])), F.col(f"c{i - 1}")) if i else (F.lit(0.0), F.lit(0))
-        inside = low + (bounds[i] - low) * (rank - before) / F.greatest(F.col(f"c{i}") - before, F.lit(1))
+        held = F.col(f"c{i}") - before
+        inside = low + (bounds[i] - low) * (rank - before) / F.when(held > 0, held).otherwise(1)
         out = F.when(F.col(f"c{i}") >= rank, inside).otherwise(out)
-    return rows.select(*labels, out.alias("quantile"))
+    return out
 
 
 def firing(df: DataFrame, labels: list[str], at: str, condition: Column, seconds: int) -> DataFrame:

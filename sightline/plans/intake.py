@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import time
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sightline.operators import build, validate
+from sightline.operators.ranges import ranks
 from sightline.plans.schemas import MAX_DROP_RATIO
 from sightline.plans.store import Store
 from sightline.session import settled
 from sightline.sources import archive, dead_letters, envelopes
-from sightline.sources.registry import resolved
+from sightline.sources.registry import resolved, run
 
 #: Attempts after which a file that fails again and again is parked.
 MAX_ATTEMPTS = 5
@@ -32,13 +36,28 @@ def report(files: DataFrame, now: Column) -> DataFrame:
 
 
 def ordered(rows: DataFrame, first: int) -> DataFrame:
-    """rows with seq: their order of arrival, by time and path, from `first` on. One row a file, without its body."""
-    keys = rows.select("digest", "path", "modified").withColumn("seq", (F.row_number().over(Window.orderBy("modified", "path")) + F.lit(first - 1)).cast("long"))
-    return rows.join(keys.select("path", "seq"), "path")
+    """rows with seq: their order of arrival, by time and path, from `first` on. Files are numbered by ranges of (time,
+    path), without their bodies, so any number of them is spread over the partitions."""
+    keys = ranks(rows.select("path", "modified").withColumn("all", F.lit(0)), "all", "modified", "path")
+    return rows.join(keys.select("path", (F.col("rank_in_key") + F.lit(first - 1)).cast("long").alias("seq")), "path")
+
+
+# Upper bounds of the histograms of seconds a batch and records an envelope.
+SECONDS = (0.005, 0.025, 0.1, 0.25, 1, 2.5, 10, 30, 60)
+SIZES = (1, 10, 100, 1000, 5000, 20000, 50000)
 
 
-def counters(rows: DataFrame, made: DataFrame, claimed: DataFrame, now: Column) -> DataFrame:
-    """What a batch did, as increments: envelopes by outcome, records by kind, and drops by reason, of each source."""
+def within(x: Column, bounds: tuple) -> Column:
+    """The least of the bounds that x doesn't exceed, as text; +inf beyond the last."""
+    out = F.lit("+inf")
+    for b in reversed(bounds):
+        out = F.when(x <= b, str(b)).otherwise(out)
+    return out
+
+
+def counters(rows: DataFrame, made: DataFrame, claimed: DataFrame, now: Column, seconds: float) -> DataFrame:
+    """What a batch did, as increments: envelopes by outcome, records by kind, drops by reason, sightings, and envelopes by
+    their number of records, of each source; and batches by how long they took, of each source that is in them."""
     done = rows.join(claimed.withColumn("new", F.lit(True)), "seq", "left")
     outcome = F.when(F.col("stage").isNotNull(), "dead_letter").when(F.col("new"), "written").otherwise("duplicate")
     taken = made.join(claimed, "seq", "left_semi")
@@ -47,7 +66,13 @@ def counters(rows: DataFrame, made: DataFrame, claimed: DataFrame, now: Column)
         taken.where("reason is null").select("source", F.lit("records").alias("metric"), F.col("kind").alias("label")),
         taken.where("reason is not null").select("source", F.lit("dropped").alias("metric"), F.col("reason").alias("label")),
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("source", "metric", "label").agg(F.count("*").alias("n")).withColumn("at", now)
+    sizes = taken.groupBy("source", "seq").agg(F.count("*").alias("n"))
+    parts += [
+        taken.where("reason is null").select("source", F.lit("sightings").alias("metric"), F.lit("").alias("label")),
+        sizes.select("source", F.lit("envelope_records").alias("metric"), within(F.col("n"), SIZES).alias("label")),
+        sizes.select("source").distinct().select("source", F.lit("write_seconds").alias("metric"), within(F.lit(seconds), SECONDS).alias("label")),
+    ]
+    return reduce(DataFrame.unionByName, parts).groupBy("source", "metric", "label").agg(F.count("*").alias("n")).withColumn("at", now)
 
 
 def process(files: DataFrame, store: Store, batch: str, now: Column, sources: DataFrame | None = None, max_drop_ratio: float = MAX_DROP_RATIO, attempts: DataFrame | None = None) -> dict[str, int]:
@@ -58,6 +83,7 @@ def process(files: DataFrame, store: Store, batch: str, now: Column, sources: Da
     5 times (`attempts`: digest, n). An envelope whose digest was written before, or that is in the batch twice, has
     no effect. Processing a batch again has none either.
     """
+    began = time.monotonic()
     if batch in store.batches:
         return {"written": 0, "duplicate": 0, "parked": 0}
     before = store.delta("envelope_log")
@@ -89,15 +115,16 @@ def process(files: DataFrame, store: Store, batch: str, now: Column, sources: Da
 
     fit = rows.where("stage is null")
     made = settled(build.built(envelopes.records(fit)))
-    bad = build.drop_report(made, ["seq"], max_drop_ratio).where("rejected").select("seq", F.concat(F.col("n_dropped"), F.lit(" of "), F.col("n_records"), F.lit(" records dropped")).alias("why"))
-    rows = settled(rows.join(bad, "seq", "left").withColumn("stage", F.coalesce("stage", F.when(F.col("why").isNotNull(), "canonicalise"))).withColumn("reason", F.coalesce("reason", "why")).drop("why"))
+    joined = settled(build.built_edges(envelopes.relationships(fit))).where("reason is null")
+    bad = build.drop_report(made, ["seq"], max_drop_ratio, joined).where("rejected").select("seq", F.concat(F.col("n_dropped"), F.lit(" of "), F.col("n_records"), F.lit(" records dropped")).alias("why"))
+    rows = rows.join(settled(bad), "seq", "left").withColumn("stage", F.coalesce("stage", F.when(F.col("why").isNotNull(), "canonicalise"))).withColumn("reason", F.coalesce("reason", "why")).drop("why")
 
     # the claim: the first delivery of each digest of a source, unless it was written before
     good = rows.where("stage is null")
     claimed = good.groupBy("source", "digest").agg(F.min("seq").alias("seq")).join(before.select("source", F.col("envelope_digest").alias("digest")), ["source", "digest"], "left_anti").select("seq")
     claimed = settled(claimed)
     taken = made.join(claimed, "seq", "left_semi").where("reason is null")
-    edges = settled(build.built_edges(envelopes.relationships(good)).join(claimed, "seq", "left_semi")).where("reason is null")
+    edges = joined.join(claimed, "seq", "left_semi")
     extra = build.stubs(taken, edges)
     identity = build.entity_id(F.col("kind"), F.col("key"))
     stub = extra.select("seq", F.lit(2_000_000_000).alias("idx"), identity.alias("entity_id"), "kind", "key", "type")
@@ -106,12 +133,14 @@ def process(files: DataFrame, store: Store, batch: str, now: Column, sources: Da
         "indicator": build.indicator_rows(taken).unionByName(stub.where("kind = 'indicator'").select("seq", "idx", "entity_id", "type", F.col("key").alias("value")), allowMissingColumns=True),
         "cve": build.cve_rows(taken).unionByName(stub.where("kind = 'cve'").select("seq", "idx", "entity_id", F.col("key").alias("cve_id"), F.lit(False).alias("known_exploited")), allowMissingColumns=True),
         "breach": build.breach_rows(taken), "relationship": build.edge_rows(edges), "sighting": build.sighting_rows(taken), "lookup": build.verdict_rows(taken).withColumn("refreshed_at", now),
-        "envelope_log": good.join(claimed, "seq", "left_semi").join(taken.groupBy("seq").agg(F.count("*").alias("record_count")), "seq", "left").select("seq", "source", F.col("digest").alias("envelope_digest"), F.col("e.content_hash").alias("content_hash"), F.col("e.source_run_id").alias("source_run_id"), F.col("e.schema_version").alias("schema_version"), F.coalesce("record_count", F.lit(0)).alias("record_count"), F.col("e.raw_ref").alias("raw_ref"), now.alias("received_at")),
+        "envelope_log": good.join(claimed, "seq", "left_semi").join(taken.groupBy("seq").agg(F.count("*").alias("record_count")), "seq", "left").select("seq", "source", F.col("digest").alias("envelope_digest"), F.col("e.content_hash").alias("content_hash"), F.col("e.source_run_id").alias("source_run_id"), F.col("e.schema_version").alias("schema_version"), F.coalesce("record_count", F.lit(0)).alias("record_count"), F.col("e.raw_ref").alias("raw_ref"), F.col("modified").alias("received_at"), now.alias("processed_at")),
         "dead_letter": dead_letters.rows(rows.where("stage is not null").select(F.coalesce("source", envelopes.source_of(F.col("body"))).alias("source"), F.col("path").alias("message_id"), "stage", "reason", F.col("body").cast("string").alias("body"), now.alias("failed_at"))),
     }
-    deltas["metrics_log"] = counters(rows, made, claimed, now)
+    deltas["metrics_log"] = lambda: counters(rows, made, claimed, now, time.monotonic() - began)  # the last to be written
     archive.put(store.spark, f"{store.root}/raw", rows.where("inline is not null").select(archive.content_hash(F.col("inline")).alias("content_hash"), archive.media_type(F.col("e.raw")).alias("media_type"), F.col("inline").alias("body")))
-    store.commit(batch, deltas)
+    if store.commit(batch, deltas) and store.has_sources:
+        runs = good.join(claimed, "seq", "left_semi").select(F.col("source").alias("slug"), build.timestamp(F.col("e.collected_at")).alias("at"))
+        store.save_sources(run(store.sources(), runs))
     n = rows.agg(F.count("*").alias("all"), F.count("stage").alias("parked")).first()
     written = claimed.count()
     return {"written": written, "duplicate": n["all"] - n["parked"] - written, "parked": n["parked"]}

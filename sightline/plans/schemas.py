@@ -10,6 +10,7 @@ SEVERITIES = ("none", "low", "medium", "high", "critical")
 
 MAX_RECORDS = MAX_RELATIONSHIPS = 50_000
 MAX_RAW_BYTES = 1 << 20
+MAX_BODY = 32 << 20
 MAX_SOURCE_BYTES = MAX_TAG_BYTES = 128
 MAX_TAGS = 64
 MAX_VALUE_BYTES = 4096
@@ -46,8 +47,12 @@ TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
     "relationship": ("source_id string, target_id string, type string, confidence float, first_seen timestamp, last_seen timestamp, metadata string", ("source_id", "target_id", "type")),
     "sighting": ("entity_id string, source string, observed_at timestamp, content_hash string, raw_ref string, context string, month string", ()),
     "lookup": ("entity_id string, type string, value string, first_seen timestamp, last_seen timestamp, sources array<string>, tags array<string>, confidence double, refreshed_at timestamp", ("type", "value")),
-    "envelope_log": ("source string, envelope_digest string, content_hash string, source_run_id string, schema_version string, record_count long, raw_ref string, received_at timestamp", ("source", "envelope_digest")),
+    "envelope_log": ("source string, envelope_digest string, content_hash string, source_run_id string, schema_version string, record_count long, raw_ref string, received_at timestamp, processed_at timestamp", ("source", "envelope_digest")),
     "dead_letter": ("source_slug string, message_id string, stage string, reason string, payload string, failed_at timestamp", ()),
     "metrics_log": ("source string, metric string, label string, n long, at timestamp", ()),
 }
-VERSION = 1
+VERSION = 2
+
+#: What brings a store's manifest from the version before to each version. 2: the log of envelopes is read by position, the
+#: lookup projection is stored; batches of version 1 hold all that it is made from.
+MIGRATIONS = {2: lambda manifest: {k: v for k, v in manifest.items() if k != "compacted"}}

@@ -1,33 +1,44 @@
 """Tables on shared storage without a transaction manager.
 
-A batch appends its rows to table/batch=<id>/ and is there once its name is in the manifest, which is replaced
-by a rename: readers see whole batches or none, and a batch that is repeated after a failure overwrites its own
-folder.  A table that is folded is its last snapshot and the batches since.
+A batch writes its rows to folders of its own, table/batch=<id>.<random>/, and is there once the manifest, which is
+replaced by a rename, names it: readers see whole batches or none, and of two that write the same batch one counts.  A
+table that is folded is what was last put together and the batches since.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import time
+import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sightline.operators import folds, lookup
-from sightline.plans.schemas import TABLES, VERSION
+from sightline.plans.schemas import LOOKUP_TTL_DAYS, MIGRATIONS, TABLES, VERSION
 from sightline.session import ship
 
-
 FOLDED = ("entity", "indicator", "cve", "breach", "relationship")
+APPENDED = ("sighting", "envelope_log", "dead_letter", "metrics_log")
+LEASE = 60.0  # seconds after which the claim of a writer that hasn't finished is void
+VERDICT = "seq long, idx int, type string, value string, first_seen timestamp, last_seen timestamp, source string, tags array<string>, confidence double, refreshed_at timestamp"
+
+
+class Pending(RuntimeError):
+    """The store is of an older version; `migrate` brings it up."""
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, migrating: bool = False):
         ship(spark)
         self.spark, self.root = spark, root.rstrip("/")
-        found = self._manifest()
-        if found["version"] > VERSION:
-            raise RuntimeError(f"the store has version {found['version']}; this build knows up to {VERSION}")
+        found = self._manifest()["version"]
+        if found > VERSION:
+            raise RuntimeError(f"the store has version {found}; this build knows up to {VERSION}")
+        if found < VERSION and not migrating:
+            raise Pending(f"the store has version {found}; `migrate` brings it to {VERSION}")
 
     # files, by Hadoop's own interface: local, HDFS or object storage
 
@@ -37,27 +48,70 @@ class Store:
     def _fs(self):
         return self._path("").getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _manifest(self) -> dict:
-        names = sorted(self._names("manifest"))
+    def _latest(self) -> tuple[int, dict]:
+        """The number of the newest manifest (-1: none) and what it says."""
+        names = sorted(n for n in self._names("manifest") if n.endswith(".json"))
         if not names:
-            return {"version": VERSION, "batches": []}
+            return -1, {"version": VERSION, "batches": []}
         text = self.spark.read.text(f"{self.root}/manifest/{names[-1]}", wholetext=True).first()[0]
-        return json.loads(text)
+        return int(names[-1][:-5]), json.loads(text)
+
+    def _manifest(self) -> dict:
+        return self._latest()[1]
 
     def _names(self, folder: str) -> list[str]:
         fs, path = self._fs(), self._path(folder)
         return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
 
-    def _publish(self, manifest: dict) -> None:
-        names = sorted(n for n in self._names("manifest") if n.endswith(".json"))
-        number = int(names[-1][:-5]) + 1 if names else 0
-        fs, draft = self._fs(), self._path("manifest-draft")
-        out = fs.create(draft, True)
-        out.write(bytearray(json.dumps(manifest).encode()))
-        out.close()
-        fs.mkdirs(self._path("manifest"))
-        if not fs.rename(draft, self._path(f"manifest/{number:012d}.json")):
-            raise RuntimeError("the manifest could not be replaced")
+    def _update(self, change: Callable[[dict], dict | None], wait: Callable[[float], None] = time.sleep) -> bool:
+        """Replace the manifest by what `change` makes of the newest; False if it makes nothing of it.
+
+        A writer claims the next number by creating a file that isn't there, which one of several can do; the others
+        begin anew from what it has published. A claim whose writer has died is void after LEASE seconds.
+        """
+        fs = self._fs()
+        while True:
+            number, manifest = self._latest()
+            changed = change(manifest)
+            if changed is None:
+                return False
+            claim, target = self._path(f"claims/{number + 1:012d}"), self._path(f"manifest/{number + 1:012d}.json")
+            if not fs.createNewFile(claim):
+                try:
+                    old = time.time() - fs.getFileStatus(claim).getModificationTime() / 1000 > LEASE
+                except Exception:  # it is done by now
+                    continue
+                fs.delete(claim, False) if old else wait(0.1)
+                continue
+            try:
+                if fs.exists(target):
+                    continue
+                draft = self._path(f"drafts/{uuid.uuid4().hex}")
+                out = fs.create(draft, True)
+                out.write(bytearray(json.dumps(changed).encode()))
+                out.close()
+                fs.mkdirs(self._path("manifest"))
+                if not fs.rename(draft, target):
+                    raise RuntimeError("the manifest could not be replaced")
+                return True
+            finally:
+                fs.delete(claim, False)
+
+    def migrate(self) -> list[int]:
+        """Bring an older store up, one version after the other; returns the versions that were made."""
+        made: list[int] = []
+
+        def step(manifest: dict) -> dict | None:
+            if manifest["version"] >= VERSION:
+                return None
+            for version in range(manifest["version"] + 1, VERSION + 1):
+                manifest = MIGRATIONS[version](manifest) | {"version": version}
+                made.append(version)
+            return manifest
+
+        made.clear()
+        self._update(step)
+        return made
 
     # batches
 
@@ -65,18 +119,20 @@ class Store:
     def batches(self) -> list[str]:
         return self._manifest()["batches"]
 
-    def commit(self, batch: str, deltas: dict[str, DataFrame]) -> bool:
-        """Write a batch's rows, then name it in the manifest. False if it is there already."""
+    def commit(self, batch: str, deltas: dict[str, DataFrame | Callable[[], DataFrame]]) -> bool:
+        """Write a batch's rows, table by table in this order, then name it in the manifest. False if it is there already."""
         if not re.fullmatch(r"[0-9a-zA-Z_-]+", batch):
             raise ValueError("a batch is named by letters, digits, _ and -")
-        manifest = self._manifest()
-        if batch in manifest["batches"]:
+        if batch in self.batches:
             return False
+        place = f"{batch}.{uuid.uuid4().hex}"  # its own, so that two that write the same batch don't meet
         for table, rows in deltas.items():
-            out = rows.write.mode("overwrite")
-            (out.partitionBy("month") if table == "sighting" else out).parquet(f"{self.root}/{table}/batch={batch}")
-        self._publish(manifest | {"batches": [*manifest["batches"], batch]})
-        return True
+            out = (rows if isinstance(rows, DataFrame) else rows()).write.mode("overwrite")
+            (out.partitionBy("month") if table == "sighting" else out).parquet(f"{self.root}/{table}/batch={place}")
+        done = self._update(lambda m: None if batch in m["batches"] else m | {"batches": [*m["batches"], batch], "places": m.get("places", {}) | {batch: place}})
+        for table in () if done else deltas:
+            self._fs().delete(self._path(f"{table}/batch={place}"), True)
+        return done
 
     @property
     def attempts(self) -> dict[str, int]:
@@ -85,38 +141,32 @@ class Store:
 
     def count_attempt(self, digest: str) -> int:
         """One more failure of a file; returns how many there are."""
-        manifest = self._manifest()
-        counts = manifest.get("attempts", {})
-        n = counts.get(digest, 0) + 1
-        self._publish(manifest | {"attempts": counts | {digest: n}})
-        return n
+        self._update(lambda m: m | {"attempts": m.get("attempts", {}) | {digest: m.get("attempts", {}).get(digest, 0) + 1}})
+        return self.attempts.get(digest, 1)
 
     def forget_attempts(self) -> None:
         """All files that waited are taken in or parked."""
-        manifest = self._manifest()
-        if manifest.get("attempts"):
-            self._publish(manifest | {"attempts": {}})
+        self._update(lambda m: m | {"attempts": {}} if m.get("attempts") else None)
 
     def delta(self, table: str, since: int = 0) -> DataFrame:
-        """The rows of the named batches as they were written, with seq (arrival of the envelope) and idx."""
+        """The rows of the named batches as they were written, with seq (arrival of the envelope) and idx; batches that
+        were put together by `compact` as it wrote them. One listing, one read."""
         manifest = self._manifest()
         whole, count = manifest.get("compacted", {}).get(table, (None, 0)) if not since else (None, 0)
-        names = [whole] * (whole is not None) + manifest["batches"][max(since, count) :]
-        there = [n for n in names if self._fs().exists(self._path(f"{table}/batch={n}"))]
+        places = manifest.get("places", {})
+        names = [whole] * (whole is not None) + [places.get(b, b) for b in manifest["batches"][max(since, count) :]]
+        held = set(self._names(table))
+        paths = [f"{self.root}/{table}/batch={n}" for n in names if f"batch={n}" in held]
         place = {"envelope_log": ", seq long"} | dict.fromkeys(("indicator", "cve", "breach", "relationship"), ", seq long, idx int")
-        schema = TABLES[table][0] + place.get(table, "")
-        if table == "lookup":
-            schema = "seq long, idx int, type string, value string, first_seen timestamp, last_seen timestamp, source string, tags array<string>, confidence double, refreshed_at timestamp"
-        if not there:
+        schema = VERDICT if table == "lookup" else TABLES[table][0] + place.get(table, "")
+        if not paths:
             return self.spark.createDataFrame([], schema)
-        rows = None
-        for n in there:
-            part = self.spark.read.schema(schema).parquet(f"{self.root}/{table}/batch={n}")
-            rows = part if rows is None else rows.unionByName(part)
-        return rows
+        return self.spark.read.option("basePath", f"{self.root}/{table}").schema(f"{schema}, batch string").parquet(*paths).drop("batch")
 
     def read(self, table: str) -> DataFrame:
         """The table as it is: folded by its laws."""
+        if table == "lookup":
+            return self.lookup()
         rows = self.delta(table)
         if table == "entity":
             return folds.fold(rows, ["entity_id", "kind", "canonical_key"], folds.LAWS["entity"])
@@ -125,10 +175,43 @@ class Store:
             return folds.fold(whole, ["entity_id"], folds.LAWS[table], "seq")
         if table == "relationship":
             return folds.fold_edges(rows, ["source_id", "target_id", "type"])
-        if table == "lookup":
-            return lookup.fold_lookup(rows)
         return rows
 
+    # the lookup projection: a stored state by buckets, and the batches since
+
+    def lookup(self, where: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+        """The projection, or what `where` leaves of it: the stored state with what came since."""
+        stored = self._manifest().get("lookup")
+        part = where or (lambda df: df)
+        new = part(self.delta("lookup", stored["count"] if stored else 0))
+        if not stored:
+            return lookup.fold_lookup(new)
+        old = self.spark.read.schema(f"{TABLES['lookup'][0]}, bucket int").parquet(f"{self.root}/{stored['path']}")
+        return lookup.merged(part(old), lookup.fold_lookup(new))
+
+    def find(self, kind: str, value: str) -> DataFrame:
+        """The row of one canonical value: one bucket of the stored state is read, and of the batches since the row groups
+        that may hold the value. Nothing is folded but that value's rows."""
+
+        def one(df: DataFrame) -> DataFrame:
+            rows = lookup.find(df, kind, value)
+            return rows.where(F.col("bucket") == lookup.bucket(F.lit(kind), F.lit(value))) if "bucket" in df.columns else rows
+
+        return self.lookup(one)
+
+    def refresh_lookup(self, now: Column, days: int = LOOKUP_TTL_DAYS) -> None:
+        """Store the projection as it is now, without what was not refreshed for `days`; later reads begin from it."""
+        stored, count = self._manifest().get("lookup"), len(self.batches)
+        path = f"lookup-state/{uuid.uuid4().hex}"
+        rows = lookup.alive(self.lookup(), now, days).withColumn("bucket", lookup.bucket(F.col("type"), F.col("value")))
+        rows.repartition("bucket").sortWithinPartitions("bucket", "type", "value").write.partitionBy("bucket").parquet(f"{self.root}/{path}")
+        if self._update(lambda m: m | {"lookup": {"path": path, "count": count}} if m.get("lookup") == stored else None) and stored:
+            self._fs().delete(self._path(stored["path"]), True)
+
+    @property
+    def has_sources(self) -> bool:
+        return self._manifest().get("sources") is not None
+
     def sources(self) -> DataFrame:
         """The registry of sources; empty if none was saved."""
         number = self._manifest().get("sources")
@@ -137,27 +220,28 @@ class Store:
 
     def save_sources(self, rows: DataFrame) -> None:
         """Replace the registry: written anew, then named in the manifest."""
-        manifest = self._manifest()
-        number = (manifest.get("sources") or 0) + 1
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/sources/{number}")
-        self._publish(manifest | {"sources": number})
+        name = uuid.uuid4().hex
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/sources/{name}")
+        self._update(lambda m: m | {"sources": name})
 
     def compact(self, *tables: str) -> None:
-        """Write tables in their folded form, which stands for all batches so far: later reads fold it with what came
-        since. Of entity, indicator, cve, breach and relationship; the lookup's order of tags needs its batches."""
-        manifest = self._manifest()
-        count, done = len(manifest["batches"]), dict(manifest.get("compacted", {}))
-        for table in tables or FOLDED:
-            if table not in FOLDED:
-                raise ValueError(f"{table} is not folded")
-            name = f"compact-{count}"
+        """Put all batches so far into one: tables that are folded in their folded form, others row by row, in fewer
+        files. Later reads take it with what came since. The lookup has its own (`refresh_lookup`)."""
+        count, done = len(self.batches), {}
+        for table in tables or (*FOLDED, *APPENDED):
+            if table not in (*FOLDED, *APPENDED):
+                raise ValueError(f"{table} can't be compacted")
+            name = f"compact-{uuid.uuid4().hex}"
             rows = self.read(table)
-            if table != "entity":  # stands before all that comes later, behind all that came
+            if table in FOLDED and table != "entity":  # stands before all that comes later, behind all that came
                 top = self.delta(table).agg(F.max("seq")).first()[0]
                 rows = rows.withColumn("seq", F.lit(top).cast("long")).withColumn("idx", F.lit(0))
-            rows.write.mode("overwrite").parquet(f"{self.root}/{table}/batch={name}")
+            if table == "sighting":  # by month and entity, so that a month's files are few and in order
+                rows.repartition("month", F.pmod(F.xxhash64("entity_id"), F.lit(8))).sortWithinPartitions("month", "entity_id").write.partitionBy("month").parquet(f"{self.root}/{table}/batch={name}")
+            else:
+                rows.write.mode("overwrite").parquet(f"{self.root}/{table}/batch={name}")
             done[table] = (name, count)
-        self._publish(manifest | {"compacted": done})
+        self._update(lambda m: m | {"compacted": m.get("compacted", {}) | done})
 
     def sightings(self, start: str | None = None, end: str | None = None) -> DataFrame:
         """Sightings observed from `start` up to but not at `end`: only the months between are read."""

@@ -21,6 +21,7 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "8g",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # what was settled goes once nothing refers to it
     } | conf
     spark = SparkSession.builder.master(f"local[{cores}]").config(map=settings).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -62,6 +63,12 @@ def work_dir(spark: SparkSession) -> str:
     return folder
 
 
+def files(spark: SparkSession, path: str):
+    """(file system, path) of a path anywhere, by Hadoop's interface: local, HDFS or object storage."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
 def settled(df: DataFrame) -> DataFrame:
     """df, computed once and written to the shared folder: later steps read the same rows, also after executors are lost."""
     work_dir(df.sparkSession)

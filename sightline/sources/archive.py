@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sightline.session import files
+
 
 def content_hash(payload: Column) -> Column:
     return F.concat(F.lit("sha256:"), F.sha2(payload, 256))
@@ -39,11 +41,10 @@ def put(spark: SparkSession, root: str, payloads: DataFrame) -> None:
     """Append the payloads (content_hash, media_type, body) whose content isn't there yet, by the first two digits."""
     rows = payloads.where("content_hash is not null").groupBy("content_hash").agg(F.min(F.struct("media_type", "body")).alias("r")).select("content_hash", "r.*")
     rows = rows.withColumn("part", F.col("content_hash").substr(8, 2))
-    try:
-        rows = rows.join(spark.read.parquet(root).select("content_hash"), "content_hash", "left_anti")
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
+    fs, where = files(spark, root)
+    if fs.exists(where):
+        held = spark.read.schema("content_hash string, media_type string, body binary, part string").parquet(root)
+        rows = rows.join(held.select("content_hash", "part"), ["content_hash", "part"], "left_anti")
     rows.write.mode("append").partitionBy("part").parquet(root)
 
 

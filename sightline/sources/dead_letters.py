@@ -43,7 +43,9 @@ def payload(text: Column) -> Column:
 
 
 def cut(reason: Column, most: int = MAX_REASON) -> Column:
-    return F.when(F.length(reason) > most, F.concat(reason.substr(1, most), F.lit("… (truncated)"))).otherwise(reason)
+    """A text of at most `most` bytes, and a note if there was more; a character that is cut through is left out."""
+    start = F.rtrim(F.make_valid_utf8(F.substring(F.encode(reason, "utf-8"), 1, most).cast("string")), F.lit("\ufffd"))
+    return F.when(F.octet_length(reason) > most, F.concat(start, F.lit("… (truncated)"))).otherwise(reason)
 
 
 def rows(failed: DataFrame) -> DataFrame:

@@ -18,6 +18,15 @@ from sightline.sources import dead_letters, envelopes
 log = logging.getLogger(__name__)
 
 
+# What errors of a network or a storage say. They pass, and say nothing of the files that were being read.
+PASSING = ("java.net.", "ConnectException", "SocketTimeout", "NoRouteToHost", "UnknownHost", "hadoop.ipc", "RetriableException", "StandbyException", "SafeModeException", "ExecutorLostFailure", "FetchFailed", "SlowDown", "Service Unavailable", "No space left")
+
+
+def passing(e: BaseException) -> bool:
+    """Whether an error is one of the surroundings (a network, a storage), which is tried again, not one of a file."""
+    return isinstance(e, ConnectionError | TimeoutError) or any(x in str(e) for x in PASSING)
+
+
 def start(spark: SparkSession, landing: str, store: Store, checkpoint: str, sources: Callable[[], DataFrame] | None = None, files_a_batch: int = 1000, available_now: bool = False) -> StreamingQuery:
     """Take in every file that arrives in `landing`.
 
@@ -25,7 +34,7 @@ def start(spark: SparkSession, landing: str, store: Store, checkpoint: str, sour
     failure the same files come again under the same name, so the effect is once. If a micro-batch fails as a
     whole, its files are taken in one by one, so that one bad file holds up none of the others. Those that fail alone
     are counted in the store, by their digest; the micro-batch then fails and comes again, and what has failed more
-    than 5 times is parked. The registry is read anew for each batch. Times of observation are not bounded by a
+    than 5 times is parked. Errors of the surroundings are raised and count for no file. The registry is read anew for each batch. Times of observation are not bounded by a
     watermark: a late sighting goes to its own month.
     """
     files = spark.readStream.format("binaryFile").option("maxFilesPerTrigger", files_a_batch).schema("path string, modificationTime timestamp, length long, content binary").load(landing)
@@ -44,6 +53,8 @@ def start(spark: SparkSession, landing: str, store: Store, checkpoint: str, sour
                 store.forget_attempts()
                 return
             except Exception as e:
+                if passing(e):
+                    raise
                 log.warning("%s failed, its files are taken in one by one: %s", name, e)
         failed: list[tuple[str, Exception]] = []
         for i, path in enumerate(sorted(x[0] for x in rows.select("path").collect())):  # the paths of one micro-batch
@@ -51,6 +62,8 @@ def start(spark: SparkSession, landing: str, store: Store, checkpoint: str, sour
             try:
                 process(one, store, f"{name}-{i}", now, known, attempts=attempts())
             except Exception as e:
+                if passing(e):
+                    raise
                 n = store.count_attempt(digest(one, path))
                 log.warning("%s failed alone, for time %d: %s", path, n, e)
                 if n > MAX_ATTEMPTS + 1:  # parking it with its content failed too

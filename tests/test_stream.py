@@ -41,3 +41,22 @@ def test_what_cannot_be_parked_whole_is_parked_bare(spark, tmp_path, monkeypatch
     begin = lambda: start(spark, str(land), store, str(tmp_path / "check"), available_now=True)
     assert supervise(begin, most=20, wait=lambda _: None) == MAX_ATTEMPTS + 1 and store.attempts == {}
     assert [(r["stage"], r["payload"], "no such disk" in r["reason"]) for r in store.read("dead_letter").collect()] == [("poison", '""', True)]
+
+
+def test_errors_of_the_surroundings_count_for_no_file(spark, tmp_path, monkeypatch):
+    from sightline.streaming import intake
+
+    land = tmp_path / "in"
+    land.mkdir()
+    (land / "1.json").write_text("{}")
+    store = Store(spark, f"file://{tmp_path}/store")
+    calls = []
+
+    def fail(*_, **__):
+        calls.append(1)
+        raise RuntimeError("java.net.ConnectException: refused") if len(calls) % 2 else ConnectionError("down")
+
+    monkeypatch.setattr(intake, "process", fail)
+    begin = lambda: start(spark, str(land), store, str(tmp_path / "check"), available_now=True)
+    assert supervise(begin, most=4, wait=lambda _: None) == 4 and len(calls) == 4
+    assert store.attempts == {} and store.batches == []
