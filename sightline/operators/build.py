@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -99,6 +101,21 @@ def entities(rows: DataFrame, edges: DataFrame) -> DataFrame:
     return rows.select("kind", "key", "first_seen", "last_seen").unionByName(ends(edges).select("kind", "key", "first_seen", "last_seen"))
 
 
+def written(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """seq, table, n: the rows that each envelope writes to each table, from its records and edges that were built."""
+    described = rows.select("seq", "kind", "key")
+    named = ends(edges).select("seq", "kind", "key")
+    parts = {
+        "entity": described.unionByName(named).distinct().select("seq"),
+        "relationship": edge_rows(edges).select("seq", "source_id", "target_id", "type").distinct().select("seq"),
+        "sighting": described.select("seq"),
+    }
+    out = [p.select("seq", F.lit(t).alias("table")) for t, p in parts.items()]
+    modules = described.unionByName(named.where(F.col("kind").isin("indicator", "cve"))).distinct()  # stubs too
+    out.append(modules.select("seq", F.col("kind").alias("table")))
+    return reduce(DataFrame.unionByName, out).groupBy("seq", "table").agg(F.count("*").alias("n"))
+
+
 def indicator_rows(rows: DataFrame) -> DataFrame:
     raw = F.nullif(F.nullif(F.col("indicator.raw_value"), F.lit("")), F.col("key"))
     return rows.where("kind = 'indicator'").select("seq", "idx", entity_id(F.col("kind"), F.col("key")).alias("entity_id"), "type", F.col("key").alias("value"), raw.alias("raw_value"))

@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+SLICES = 16
+
+
 def trigrams(c: Column) -> Column:
     """The distinct trigrams of a text in lower case, with two blanks before and one behind each word."""
     words = F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda w: w != "")
@@ -34,7 +37,10 @@ def similar(queries: DataFrame, texts: DataFrame, least: str = "0.5") -> DataFra
 
     a, b = rarest(q, "query"), rarest(x, "found")
     fits = (F.col("query_size") * t.numerator <= F.col("found_size") * t.denominator) & (F.col("found_size") * t.numerator <= F.col("query_size") * t.denominator)
-    pairs = a.join(b, "g").where(fits & (F.col("query") != F.col("found"))).select("query", "found").distinct()
+    # texts that have a common trigram are joined in slices; the queries that have it are given to each
+    a = a.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
+    b = b.withColumn("slice", F.pmod(F.xxhash64("found"), F.lit(SLICES)).cast("int"))
+    pairs = a.join(b, ["g", "slice"]).where(fits & (F.col("query") != F.col("found"))).select("query", "found").distinct()
     pairs = pairs.join(q.select(F.col("text").alias("query"), F.col("g").alias("qg")), "query").join(x.select(F.col("text").alias("found"), F.col("g").alias("xg")), "found")
     both, either = F.size(F.array_intersect("qg", "xg")), F.size(F.array_union("qg", "xg"))
     return pairs.where(both * t.denominator >= either * t.numerator).select("query", F.col("found").alias("text"), (both / either).alias("similarity"))

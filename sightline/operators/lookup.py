@@ -59,7 +59,7 @@ def merged(old: DataFrame, new: DataFrame) -> DataFrame:
     rest = ["first_seen", "last_seen", "sources", "tags", "confidence", "refreshed_at"]
     a, b = (df.select(*keys, F.struct(*rest).alias(x)) for df, x in ((old, "a"), (new, "b")))
     both = F.col("a").isNotNull() & F.col("b").isNotNull()
-    list_ = lambda c, most: F.when(both, capped(F.array_union(f"a.{c}", f"b.{c}"), most)).otherwise(F.coalesce(f"a.{c}", f"b.{c}")).alias(c)
+    list_ = lambda c, most: F.when(both, capped(F.filter(F.array_union(f"a.{c}", f"b.{c}"), lambda x: x != ""), most)).otherwise(F.coalesce(f"a.{c}", f"b.{c}")).alias(c)
     out = a.join(b, keys, "full")
     return out.select(
         entity_id(F.lit("indicator"), F.col("value")).alias("entity_id"), *keys, F.least("a.first_seen", "b.first_seen").alias("first_seen"), F.greatest("a.last_seen", "b.last_seen").alias("last_seen"),

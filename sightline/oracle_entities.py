@@ -88,6 +88,12 @@ def oracle_sql() -> dict[str, str]:
                 f as (select source_id, target_id, type, min(first_us) as first_us, max(last_us) as last_us, arg_max(confidence, seq) filter (confidence is not null) as confidence, count(*) as n, count(metadata) as nm from w group by 1, 2, 3)
             select f.source_id, f.target_id, f.type, first_us, last_us, confidence, case when n = 1 and nm = 0 then null else coalesce(m, '{{}}') end as metadata from f left join m on f.source_id = m.source_id and f.target_id = m.target_id and f.type is not distinct from m.type""",
         "lookup_table": lookup("true", entity("'indicator'", "f.value") + " as entity_id, "),
+        "lookup_state": lookup("true", entity("'indicator'", "f.value") + " as entity_id, "),
+        "written_counts": f"""with {RECORDS}, {EDGES}, k as (select seq, kind, key from r where reason is null),
+                y as (select distinct * from (select * from k union all select seq, kind, key from x)), m as (select distinct * from (select * from k union all select seq, kind, key from x where kind in ('indicator', 'cve'))),
+                w as (select distinct seq, sk, s, tk, t, type from g where (sk, s) <> (tk, t)),
+                z as (select seq, 'entity' as t from y union all select seq, kind from m union all select seq, 'relationship' from w union all select seq, 'sighting' from k)
+            select seq as envelope_id, t as table, count(*) as n from z group by 1, 2""",
         "lookup_hashes": lookup(f"type in {HASHES}", ""),
         "stub_rows": f"""with {RECORDS}, {EDGES}, y as (select seq, kind, key, unnest(min({{'place': place, 'type': type}})) from x where kind in ('indicator', 'cve') group by 1, 2, 3)
             select seq, kind, key, type, place from y anti join (select seq, kind, key from r where reason is null) using (seq, kind, key)""",

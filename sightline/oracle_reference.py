@@ -113,7 +113,6 @@ def oracle_sql() -> dict[str, str]:
             with r as (select {slug_of('source_slug')} as slug, record_id, row_number() over (partition by {slug_of('source_slug')} order by record_id) as place from cve_records
                        where not coalesce(cve.cvss_score between 0 and 10, true) or not coalesce(cve.epss_score between 0 and 1, true))
             select * from r where place <= 3""",
-        "written_counts": "select envelope_id, kind, count(*) as n from (select envelope_id, kind from indicator_records union all select envelope_id, kind from cve_records union all select envelope_id, kind from breach_records) group by 1, 2",
         "cve_entities": f"select {cve_key('cve.cve_id')} as canonical_key, min(epoch_us(observed_at)) as first_us, max(epoch_us(observed_at)) as last_us from cve_records where {cve_key('cve.cve_id')} is not null group by 1",
         "cve_fold": f"""
             with r as (select envelope_id as seq, record_index as idx, {cve_key('cve.cve_id')} as cve_id, cve as c from cve_records),

@@ -181,9 +181,10 @@ def first_drops(spark: SparkSession, d: str) -> DataFrame:
 
 
 def written_counts(spark: SparkSession, d: str) -> DataFrame:
-    """Records of each kind in each envelope."""
-    rows = [table(spark, d, f"{x}_records").select("envelope_id", "kind") for x in ("indicator", "cve", "breach")]
-    return rows[0].unionByName(rows[1]).unionByName(rows[2]).groupBy("envelope_id", "kind").agg(F.count("*").alias("n"))
+    """The rows that each envelope writes to each table."""
+    rows = build.built(records(spark, d)).where("reason is null")
+    joined = build.built_edges(edges(spark, d)).where("reason is null")
+    return build.written(rows, joined).withColumnRenamed("seq", "envelope_id")
 
 
 def drops_by_reason(spark: SparkSession, d: str) -> DataFrame:
@@ -269,6 +270,15 @@ def lookup_table(spark: SparkSession, d: str) -> DataFrame:
     return out.select("entity_id", "type", "value", us("first_seen", "first_us"), us("last_seen", "last_us"), F.array_join("sources", "|").alias("sources"), F.array_join("tags", "|").alias("tags"), "confidence")
 
 
+def lookup_state(spark: SparkSession, d: str) -> DataFrame:
+    """The lookup table as a state that is stored after half of the envelopes, and what came since."""
+    rows = build.verdict_rows(build.built(records(spark, d, ("indicator",))).where("reason is null")).withColumn("source", C.lower_trimmed(F.col("source"))).withColumn("refreshed_at", F.lit(NOW).cast("timestamp"))
+    half = F.percentile_approx("envelope_id", 0.5)
+    cut = table(spark, d, "envelopes").agg(half).first()[0] or 0
+    out = lookup.merged(lookup.fold_lookup(rows.where(F.col("seq") <= cut)), lookup.fold_lookup(rows.where(F.col("seq") > cut)))
+    return out.select("entity_id", "type", "value", us("first_seen", "first_us"), us("last_seen", "last_us"), F.array_join("sources", "|").alias("sources"), F.array_join("tags", "|").alias("tags"), "confidence")
+
+
 def lookup_hashes(spark: SparkSession, d: str) -> DataFrame:
     """The lookup table of values that are hashes."""
     rows = table(spark, d, "indicator_records").join(envelopes_once(spark, d).select("envelope_id", "collected_at", "default_context"), "envelope_id")
@@ -443,7 +453,7 @@ def stream_windows(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = (
     defanged_values, canonical_indicators, inferred_types, hash_values, ipv4_values, cve_ids, breach_slugs, endpoint_keys, effective_contexts, seen_windows, empty_contexts, edge_windows,
     indicator_problems, cve_problems, breach_problems, edge_problems, drop_gate, first_drops, written_counts, drops_by_reason, entity_registry, cve_entities, cve_fold, breach_fold, indicator_fold, edge_fold,
-    edge_fold_as_written, first_deliveries, source_runs, lookup_table, lookup_hashes, capped_tags, source_status, sources_list, stub_cves, stub_rows, breach_domains, self_edges, node_degrees, two_hops,
+    edge_fold_as_written, first_deliveries, source_runs, lookup_table, lookup_state, lookup_hashes, capped_tags, source_status, sources_list, stub_cves, stub_rows, breach_domains, self_edges, node_degrees, two_hops,
     reachable, orphan_sightings, similar_names, similar_values, sightings_by_month, retained_months, archive_keys, dead_letter_rows, event_rates, event_increase, duplicate_ratio, delivery_quantiles,
     alert_silent_sources, alert_held, stream_windows,
 )
