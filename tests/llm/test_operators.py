@@ -328,12 +328,27 @@ def test_a_long_text_without_splits(spark):
 
 
 def test_poisson():
-    u = np.linspace(0.001, 0.999, 400)
-    for k in (1, 2, 4):
-        assert np.allclose(mixing.below(k, mixing.arrival(k, u)), u, atol=1e-9)
-    mean = 1.3
-    rate = mixing.Rate("s", 0.5, 3, mean, 0)
-    assert rate.thresholds() == sorted(rate.thresholds()) and abs(rate.thresholds()[1] - math.exp(-mean) * (1 + mean)) < 1e-12
+    for mean in (0.01, 1.3, 40.0):
+        term, total = math.exp(-mean), 0.0
+        for k, t in enumerate(mixing.below(30, mean)):
+            total += term
+            term *= mean / (k + 1)
+            assert abs(t - total) < 1e-12
+    assert mixing.below(3, 0.0).tolist() == [1, 1, 1] and 0.4 < mixing.below(2000, 2000.0)[-1] < 0.6  # e ** -2000 is 0 as a number
+    rate = mixing.Rate("s", 0.5, 3, 1.3, 0)
+    assert rate.thresholds() == sorted(rate.thresholds()) and abs(rate.thresholds()[1] - math.exp(-1.3) * 2.3) < 1e-12
+
+
+def test_mixing_with_many_repeats(spark):
+    rows = [(i, "a" if i < 900 else "b", 100) for i in range(1000)]
+    sized = spark.createDataFrame(rows, "id long, source string, n_ids long")
+    targets = spark.createDataFrame([("a", 0.1, 3), ("b", 0.9, 400)], "source string, target_share double, max_repeats int")
+    for total in (100_000, 800_000, 3_000_000):
+        plan = mixing.rates(sized, targets, total=float(total))
+        got = {r["source"]: r for r in mixing.report(sized, targets, plan).collect()}
+        assert all(abs(got[s]["n_tokens"] - share * total) <= 100 for s, share in (("a", 0.1), ("b", 0.9)) if not got[s]["at_cap"])
+        assert got["a"]["at_cap"] == (total == 3_000_000) and got["b"]["most_copies"] <= 400
+    assert got["a"]["n_tokens"] == 270_000
 
 
 def test_mixing(spark):
@@ -351,6 +366,7 @@ def test_mixing(spark):
         assert abs(report[s]["n_tokens"] - total * share / 0.9) <= 400, s
         assert abs(report[s]["actual_share"] - share / 0.9) < 0.005
     assert report["small"]["most_copies"] == 4 and report["big"]["most_copies"] == 1 and report["mid"]["most_copies"] <= 2
+    assert [s for s in report if report[s]["at_cap"]] == [min(have, key=lambda s: {"big": 1, "mid": 2, "small": 4}[s] * have[s] / {"big": 0.5, "mid": 0.3, "small": 0.1}[s])]
     assert report["absent"]["n_tokens"] == report["off"]["n_tokens"] == 0
     mix = mixing.mixed(docs, "doc_id", "source", plan).collect()
     assert len({(x["doc_id"], x["copy"]) for x in mix}) == len(mix) == sum(x["n_copies"] for x in report.values())
