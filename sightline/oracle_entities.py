@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from sightline.oracle_canonical import endpoints, observed
-from sightline.oracle_reference import BREACH_SLUG, ONCE, cve_key, slug_of, time_us
+from sightline.oracle_reference import BREACH_SLUG, ONCE, cve_key, outside, rules, slug_of, time_us, times, trim
 
 HASHES = "('md5', 'sha1', 'sha256', 'sha512')"
 INDICATORS = observed("o", "indicator_records", "record_id, indicator", "indicator.type", "indicator.raw_value")
@@ -58,7 +58,26 @@ def lookup(where: str, columns: str) -> str:
         from f left join s on s.type = f.type and s.value = f.value left join t on t.type = f.type and t.value = f.value"""
 
 
+def context_rules(source: str, row_id: str, c: str, path: str) -> str:
+    """The rules of a context `c` as rows."""
+    first, last = time_us(f"{c}.first_seen"), time_us(f"{c}.last_seen")
+    tags = f" union all select {row_id}, '{path}.tags[' || (i - 1) || ']', case when coalesce(t, '') = '' then 'empty' else 'too long' end from (select *, unnest({c}.tags) as t, generate_subscripts({c}.tags, 1) as i from {source}) where coalesce(t, '') = '' or strlen(t) > 128"
+    return rules(source, row_id, [
+        *times(first, f"{path}.first_seen"), *times(last, f"{path}.last_seen"), (f"{last} < {first}", f"'{path}.last_seen'", "before first_seen"), (outside(f"{c}.confidence", 1), f"'{path}.confidence'", "not between 0 and 1"),
+        (f"{c}.tlp <> '' and {c}.tlp not in ('clear','green','amber','amber+strict','red')", f"'{path}.tlp'", "unknown marking"), (f"len({c}.tags) > 64", f"'{path}.tags'", "too many"),
+    ]) + tags
+
+
+def record_rules(kind: str, own: list[tuple[str, str, str]]) -> str:
+    return rules(f"{kind}_records", f"'{kind}' as of, record_id", [
+        *times("epoch_us(observed_at)", "record.observed_at"), ("coalesce(kind, '') = ''", "'record.kind'", "required"), ("kind <> '' and kind not in ('indicator', 'cve', 'breach')", "'record.kind'", "unknown kind"),
+        *[(f"kind = '{k}' and {f'{kind} is null' if k == kind else 'true'}", f"'record.{k}'", "required by kind") for k in ("indicator", "cve", "breach")], (f"kind is distinct from '{kind}' and {kind} is not null", f"'record.{kind}'", "not what kind says"), *own,
+    ])
+
+
 def oracle_sql() -> dict[str, str]:
+    version, digits = "schema_version", "regexp_full_match(schema_version, '[0-9]+\\.[0-9]+')"
+    types = "('auto','ipv4','ipv6','cidr','domain','url','email','md5','sha1','sha256','sha512')"
     keys = "(select {0} from n where n.i = q.i and place = {1})"
     members = "json_keys({0}.attributes)"
     return {
@@ -67,6 +86,23 @@ def oracle_sql() -> dict[str, str]:
         "hash_values": f"with {INDICATORS} select record_id, type, value from o where type in {HASHES} or indicator.type in {HASHES}",
         "ipv4_values": f"with {INDICATORS} select record_id, value from o where type = 'ipv4'",
         "endpoint_keys": f"with {NUMBERED}, {endpoints('n', 'q', 'i')} select edge_id, {', '.join(f'{keys.format(c, i)} as {x}_{c}' for i, x in enumerate(('source', 'target')) for c in ('kind', 'key', 'type'))} from q",
+        "envelope_heads": rules("envelopes", "envelope_id", [
+            (f"coalesce({version}, '') = ''", "'schema_version'", "required"), (f"{version} <> '' and not {digits}", "'schema_version'", "not MAJOR.MINOR"), (f"{digits} and not regexp_matches({version}, '^0*1\\.')", "'schema_version'", "unknown major version"),
+            ("coalesce(source, '') = ''", "'source'", "required"), ("strlen(source) > 128", "'source'", "too long"), ("source <> '' and strlen(source) <= 128 and not regexp_full_match(source, '[a-z0-9]+(?:[-_.][a-z0-9]+)*')", "'source'", "no slug"),
+            ("collected_at is null", "'collected_at'", "required"), *times("epoch_us(collected_at)", "collected_at"), ("content_hash <> '' and not regexp_full_match(content_hash, 'sha256:[0-9a-f]{64}')", "'content_hash'", "no sha256 hash"),
+        ]) + " union all " + context_rules("envelopes", "envelope_id", "default_context", "default_context"),
+        "record_problems": record_rules("indicator", [
+            ("indicator is not null and coalesce(indicator.type, '') = ''", "'record.indicator.type'", "required"), (f"indicator.type <> '' and indicator.type not in {types}", "'record.indicator.type'", "unknown type"),
+            ("indicator is not null and coalesce(indicator.raw_value, '') = ''", "'record.indicator.raw_value'", "required"), ("strlen(indicator.raw_value) > 4096", "'record.indicator.raw_value'", "too long"),
+        ]) + " union all " + context_rules("indicator_records", "'indicator' as of, record_id", "context", "record.context") + " union all " + record_rules("cve", [
+            ("cve is not null and coalesce(cve.cve_id, '') = ''", "'record.cve.cve_id'", "required"), ("cve.cve_id <> '' and not regexp_full_match(cve.cve_id, '(?i:CVE)-[0-9]{4}-[0-9]{4,}')", "'record.cve.cve_id'", "no CVE id"),
+            (outside("cve.cvss_score", 10), "'record.cve.cvss_score'", "not between 0 and 10"), (outside("cve.epss_score", 1), "'record.cve.epss_score'", "not between 0 and 1"),
+            ("cve.severity <> '' and lower(cve.severity) not in ('none','low','medium','high','critical')", "'record.cve.severity'", "unknown severity"),
+            *times("epoch_us(cve.published_at)", "record.cve.published_at"), *times("epoch_us(cve.modified_at)", "record.cve.modified_at"),
+        ]) + " union all select 'cve', record_id, 'record.cve.cwe[' || (i - 1) || ']', 'no CWE id' from (select record_id, unnest(cve.cwe) as w, generate_subscripts(cve.cwe, 1) as i from cve_records) where not coalesce(regexp_full_match(w, 'CWE-[0-9]+'), false) union all " + record_rules("breach", [
+            (f"breach is not null and coalesce({trim('breach.name')}, '') = ''", "'record.breach.name'", "required"), ("breach.record_count < 0", "'record.breach.record_count'", "negative"),
+            *times("epoch_us(breach.disclosed_at)", "record.breach.disclosed_at"), *times("epoch_us(breach.breach_date::timestamp)", "record.breach.breach_date"),
+        ]),
         "seen_windows": f"with {ONCE}, b as (select record_id, context as c, default_context as d, epoch_us(coalesce(observed_at, collected_at)) as seen from indicator_records join e using (envelope_id)) select record_id, least(seen, {FIRST}) as first_us, greatest(seen, {LAST}) as last_us from b",
         "empty_contexts": f"""with {ONCE}, b as (select record_id, context as c, default_context as d from indicator_records join e using (envelope_id))
             select record_id from b where coalesce({own("first_seen", True)}, '') = '' and coalesce({own("last_seen", True)}, '') = '' and ({own("confidence")}) is null and coalesce(len({TAGS}), 0) = 0 and coalesce({own("tlp", True)}, '') = ''

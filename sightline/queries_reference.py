@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sightline.functions import columns as C
 from sightline.operators import build, context, folds, fuzzy, graph, lookup, metrics, validate
 from sightline.operators.build import entity_id
-from sightline.plans.schemas import BREACH, CONTEXT, CVE, INDICATOR
+from sightline.plans.schemas import BREACH, CONTEXT, CVE, INDICATOR, RECORD, RELATIONSHIP
 from sightline.session import scratch_path, settled
 from sightline.sources import archive, dead_letters, registry
 from sightline.streaming.intake import windowed_counts
@@ -168,6 +168,29 @@ def edge_problems(spark: SparkSession, d: str) -> DataFrame:
     return _problems(rows, "edge_id", validate.relationship_problems(F.col("r"), F.lit("edge"), F.lit(NOW).cast("timestamp"), "timestamp"))
 
 
+def record_problems(spark: SparkSession, d: str) -> DataFrame:
+    """All that is wrong with each record of each kind, checked as a whole."""
+    text = {"cve": ("published_at", "modified_at"), "breach": ("disclosed_at",)}
+    found = []
+    for kind, form in {"indicator": INDICATOR, "cve": CVE, "breach": BREACH}.items():
+        rows = table(spark, d, f"{kind}_records")
+        payload = reduce(lambda c, x: c.withField(x, text_time(f"{kind}.{x}")), text.get(kind, ()), F.col(kind))
+        parts = {"kind": F.col("kind"), "observed_at": text_time("observed_at"), "context": (F.col("context") if kind == "indicator" else F.lit(None)).cast(CONTEXT)}
+        parts |= {k: F.lit(None).cast(t) for k, t in {"indicator": INDICATOR, "cve": CVE, "breach": BREACH}.items()} | {kind: payload.cast(form)}
+        r = rows.select("record_id", F.struct(*[c.alias(k) for k, c in parts.items()]).alias("r"))
+        found.append(_problems(r, "record_id", validate.record_problems(F.col("r"), F.lit("record"), F.lit(NOW).cast("timestamp"))).withColumn("of", F.lit(kind)))
+    return reduce(DataFrame.unionByName, found)
+
+
+def envelope_heads(spark: SparkSession, d: str) -> DataFrame:
+    """All that is wrong with each envelope but for its records: its own fields, and its default context."""
+    head = ["schema_version", "source", "source_run_id", text_time("collected_at").alias("collected_at"), "content_hash", "raw_ref", "default_context"]
+    fine = F.from_json(F.lit('{"kind": "cve", "cve": {"cve_id": "CVE-2024-1234"}}'), RECORD)
+    rest = [F.lit(None).cast("struct<media_type:string,encoding:string,data:string>").alias("raw"), F.array(fine).alias("records"), F.lit(None).cast(f"array<{RELATIONSHIP}>").alias("relationships")]
+    rows = table(spark, d, "envelopes").select("envelope_id", F.struct(*head, *rest).alias("e"))
+    return _problems(rows, "envelope_id", validate.envelope_problems(F.col("e"), F.lit(NOW).cast("timestamp")))
+
+
 def drop_gate(spark: SparkSession, d: str) -> DataFrame:
     """All records by envelope: how many are dropped, and whether that is too many."""
     return build.drop_report(build.built(records(spark, d)), ["seq"]).withColumnRenamed("seq", "envelope_id").withColumn("ratio", F.round("ratio", 9))
@@ -452,7 +475,7 @@ def stream_windows(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = (
     defanged_values, canonical_indicators, inferred_types, hash_values, ipv4_values, cve_ids, breach_slugs, endpoint_keys, effective_contexts, seen_windows, empty_contexts, edge_windows,
-    indicator_problems, cve_problems, breach_problems, edge_problems, drop_gate, first_drops, written_counts, drops_by_reason, entity_registry, cve_entities, cve_fold, breach_fold, indicator_fold, edge_fold,
+    indicator_problems, cve_problems, breach_problems, edge_problems, record_problems, envelope_heads, drop_gate, first_drops, written_counts, drops_by_reason, entity_registry, cve_entities, cve_fold, breach_fold, indicator_fold, edge_fold,
     edge_fold_as_written, first_deliveries, source_runs, lookup_table, lookup_state, lookup_hashes, capped_tags, source_status, sources_list, stub_cves, stub_rows, breach_domains, self_edges, node_degrees, two_hops,
     reachable, orphan_sightings, similar_names, similar_values, sightings_by_month, retained_months, archive_keys, dead_letter_rows, event_rates, event_increase, duplicate_ratio, delivery_quantiles,
     alert_silent_sources, alert_held, stream_windows,
