@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import argparse
 import json
+import logging
 import os
 import sys
 from collections.abc import Mapping
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,12 +22,15 @@ from pyspark.sql import functions as F
 from sightline import api
 from sightline.functions.scalar import observable, slugify
 from sightline.operators import alerts, lookup
-from sightline.plans.schemas import TLP
+from sightline.plans.schemas import TLP, VERSION
 from sightline.plans.store import Store
 from sightline.sources import registry
 from sightline.streaming import intake
 
 
+log = logging.getLogger(__name__)
+
+
 def parser(env: Mapping[str, str]) -> argparse.ArgumentParser:
     config = api.Config.of(env)
     wrong = [p for p in config.problems if not p.endswith("is required")]
@@ -60,8 +65,10 @@ def parser(env: Mapping[str, str]) -> argparse.ArgumentParser:
     one.add_argument("--dry-run", action="store_true")
     one.add_argument("--compact", action="store_true")
     one.add_argument("--ttl-days", type=int, default=config.ttl_days, help="with --compact: forget values that were not reported for so long")
+    one.add_argument("--ahead", type=int, default=0, help="name this month and as many after it; their folders come with the first row")
     one = add("migrate", help="bring a store of an older version up")
     one.add_argument("--store", **store)
+    one.add_argument("--status", action="store_true", help="say what version it has and would get, and change nothing")
     one = add("alerts", help="what is wrong, by the counters of the store")
     one.add_argument("--store", **store)
     one = add("lookup", help="what is known of a value")
@@ -97,7 +104,8 @@ def main(args: list[str], spark: SparkSession | None = None) -> int:
         shown(rows)
         return int(rows.where("not ok").count() > 0)
     if call.command == "migrate":
-        print(json.dumps({"versions": Store(spark, call.store, migrating=True).migrate()}))
+        old = Store(spark, call.store, migrating=True)
+        print(json.dumps({"version": old.version, "known": VERSION} if call.status else {"versions": old.migrate()}))
         return 0
     store = Store(spark, call.store)
     if call.command == "alerts":
@@ -107,11 +115,13 @@ def main(args: list[str], spark: SparkSession | None = None) -> int:
         print(json.dumps(done))
         return int(done["parked"] > 0)
     if call.command == "serve":
+        log.info("taking in from %s into %s", *map(api.without_secrets, (call.landing, call.store)))
         begin = lambda: intake.start(spark, call.landing, store, call.checkpoint, store.sources if call.known_sources else None, files_a_batch=call.files_a_batch, available_now=call.once)
         intake.supervise(begin, most=1 if call.once else None)
         return 0
     if call.command == "maintain":
-        print(json.dumps(api.maintain(store, call.retain_from, call.dry_run, call.compact, ttl_days=call.ttl_days)))
+        done = api.maintain(store, call.retain_from, call.dry_run, call.compact, ttl_days=call.ttl_days)
+        print(json.dumps(done | ({"ahead": api.months_ahead(datetime.now(UTC).date(), call.ahead)} if call.ahead else {})))
         return 0
     if call.command == "lookup":
         form = observable(call.type, call.value)

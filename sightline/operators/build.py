@@ -157,6 +157,14 @@ def month(c: Column) -> Column:
     return F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), since.cast("int")), "yyyy_MM")
 
 
+def month_bounds(c: Column) -> tuple[Column, Column, Column]:
+    """(name, first instant, first instant of the next) of the month, in UTC, that a time is in; instants in microseconds."""
+    name = month(c)
+    first = F.to_date(name, "yyyy_MM")
+    instant = lambda day: F.datediff(day, F.lit("1970-01-01").cast("date")).cast("long") * 86_400_000_000
+    return name, instant(first), instant(F.add_months(first, 1))
+
+
 def edge_rows(edges: DataFrame) -> DataFrame:
     """Edges between different entities, by the entities' ids."""
     ids = {x: entity_id(F.col(f"{x}_kind"), F.col(f"{x}_key")).alias(f"{x}_id") for x in ("source", "target")}

@@ -12,6 +12,7 @@ import re
 import time
 import uuid
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,12 @@ LEASE = 60.0  # seconds after which the claim of a writer that hasn't finished i
 VERDICT = "seq long, idx int, type string, value string, first_seen timestamp, last_seen timestamp, source string, tags array<string>, confidence double, refreshed_at timestamp"
 
 
+def instant(text: str) -> datetime:
+    """An ISO date or time, in UTC; without an offset it is one of UTC."""
+    at = datetime.fromisoformat(text)
+    return at.replace(tzinfo=UTC) if at.tzinfo is None else at.astimezone(UTC)
+
+
 class Pending(RuntimeError):
     """The store is of an older version; `migrate` brings it up."""
 
@@ -97,6 +104,10 @@ class Store:
             finally:
                 fs.delete(claim, False)
 
+    @property
+    def version(self) -> int:
+        return self._manifest()["version"]
+
     def migrate(self) -> list[int]:
         """Bring an older store up, one version after the other; returns the versions that were made."""
         made: list[int] = []
@@ -247,14 +258,16 @@ class Store:
         """Sightings observed from `start` up to but not at `end`: only the months between are read."""
         rows = self.delta("sighting")
         if start:
-            rows = rows.where((F.col("observed_at") >= F.lit(start).cast("timestamp")) & (F.col("month") >= start[:7].replace("-", "_")))
+            at = instant(start)
+            rows = rows.where((F.col("observed_at") >= F.lit(at)) & (F.col("month") >= f"{at:%Y_%m}"))
         if end:
-            rows = rows.where((F.col("observed_at") < F.lit(end).cast("timestamp")) & (F.col("month") <= end[:7].replace("-", "_")))
+            at = instant(end)
+            rows = rows.where((F.col("observed_at") < F.lit(at)) & (F.col("month") <= f"{at:%Y_%m}"))
         return rows
 
     def drop_months_before(self, cutoff: str, dry_run: bool = False) -> list[str]:
         """Retention: the months that end at or before `cutoff` (an ISO date or time) are removed whole; entities stay."""
-        keep_from = cutoff[:7].replace("-", "_")  # the month that the cutoff is in has its end after it
+        keep_from = f"{instant(cutoff):%Y_%m}"  # the month that the cutoff is in has its end after it
         months: set[str] = set()
         fs = self._fs()
         for batch in self._names("sighting"):

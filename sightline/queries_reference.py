@@ -402,9 +402,9 @@ def sightings_by_month(spark: SparkSession, d: str) -> DataFrame:
 
 def retained_months(spark: SparkSession, d: str) -> DataFrame:
     """Months of sightings, whether each is dropped at the cutoff: only if it ends by then."""
-    months = table(spark, d, "sighting").select(F.date_trunc("month", "observed_at").alias("m")).distinct()
-    end = F.add_months("m", 1).cast("timestamp")
-    return months.where("m is not null").select(build.month(F.col("m")).alias("month"), us("m", "start_us"), us(end, "end_us"), (end <= F.lit(CUTOFF).cast("timestamp")).alias("dropped"))
+    name, start, end = build.month_bounds(F.col("observed_at"))
+    months = table(spark, d, "sighting").select(name.alias("month"), start.alias("start_us"), end.alias("end_us")).distinct()
+    return months.where("month is not null").withColumn("dropped", F.col("end_us") <= F.unix_micros(F.lit(f"{CUTOFF}T00:00:00Z").cast("timestamp")))
 
 
 def archive_keys(spark: SparkSession, d: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +20,10 @@ DECODED = T.StructType([T.StructField("doc", T.StringType()), T.StructField("pro
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """path, modified, body: whole files."""
+    """path, modified, body: whole files; of the path '-', what comes in on standard input."""
+    if path == "-":
+        rows = [("-", bytearray(sys.stdin.buffer.read()))]
+        return spark.createDataFrame(rows, "path string, body binary").select("path", F.current_timestamp().alias("modified"), "body")
     return spark.read.format("binaryFile").load(path).select("path", F.col("modificationTime").alias("modified"), F.col("content").alias("body"))
 
 

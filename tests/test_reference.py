@@ -350,6 +350,15 @@ def test_months_are_those_of_utc(spark):
         spark.conf.set("spark.sql.session.timeZone", zone)
 
 
+def test_bounds_of_months(spark):
+    from sightline.plans.store import instant
+
+    rows = spark.sql("select timestamp_micros(x) as t from values (1706745600000000), (1709251199999999), (null) v(x)")
+    got = rows.select(*[c.alias(n) for n, c in zip("abc", build.month_bounds(F.col("t")))]).collect()
+    assert [tuple(r) for r in got] == [("2024_02", 1706745600000000, 1709251200000000)] * 2 + [(None, None, None)]
+    assert f"{instant('2025-06-01T00:00:00+02:00'):%Y_%m}" == "2025_05" and instant("2025-06-01") == instant("2025-06-01T00:00:00Z")
+
+
 def test_reasons_are_cut_by_bytes(spark):
     rows = spark.createDataFrame([("é" * 10,), ("abc",), (None,), ("a" + "é" * 10,)], "t string").select(dead_letters.cut(F.col("t"), 6)).collect()
     assert [r[0] for r in rows] == ["ééé… (truncated)", "abc", None, "aéé… (truncated)"]
