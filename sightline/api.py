@@ -55,11 +55,12 @@ def months_ahead(today: date, ahead: int) -> list[str]:
 
 
 def maintain(store: Store, retain_from: str | None = None, dry_run: bool = False, compact: bool = False, now: Column | None = None, ttl_days: int = LOOKUP_TTL_DAYS) -> dict[str, list[str]]:
-    """Apply retention, put together what has come in, and store the lookup projection anew, without what was not
-    refreshed for `ttl_days`. Months need not be provided for ahead, as folders come with the first row."""
+    """Apply retention, put together what has come in, store the lookup projection anew, without what was not refreshed
+    for `ttl_days`, and delete what was put together a day ago or before. Months need not be provided for ahead, as folders come with the first row."""
     if compact and not dry_run:
         store.compact()
         store.refresh_lookup(F.current_timestamp() if now is None else now, ttl_days)
+        store.vacuum()
     return {"dropped": store.drop_months_before(retain_from, dry_run) if retain_from else []}
 
 

@@ -254,6 +254,29 @@ class Store:
             done[table] = (name, count)
         self._update(lambda m: m | {"compacted": m.get("compacted", {}) | done})
 
+    def vacuum(self, hours: float = 24.0) -> int:
+        """Delete what no reader needs any more and is older than `hours`: folders of batches that were put together, that
+        failed or that came second, older states of the lookup, and all manifests but the newest. Returns how many."""
+        number, manifest = self._latest()
+        places, batches = manifest.get("places", {}), manifest["batches"]
+        stored = manifest.get("lookup") or {"count": 0}
+        before = time.time() - hours * 3600
+        fs, gone = self._fs(), 0
+
+        def drop(folder: str, keep: set[str]) -> int:
+            path, n = self._path(folder), 0
+            for s in fs.listStatus(path) if fs.exists(path) else ():
+                if s.getPath().getName() not in keep and s.getModificationTime() / 1000 < before:
+                    n += bool(fs.delete(s.getPath(), True))
+            return n
+
+        for table in TABLES:
+            whole, count = manifest.get("compacted", {}).get(table, (None, 0))
+            needed = batches[stored["count"] if table == "lookup" else count :]
+            gone += drop(table, {f"batch={places.get(b, b)}" for b in needed} | {f"batch={whole}"})
+        gone += drop("lookup-state", {stored.get("path", "").rpartition("/")[2]}) + drop("sources", {str(manifest.get("sources"))}) + drop("drafts", set())
+        return gone + drop("manifest", {f"{number:012d}.json"})
+
     def sightings(self, start: str | None = None, end: str | None = None) -> DataFrame:
         """Sightings observed from `start` up to but not at `end`: only the months between are read."""
         rows = self.delta("sighting")

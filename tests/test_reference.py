@@ -278,6 +278,13 @@ def test_compaction_changes_nothing(spark, tmp_path):
     assert store.read("metrics_log").where("metric = 'write_seconds'").agg(F.sum("n")).first()[0] == 3
     with pytest.raises(ValueError):
         store.compact("lookup")
+    before = {t: sorted(map(str, store.read(t).collect())) for t in tables}
+    assert store.vacuum() == 0  # all is younger than a day
+    api.maintain(store, compact=True, now=now)
+    assert store.vacuum(-1) > 10 and {t: sorted(map(str, store.read(t).collect())) for t in tables} == before
+    assert len(list((tmp_path / "store" / "manifest").glob("*.json"))) == 1 and len(list((tmp_path / "store" / "cve").iterdir())) == 1
+    api.load(spark, str(land / "0.json"), store, "again", now)
+    assert store.batches == ["b0", "b1", "b2", "again"] and {t: sorted(map(str, store.read(t).collect())) for t in tables if t != "metrics_log"} == {t: x for t, x in before.items() if t != "metrics_log"}
     store.refresh_lookup(F.lit("2025-08-01").cast("timestamp"))  # not refreshed for two months
     assert store.read("lookup").isEmpty() and store.read("indicator").count() == 1
 
