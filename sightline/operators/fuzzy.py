@@ -23,7 +23,8 @@ def similar(queries: DataFrame, texts: DataFrame, least: str = "0.5") -> DataFra
     `least`; both tables have a column text. Equal texts are not paired.
 
     Exact, without comparing all pairs: two sets that are alike enough share one of the rarest few trigrams of
-    each, so only these are joined (ordered by how many texts have them), with sizes that can reach `least`.
+    each, so only these are joined (ordered by how many texts have them), with sizes that can reach `least`, and places in
+    that order from which enough can still be shared.
     """
     t = Fraction(least)
     q, x = (df.select("text").where("text is not null").distinct().withColumn("g", trigrams(F.col("text"))).where(F.size("g") > 0) for df in (queries, texts))
@@ -33,14 +34,16 @@ def similar(queries: DataFrame, texts: DataFrame, least: str = "0.5") -> DataFra
         grams = df.select("text", F.size("g").alias("size"), F.explode("g").alias("g")).join(common, "g", "left")
         ordered = grams.groupBy("text").agg(F.first("size").alias("size"), F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "g"))).alias("o"))
         needed = F.col("size") - F.ceil(F.col("size") * t.numerator / t.denominator) + 1
-        return ordered.select(F.col("text").alias(name), F.col("size").alias(f"{name}_size"), F.explode(F.slice("o", F.lit(1), needed.cast("int"))).alias("e")).select(name, f"{name}_size", "e.g")
+        return ordered.select(F.col("text").alias(name), F.col("size").alias(f"{name}_size"), F.posexplode(F.slice("o", F.lit(1), needed.cast("int"))).alias("at", "e")).select(name, f"{name}_size", "e.g", (F.col(f"{name}_size") - F.col("at")).alias(f"{name}_left"))
 
     a, b = rarest(q, "query"), rarest(x, "found")
     fits = (F.col("query_size") * t.numerator <= F.col("found_size") * t.denominator) & (F.col("found_size") * t.numerator <= F.col("query_size") * t.denominator)
     # texts that have a common trigram are joined in slices; the queries that have it are given to each
     a = a.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
     b = b.withColumn("slice", F.pmod(F.xxhash64("found"), F.lit(SLICES)).cast("int"))
-    pairs = a.join(b, ["g", "slice"]).where(fits & (F.col("query") != F.col("found"))).select("query", "found").distinct()
+    # at the first trigram that two texts share, what is left of each bounds what they can share
+    enough = F.least("query_left", "found_left") * (t.numerator + t.denominator) >= (F.col("query_size") + F.col("found_size")) * t.numerator
+    pairs = a.join(b, ["g", "slice"]).where(enough & fits & (F.col("query") != F.col("found"))).select("query", "found").distinct()
     pairs = pairs.join(q.select(F.col("text").alias("query"), F.col("g").alias("qg")), "query").join(x.select(F.col("text").alias("found"), F.col("g").alias("xg")), "found")
     both, either = F.size(F.array_intersect("qg", "xg")), F.size(F.array_union("qg", "xg"))
     return pairs.where(both * t.denominator >= either * t.numerator).select("query", F.col("found").alias("text"), (both / either).alias("similarity"))
