@@ -7,8 +7,11 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sightline.session import settled
+
 
 SLICES = 16
+NAMED = 1_000_000  # trigrams that are sent to all executors; of more, none is
 
 
 def trigrams(c: Column) -> Column:
@@ -28,7 +31,9 @@ def similar(queries: DataFrame, texts: DataFrame, least: str = "0.5") -> DataFra
     """
     t = Fraction(least)
     q, x = (df.select("text").where("text is not null").distinct().withColumn("g", trigrams(F.col("text"))).where(F.size("g") > 0) for df in (queries, texts))
-    common = x.select(F.explode("g").alias("g")).groupBy("g").agg(F.count("*").alias("df"))
+    common = settled(x.select(F.explode("g").alias("g")).groupBy("g").agg(F.count("*").alias("df")))
+    if common.count() <= NAMED:  # there are few trigrams of ordinary letters; then texts stay where they lie, in order by text
+        common = F.broadcast(common)
 
     def rarest(df: DataFrame, name: str) -> DataFrame:
         grams = df.select("text", F.size("g").alias("size"), F.explode("g").alias("g")).join(common, "g", "left")
