@@ -2,6 +2,8 @@
 
 import json
 import random
+import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -163,6 +165,36 @@ def test_similar(spark):
     assert got == {(a, b) for a in real for b in real if a != b and len(grams(a) & grams(b)) >= 0.4 * len(grams(a) | grams(b))}
 
 
+def test_similar_in_blocks_moves_no_candidates(spark, monkeypatch):
+    """Texts of few common words, so that most pairs have trigrams in common; what is shuffled follows the texts, not the pairs."""
+    draw = random.Random(1)
+    words = ["".join(draw.choice("abcdeäβ𝒜7") for _ in range(draw.randint(1, 7))) for _ in range(40)]
+    texts = [draw.choice("-_/ .").join(draw.sample(words, draw.randint(1, 9))) for _ in range(900)]
+    texts += [texts[0].upper(), texts[1] + "!", "...", "", "x" * 9, " ".join(f"{i:04}" for i in range(400)), " ".join(f"{i:04}" for i in range(300)), *texts[:5]]
+
+    def grams(t):
+        return {f"  {w} "[i : i + 3] for w in re.split(r"[\W_]+", t.lower()) if w for i in range(len(w) + 1)}
+
+    known = {t: grams(t) for t in texts}
+    asked = texts[::3]
+    want = {(a, b, len(known[a] & known[b]) / len(known[a] | known[b])) for a in asked for b in known if a != b and known[a] and 5 * len(known[a] & known[b]) >= 3 * len(known[a] | known[b])}
+    monkeypatch.setattr(fuzzy, "ENTRIES", 4000, raising=False)
+    monkeypatch.setattr(fuzzy, "CHARACTERS", 2000, raising=False)
+    monkeypatch.setattr(fuzzy, "PAIRS", 3, raising=False)
+    q, x = (spark.createDataFrame([(t,) for t in rows], "text string") for rows in (asked, texts))
+
+    def shuffled():
+        time.sleep(1)  # until the listener has it
+        found = spark.sparkContext._jsc.sc().statusStore().executorList(True)
+        return sum(found.apply(i).totalShuffleWrite() for i in range(found.size()))
+
+    before = shuffled()
+    got = [tuple(r) for r in fuzzy.similar(q, x, "0.6").collect()]
+    assert len(want) > 20 and len(got) == len(set(got)) and set(got) == want
+    assert shuffled() - before < 12 * sum(len(t.encode()) for t in texts)  # five blocks or more have the queries
+    assert fuzzy.similar(q.limit(0), x).count() == fuzzy.similar(q, x.limit(0)).count() == 0
+
+
 def test_metrics(spark):
     df = spark.createDataFrame([("a", 0, 2), ("a", 30, 1), ("a", 400, 5), ("b", 10, 1)], "l string, t long, n int").withColumn("at", F.timestamp_seconds("t"))
     got = {(r["l"], int(r["t"].timestamp())): round(r["rate"] * 300) for r in metrics.rate(df, ["l"], "at", "n", 300).collect()}
