@@ -166,7 +166,6 @@ def counted(text: str | None, terms: tuple[str, ...]) -> tuple[dict[int, int], i
 
 SHARE, DENSITY = 0.16, 1.0  # of the weight of all terms found; of 100 words: where there are no labels
 PRIOR = 0.5  # what a share is measured against besides, in terms of average weight, so that few terms say less
-LABELLED = 20_000  # documents with labels that the thresholds are calibrated on, at most
 SHARES, DENSITIES = np.arange(4, 41) / 100, np.arange(0, 13) / 4  # the thresholds that are tried
 
 
@@ -222,7 +221,7 @@ def measured(terms: pa.ListArray, times: pa.ListArray, n_words: np.ndarray, lexi
 
 @dataclass(frozen=True)
 class Thresholds:
-    """What a subject must reach, and how that does on labelled documents that weren't used to find it."""
+    """What a subject must reach, and how thresholds found in the same way do on labelled documents that weren't used."""
 
     share: float = SHARE
     density: float = DENSITY
@@ -231,33 +230,60 @@ class Thresholds:
     n_held_out: int = 0
 
 
-def calibrated(counted: DataFrame, labels: DataFrame, row_id: str, lexicon: Lexicon, given: np.ndarray, rare: np.ndarray, most: int = LABELLED) -> Thresholds:
-    """Thresholds from one half of at most `most` labelled documents, drawn by hash; measured on the other half.
+def fitted(wrong: np.ndarray) -> tuple[int, int]:
+    """Which thresholds are best, by the number of errors of each.
 
     Labels are not all right, so the errors of neighbouring thresholds are averaged, and the middle of the best is taken.
     """
-    chosen = labels.select(F.col(row_id).alias("id"), "subject").where(F.col("id").isNotNull()).groupBy("id").agg(F.collect_set("subject").alias("s")).orderBy(F.xxhash64("id")).limit(most)
-    table = counted.join(F.broadcast(chosen), "id").withColumn("half", F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(2))).toArrow().combine_chunks()
-    if not table.num_rows:
-        return Thresholds()
-    columns = {c: table.column(c).combine_chunks() for c in ("terms", "times", "n_words", "s", "half")}
-    columns = {c: x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for c, x in columns.items()}
-    share, density = measured(columns["terms"], columns["times"], columns["n_words"].to_numpy(), lexicon, rare)
-    truth = np.array([[s in set(row) for s in lexicon.subjects] for row in columns["s"].to_pylist()])
-    half = columns["half"].to_numpy() == 0
-    fit = half if half.any() else ~half
-    wrong = np.array([[(((share >= a) & (density >= b)) != truth)[fit][:, given].sum() for b in DENSITIES] for a in SHARES], float)
-    smooth = wrong
+    smooth = wrong.astype(float)
     for axis, width in ((0, 5), (1, 2)):
         smooth = sum(np.take(smooth, np.clip(np.arange(wrong.shape[axis]) + d, 0, wrong.shape[axis] - 1), axis) for d in range(-width, width + 1)) / (2 * width + 1)
     # errors vary by their root: all that are as good as the best but for half of that are one plateau, whose middle counts
     i, j = np.nonzero(smooth <= smooth.min() + 0.5 * np.sqrt(smooth.min()) + 1e-9)
-    a, b = float(SHARES[int(np.median(i))]), float(DENSITIES[int(np.median(j))])
-    held = ~fit
-    found = ((share >= a) & (density >= b))[held][:, given]
-    right = (found & truth[held][:, given]).sum()
-    out = Thresholds(a, b, right / max(found.sum(), 1), right / max(truth[held][:, given].sum(), 1), int(held.sum()))
-    log.info("subjects: share %.2f, density %.2f; on %d labelled documents held out: precision %.3f, recall %.3f", a, b, out.n_held_out, out.precision, out.recall)
+    return int(np.median(i)), int(np.median(j))
+
+
+def calibrated(counted: DataFrame, labels: DataFrame, row_id: str, lexicon: Lexicon, given: np.ndarray, rare: np.ndarray) -> Thresholds:
+    """Thresholds from all labelled documents.  Two halves of these, by hash, tell how well that does: each is measured
+    with the thresholds that the other one alone would give.
+
+    Each document and subject counts in one cell of a histogram, by half, label, and the thresholds that it reaches; only
+    the sums of the cells are gathered.
+    """
+    marked = labels.select(F.col(row_id).alias("id"), "subject").where(F.col("id").isNotNull()).groupBy("id").agg(F.collect_set("subject").alias("s"))
+    rows = counted.join(marked, "id").select("terms", "times", "n_words", "s", F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(2)).alias("half"))
+    shape = (2, 2, len(SHARES) + 1, len(DENSITIES) + 1)
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.zeros(np.prod(shape), np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                terms, times, n_words, subjects, half = (pa.concat_arrays([x]) for x in batch.slice(at, 1000).columns)
+                share, density = (x[:, given] for x in measured(terms, times, n_words.to_numpy(), lexicon, rare))
+                truth = np.array([[s in found for s in lexicon.subjects] for found in map(set, subjects.to_pylist())])[:, given]
+                place = (np.broadcast_to(half.to_numpy()[:, None], truth.shape), truth.astype(np.int64), np.searchsorted(SHARES, share, "right"), np.searchsorted(DENSITIES, density, "right"))
+                cells += np.bincount(np.ravel_multi_index(place, shape).ravel(), minlength=len(cells))
+        at = np.flatnonzero(cells)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(cells[at])], names=["cell", "n"])
+
+    cells = np.zeros(np.prod(shape), np.int64)
+    for r in rows.mapInArrow(tally, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():  # one row a cell
+        cells[r[0]] = r[1]
+    cells = cells.reshape(shape)
+    if not cells.any():
+        return Thresholds()
+    reached = cells[..., ::-1, ::-1].cumsum(-1).cumsum(-2)[..., ::-1, ::-1][..., 1:, 1:]  # half, label, share, density
+    labelled = cells[:, 1].sum((1, 2))
+    wrong = reached[:, 0] + labelled[:, None, None] - reached[:, 1]
+    i, j = fitted(wrong.sum(0))
+    n_held_out = found = right = true = 0
+    for half in (0, 1):
+        if cells[0].any() and cells[1].any():
+            at = fitted(wrong[1 - half])
+            n_held_out += int(cells[half].sum()) // int(given.sum())
+            found, right, true = found + reached[half].sum(0)[at], right + reached[half, 1][at], true + labelled[half]
+    out = Thresholds(float(SHARES[i]), float(DENSITIES[j]), float(right / max(found, 1)), float(right / max(true, 1)), n_held_out)
+    log.info("subjects: share %.2f, density %.2f; on %d labelled documents, each held out once: precision %.3f, recall %.3f", out.share, out.density, out.n_held_out, out.precision, out.recall)
     return out
 
 

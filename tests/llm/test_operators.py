@@ -448,6 +448,25 @@ def test_thresholds_on_labels_held_out(spark):
     assert found.n_held_out > 20 and found.recall > 0.85 and found.precision > 0.8 and 0.08 < found.share < 0.25
 
 
+def test_thresholds_from_all_labels(spark):
+    """21 000 labelled documents: all count, and the thresholds are those of all errors."""
+    words = subjects.lexicon((("biology", None), ("law", None)))
+    given = np.array([s in ("biology", "law") for s in words.subjects])
+    term = {s: next(k for k in range(len(words.terms)) if words.weight[k, words.subjects.index(s)] and not words.beside[k]) for s in ("biology", "law")}
+    rare = np.ones(len(words.terms))
+    seen = spark.range(21_000).select("id", F.expr(f"cast(array({term['biology']}, {term['law']}) as array<int>)").alias("terms"), F.expr("cast(array(20 + id % 7, id % 23) as array<int>)").alias("times"), F.expr("600 + 300 * (id % 11)").alias("n_words"))
+    labels = spark.range(21_000).select(F.col("id").alias("doc_id"), F.explode(F.expr("if(id % 23 > 8, array('biology', 'law'), array('biology'))")).alias("subject"))
+    found = subjects.calibrated(seen, labels, "doc_id", words, given, rare)
+    assert found.n_held_out == 21_000
+    table = seen.toArrow().combine_chunks()
+    share, density = subjects.measured(table.column("terms").chunk(0), table.column("times").chunk(0), table.column("n_words").to_numpy(), words, rare)
+    ids = table.column("id").to_numpy()
+    truth = np.array([np.full(len(ids), True) if s == "biology" else ids % 23 > 8 for s in np.array(words.subjects)[given]]).T
+    wrong = np.array([[(((share >= a) & (density >= b))[:, given] != truth).sum() for b in subjects.DENSITIES] for a in subjects.SHARES])
+    i, j = subjects.fitted(wrong)
+    assert (found.share, found.density) == (subjects.SHARES[i], subjects.DENSITIES[j])
+
+
 # Whole queries
 
 
